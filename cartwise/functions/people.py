@@ -74,10 +74,13 @@ def age_label(code: Column, buckets: list[tuple[int, int, str]]) -> Column:
 def known_states(df: DataFrame, state_col: str, state_map: DataFrame) -> DataFrame:
     """Keep rows whose state is in the (small) state map; add ``abbreviation``.
 
-    The map is one row per state, a fixed-size dimension, so it is broadcast.
+    No broadcast hint: the map is a small dimension, and AQE turns the join
+    into a broadcast hash join after checking its real size at run time
+    (``spark.sql.autoBroadcastJoinThreshold``); a map that grew past the
+    threshold would fall back to a sort-merge join instead of failing.
     """
     sm = state_map.select(F.col("name").alias("_state_name"), "abbreviation")
-    return (df.join(F.broadcast(sm), F.col(state_col) == F.col("_state_name"), "inner")
+    return (df.join(sm, F.col(state_col) == F.col("_state_name"), "inner")
             .drop("_state_name"))
 
 

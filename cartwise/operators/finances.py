@@ -91,7 +91,7 @@ def value_series_by_state(t: StoreTables, as_of, history: int = KEYED_HISTORY) -
     s = fc.monthly_series(o, "date", F.col("totalPrice"), as_of, history, keys=["state"],
                           value_type="decimal")
     states = dense_index(s.select("state").distinct(), ["state"], "state_idx")
-    return (s.join(F.broadcast(states), "state")
+    return (s.join(states, "state")
             .select("year", "month", "state", "state_idx", F.col("label").cast("double").alias("label")))
 
 
@@ -101,7 +101,7 @@ def forecast_horizon_by_state(t: StoreTables, as_of, history: int = KEYED_HISTOR
     series = value_series_by_state(t, as_of, history)
     states = series.select("state", "state_idx").distinct()
     sm = t.state_map.select(F.col("name").alias("state"), "abbreviation")
-    keyed = states.join(F.broadcast(sm), "state", "left")
+    keyed = states.join(sm, "state", "left")
     return fc.keyed_horizon(keyed, as_of, horizon).select(
         "month", "year", "state", "state_idx", state_code(F.col("abbreviation")).alias("abbreviation"))
 

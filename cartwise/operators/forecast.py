@@ -80,7 +80,14 @@ def number_months(series: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _stats(x: Column, y: Column, cond: Column, prefix: str) -> list[Column]:
-    yd = y.cast("decimal(30,2)")
+    """Moments of the rows where ``cond`` holds: n, sums of x, x^2, y, xy, y^2.
+
+    Sums run on exact decimals (labels carry at most 2 decimals), so they do not
+    depend on the order in which partitions are combined; only the final
+    values become doubles.
+    """
+    yd = y.cast("decimal(18,2)")
+    xd = x.cast("decimal(18,0)")
     xl = x.cast("bigint")
     w = F.when(cond, F.lit(1)).otherwise(F.lit(None))
     return [
@@ -88,7 +95,7 @@ def _stats(x: Column, y: Column, cond: Column, prefix: str) -> list[Column]:
         F.sum(F.when(cond, xl)).cast("double").alias(f"{prefix}_sx"),
         F.sum(F.when(cond, xl * xl)).cast("double").alias(f"{prefix}_sxx"),
         F.sum(F.when(cond, yd)).cast("double").alias(f"{prefix}_sy"),
-        F.sum(F.when(cond, xl * yd)).cast("double").alias(f"{prefix}_sxy"),
+        F.sum(F.when(cond, xd * yd)).cast("double").alias(f"{prefix}_sxy"),
         F.sum(F.when(cond, yd * yd)).cast("double").alias(f"{prefix}_syy"),
     ]
 
@@ -113,27 +120,36 @@ def _solve(p: str, reg: Column, enet: Column, fit_intercept: Column) -> tuple[Co
 
 
 def fit_trend(series: DataFrame, x: str = "t", y: str = "label") -> DataFrame:
-    """One-row model: reg, enet, fit_intercept, rmse, slope, intercept, max_t."""
+    """One-row model: reg, enet, fit_intercept, rmse, slope, intercept, max_t.
+
+    One aggregation gathers the moments of the training rows, the validation
+    rows and all rows; the 12 candidates are then rows of a tiny exploded grid
+    (so each expression stays small), and the best one is refitted on all rows.
+    """
     xc, yc = F.col(x), F.col(y)
     is_val = (xc % VALIDATION_EVERY) == (VALIDATION_EVERY - 1)
     stats = series.agg(*_stats(xc, yc, ~is_val, "tr"), *_stats(xc, yc, is_val, "va"),
                        *_stats(xc, yc, F.lit(True), "al"), F.max(xc).alias("max_t"))
-    cands = []
-    for pos, (reg, fi, enet) in enumerate(grid()):
-        slope, icpt = _solve("tr", F.lit(reg), F.lit(enet), F.lit(fi))
-        nv = F.col("va_n")
-        sse = (F.col("va_syy") - F.lit(2.0) * icpt * F.col("va_sy") - F.lit(2.0) * slope * F.col("va_sxy")
-               + nv * icpt * icpt + F.lit(2.0) * icpt * slope * F.col("va_sx")
-               + slope * slope * F.col("va_sxx"))
-        rmse = F.when(nv > 0, F.sqrt(F.greatest(sse, F.lit(0.0)) / nv)).otherwise(F.lit(0.0))
-        cands.append(F.struct(F.coalesce(rmse, F.lit(0.0)).alias("rmse"), F.lit(pos).alias("pos"),
-                              F.lit(reg).alias("reg"), F.lit(enet).alias("enet"),
-                              F.lit(fi).alias("fit_intercept")))
-    best = stats.select("*", F.array_min(F.array(*cands)).alias("best"))
+    cands = F.array(*[F.struct(F.lit(pos).alias("pos"), F.lit(reg).alias("reg"),
+                               F.lit(enet).alias("enet"), F.lit(fi).alias("fit_intercept"))
+                      for pos, (reg, fi, enet) in enumerate(grid())])
+    per = stats.select("*", F.explode(cands).alias("c"))
+    slope, icpt = _solve("tr", F.col("c.reg"), F.col("c.enet"), F.col("c.fit_intercept"))
+    per = per.select("*", slope.alias("_s"), icpt.alias("_i"))
+    s_, i_, nv = F.col("_s"), F.col("_i"), F.col("va_n")
+    sse = (F.col("va_syy") - F.lit(2.0) * i_ * F.col("va_sy") - F.lit(2.0) * s_ * F.col("va_sxy")
+           + nv * i_ * i_ + F.lit(2.0) * i_ * s_ * F.col("va_sx") + s_ * s_ * F.col("va_sxx"))
+    rmse = F.when(nv > 0, F.sqrt(F.greatest(sse, F.lit(0.0)) / nv)).otherwise(F.lit(0.0))
+    ranked = per.select("*", F.coalesce(rmse, F.lit(0.0)).alias("_rmse"))
+    # min over (rmse, grid position): the first candidate wins a tie
+    best = ranked.agg(
+        F.min(F.struct("_rmse", F.col("c.pos"), F.col("c.reg"), F.col("c.enet"),
+                       F.col("c.fit_intercept"))).alias("best"),
+        *[F.first(c).alias(c) for c in stats.columns])
     slope, icpt = _solve("al", F.col("best.reg"), F.col("best.enet"), F.col("best.fit_intercept"))
     return best.select(F.col("best.reg").alias("reg"), F.col("best.enet").alias("enet"),
                        F.col("best.fit_intercept").alias("fit_intercept"),
-                       F.col("best.rmse").alias("rmse"), slope.alias("slope"),
+                       F.col("best._rmse").alias("rmse"), slope.alias("slope"),
                        icpt.alias("intercept"), F.col("max_t"))
 
 

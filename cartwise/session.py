@@ -34,10 +34,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    configure(spark)
+    checkpoint_dir(spark)
+    return spark
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings to a session someone else built."""
     for k, v in SESSION_DEFAULTS.items():
-        if k != "spark.ui.enabled":
+        if k.startswith("spark.sql."):
             spark.conf.set(k, v)
-    checkpoint_dir(spark)
     return spark
 
 

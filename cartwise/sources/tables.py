@@ -43,6 +43,7 @@ class StoreTables:
     review: DataFrame
     state_map: DataFrame
     item_tag: DataFrame
+    item_kind: DataFrame
 
 
 def _customer(raw_customer: DataFrame, nation: DataFrame) -> DataFrame:
@@ -121,7 +122,9 @@ def load_tables(spark: SparkSession, sf_dir: str) -> StoreTables:
         customer=_customer(read_raw(spark, sf_dir, "customer"), nation),
         order=order, ordereditem=ordereditem, item=_item(part), category=category,
         item_category=item_category, review=review, state_map=_state_map(nation),
-        item_tag=item_tag)
+        item_tag=item_tag,
+        item_kind=part.select(F.col("p_partkey").cast("bigint").alias("item_id"),
+                              F.col("p_type").alias("kind")))
 
 
 def col_or(name: str | Column) -> Column:
