@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ TOP_RECS = 20
 MIN_RATING = 3.0
 
 # Skew guard for the also-bought self-join: an order with more distinct items
-# than HOT_ORDER_ITEMS is split into HOT_ORDER_SPLITS salted slices.
+# lines than HOT_ORDER_ITEMS is split into HOT_ORDER_SPLITS salted slices.
 HOT_ORDER_ITEMS = 10_000
 HOT_ORDER_SPLITS = 32
 
@@ -40,33 +41,50 @@ def also_bought_pairs(t: StoreTables, hot_items: int = HOT_ORDER_ITEMS,
     different items bought in a common order; quantity = units of r_item over
     every pairing of their lines.
 
-    Lines are first reduced to (order, item, n_lines, qty): the naive self-join
-    on lines gives sum over line pairs of qty(r), which equals
-    sum over orders of n_lines(item) * qty(r_item). The self-join then runs on
-    distinct items per order. Orders with more than ``hot_items`` distinct items
-    are salted: the left side is split by item hash into ``splits`` slices and
-    the right side of only those orders is replicated per slice, so a single
-    huge basket is spread over ``splits`` tasks instead of one.
+    Plan, for scale:
+
+    * Lines are reduced to (order, item, n_lines, qty) first: the naive
+      self-join on lines sums qty(r) over line pairs, which equals the sum over
+      orders of n_lines(item) * qty(r_item). The self-join then runs on
+      distinct items per order.
+    * The join emits each unordered pair once (item_id < r_item_id) and
+      aggregates both directions at the same time, which halves the join
+      output. Both sides read the same reduced frame, persisted (memory and
+      disk) so it is computed once; Spark does not reuse the shuffle of a
+      self-join's two sides by itself. A lost block is recomputed from lineage.
+    * Orders with more than ``hot_items`` lines are salted: the left side is
+      split by item hash into ``splits`` slices and the right side of only those
+      orders is replicated per slice, so one huge basket is spread over
+      ``splits`` tasks. Hot orders are found by a count over the order id
+      alone (partial aggregation, one small row per order).
     """
     known = t.item.select(F.col("id").alias("item_id"))
-    per = (t.ordereditem.join(known, "item_id")
-           .groupBy("order_id", "item_id")
-           .agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("quantity").cast("bigint")).alias("qty")))
-    hot = (per.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
+    hot = (t.ordereditem.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > hot_items).select("order_id", F.lit(True).alias("_hot")))
-    per = per.join(hot, "order_id", "left")
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    left = per.select("order_id", "item_id", "n_lines",
+    per = (t.ordereditem.join(known, "item_id", "left_semi")
+           .groupBy("order_id", "item_id")
+           .agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("quantity").cast("bigint")).alias("qty"))
+           .join(hot, "order_id", "left")
+           .select("order_id", "item_id", "n_lines", "qty", F.coalesce("_hot", F.lit(False)).alias("_hot"))
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    is_hot = F.col("_hot")
+    left = per.select("order_id", "item_id", "n_lines", "qty",
                       F.when(is_hot, F.pmod(F.xxhash64("item_id"), F.lit(splits))).otherwise(F.lit(0))
                       .cast("int").alias("_salt"))
     right = per.select(F.col("order_id").alias("r_order_id"), F.col("item_id").alias("r_item_id"),
-                       F.col("qty").alias("r_qty"),
+                       F.col("n_lines").alias("r_n_lines"), F.col("qty").alias("r_qty"),
                        F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(splits - 1)))
                                  .otherwise(F.array(F.lit(0)))).alias("_r_salt"))
-    pairs = (left.join(right, (F.col("order_id") == F.col("r_order_id")) & (F.col("_salt") == F.col("_r_salt"))
-                       & (F.col("item_id") != F.col("r_item_id")))
-             .groupBy("item_id", "r_item_id")
-             .agg(F.sum(F.col("n_lines") * F.col("r_qty")).alias("quantity")))
+    half = (left.join(right, (F.col("order_id") == F.col("r_order_id")) & (F.col("_salt") == F.col("_r_salt"))
+                      & (F.col("item_id") < F.col("r_item_id")))
+            .groupBy("item_id", "r_item_id")
+            .agg(F.sum(F.col("n_lines") * F.col("r_qty")).alias("_fw"),
+                 F.sum(F.col("r_n_lines") * F.col("qty")).alias("_bw")))
+    pairs = half.select(F.explode(F.array(
+        F.struct(F.col("item_id").alias("a"), F.col("r_item_id").alias("b"), F.col("_fw").alias("q")),
+        F.struct(F.col("r_item_id").alias("a"), F.col("item_id").alias("b"), F.col("_bw").alias("q"))))
+        .alias("p")).select(F.col("p.a").alias("item_id"), F.col("p.b").alias("r_item_id"),
+                            F.col("p.q").alias("quantity"))
     attrs = t.item.select(F.col("id").alias("r_item_id"), "title", "brand", "imUrl")
     return pairs.join(attrs, "r_item_id").select("item_id", "r_item_id", "title", "brand", "imUrl", "quantity")
 

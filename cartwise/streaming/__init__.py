@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference declares a streaming dependency but no job uses it (no source,
+watermark, window or state). Every job here is a batch DataFrame plan; a
+caller that wants continuous refresh can run the same functions on a
+``foreachBatch`` micro-batch, since they take DataFrames and return DataFrames.
+"""
