@@ -115,7 +115,7 @@ def _age_code(age: str, buckets) -> str:
 def _shares_sql(key: str, source: str, buckets) -> str:
     age = f"(({NOW_SECS} - EPOCH(birthdate)) // 31536000)"
     return f"""per AS (
-  SELECT customer_id, birthdate, {key}, SUM(CAST(quantity AS BIGINT)) AS quantity
+  SELECT customer_id, birthdate, {key}, CAST(SUM(quantity) AS BIGINT) AS quantity
   FROM ({source}) src GROUP BY customer_id, birthdate, {key}),
 tot AS (SELECT customer_id, SUM(quantity) AS total FROM per GROUP BY customer_id)
 SELECT per.customer_id, {_age_code(age, buckets)} AS age_code, {key}, quantity,
@@ -137,7 +137,7 @@ def _series_sql(value: str, source: str, history: int, keys: list[str]) -> str:
 
 
 VALUE_SUM = "CAST(CAST(SUM(CAST(totalPrice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS DOUBLE)"
-UNIT_SUM = "CAST(SUM(CAST(quantity AS BIGINT)) AS DOUBLE)"
+UNIT_SUM = "CAST(CAST(SUM(quantity) AS BIGINT) AS DOUBLE)"
 LINES_ALL = """SELECT li.item_id, li.quantity, o.date, o.customer_id FROM f_ordereditem li
   JOIN f_order o ON li.order_id = o.id"""
 LINES_ITEM = LINES_ALL + " JOIN f_item i ON i.id = li.item_id"
@@ -206,16 +206,16 @@ SELECT {YM}, {MONEY.format('totalPrice')} AS value FROM orders_known GROUP BY 1,
 SELECT {YM}, state, {MONEY.format('totalPrice')} AS sales, 'US-' || abbreviation AS abbreviation
 FROM orders_known GROUP BY 1, 2, state, abbreviation""")
     q["stock_monthly"] = _q(LINES_KNOWN_24, body=f"""
-SELECT {YM}, SUM(CAST(quantity AS BIGINT)) AS numProducts FROM lines_known GROUP BY 1, 2""")
+SELECT {YM}, CAST(SUM(quantity) AS BIGINT) AS numProducts FROM lines_known GROUP BY 1, 2""")
     q["stock_monthly_by_state"] = _q(LINES_KNOWN_24, body=f"""
-SELECT {YM}, state, SUM(CAST(quantity AS BIGINT)) AS sales, 'US-' || abbreviation AS abbreviation
+SELECT {YM}, state, CAST(SUM(quantity) AS BIGINT) AS sales, 'US-' || abbreviation AS abbreviation
 FROM lines_known GROUP BY 1, 2, state, abbreviation""")
     q["stock_top_products"] = _q(LINES_KNOWN_24, body="""
-SELECT l.item_id AS id, i.title, SUM(CAST(l.quantity AS BIGINT)) AS quantity
+SELECT l.item_id AS id, i.title, CAST(SUM(l.quantity) AS BIGINT) AS quantity
 FROM lines_known l JOIN f_item i ON i.id = l.item_id GROUP BY l.item_id, i.title
 ORDER BY quantity DESC, id ASC LIMIT 20""")
     q["best_reviewers"] = _q(body="""
-SELECT c.name, r.customer_id AS customerId, SUM(CAST(helpful - unhelpful AS BIGINT)) AS usefullness,
+SELECT c.name, r.customer_id AS customerId, CAST(SUM(helpful - unhelpful) AS BIGINT) AS usefullness,
        COUNT(*) AS numberOfReviews
 FROM f_review r JOIN f_customer c ON r.customer_id = c.id GROUP BY c.name, r.customer_id
 ORDER BY usefullness DESC, customerId ASC LIMIT 20""")
@@ -235,7 +235,7 @@ SELECT state AS name, 'US-' || abbreviation AS abbreviation, n_all AS totalCusto
 SELECT ic.items_id AS item_id, c.id AS category_id, c.name AS category
 FROM f_item_category ic JOIN f_category c ON ic.categories_id = c.id JOIN f_item i ON i.id = ic.items_id""")
     q["also_bought_pairs"] = _q(body="""
-SELECT a.item_id, b.item_id AS r_item_id, ri.title, ri.brand, ri.imUrl, SUM(CAST(b.quantity AS BIGINT)) AS quantity
+SELECT a.item_id, b.item_id AS r_item_id, ri.title, ri.brand, ri.imUrl, CAST(SUM(b.quantity) AS BIGINT) AS quantity
 FROM f_ordereditem a JOIN f_item ai ON ai.id = a.item_id
 JOIN f_ordereditem b ON a.order_id = b.order_id AND a.item_id <> b.item_id
 JOIN f_item ri ON ri.id = b.item_id
@@ -243,7 +243,7 @@ GROUP BY a.item_id, b.item_id, ri.title, ri.brand, ri.imUrl""")
     item_cols = ("i.id AS item_id, i.brand AS item_brand, i.description AS item_description, "
                  "i.imUrl AS item_imUrl, i.price AS item_price, i.title AS item_title")
     q["most_sold_6m"] = _q(body=f"""
-SELECT {item_cols}, SUM(CAST(li.quantity AS BIGINT)) AS quantity
+SELECT {item_cols}, CAST(SUM(li.quantity) AS BIGINT) AS quantity
 FROM f_ordereditem li JOIN f_order o ON li.order_id = o.id JOIN f_item i ON i.id = li.item_id
 WHERE o.date >= {LAST6_LO} AND o.date < {LAST6_HI}
 GROUP BY i.id, i.brand, i.description, i.imUrl, i.price, i.title
