@@ -118,3 +118,9 @@ def sales_value_predictions_by_state(t: StoreTables, as_of, history: int = KEYED
     scored = model.transform(hz)
     return scored.select("month", "year", "state", fc.cents(F.col("prediction")).alias("sales"),
                          "abbreviation")
+
+
+def sales_value_predictions_by_state_document(t: StoreTables, as_of, **kw) -> DataFrame:
+    """(month, year, statesSales: array<struct(state, sales, abbreviation)>) per month."""
+    return nest_by_month(sales_value_predictions_by_state(t, as_of, **kw),
+                         ["state", "sales", "abbreviation"], "statesSales")

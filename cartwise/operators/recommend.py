@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.calendar import last_months
+from cartwise.sources import sinks
 from cartwise.sources.tables import StoreTables
 
 RANKING_MONTHS = 6
@@ -21,6 +22,9 @@ MIN_RATING = 3.0
 HOT_ORDER_ITEMS = 10_000
 HOT_ORDER_SPLITS = 32
 
+RECOMMENDATION_SCHEMA = ("customer_id int, items array<struct<id: bigint, title: string, brand: string, "
+                         "imUrl: string, price: double>>")
+
 ITEM_COLUMNS = ["item_id", "item_brand", "item_description", "item_imUrl", "item_price", "item_title"]
 
 
@@ -176,15 +180,20 @@ def ratings(t: StoreTables) -> DataFrame:
 
 
 def train_collaborative_filtering(t: StoreTables, rank: int = ALS_RANK, max_iter: int = ALS_ITERS,
-                                  reg: float = ALS_REG, seed: int = 42, path: str | None = None):
+                                  reg: float = ALS_REG, seed: int = 42, path: str | None = None,
+                                  recommendations_path: str | None = None):
     """Explicit ALS on the reviews. If ``path`` is given the model replaces the one
-    saved there (``write().overwrite()``), which is how the recommender reads it."""
+    saved there (``write().overwrite()``), which is how the recommender reads it;
+    if ``recommendations_path`` is given, the cached recommendations made by the
+    previous model are cleared (an empty collection with the same schema)."""
     from pyspark.ml.recommendation import ALS
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol="customer_id", itemCol="item_id",
               ratingCol="overall", coldStartStrategy="drop", seed=seed)
     model = als.fit(ratings(t))
     if path:
-        model.write().overwrite().save(path)
+        sinks.save_model(model, path)
+    if recommendations_path:
+        sinks.clear_collection(t.item.sparkSession, RECOMMENDATION_SCHEMA, recommendations_path)
     return model
 
 
@@ -202,11 +211,12 @@ def recommend_products_flat(model, t: StoreTables, users: DataFrame, n: int = TO
 
 
 def recommend_products(model, t: StoreTables, users: DataFrame, n: int = TOP_RECS,
-                       min_rating: float = MIN_RATING) -> DataFrame:
+                       min_rating: float = MIN_RATING, path: str | None = None) -> DataFrame:
     """(customer_id, items: array<struct(id, title, brand, imUrl, price)>, json).
 
     The list holds at most n entries, ordered by predicted rating; ``json`` is the
-    row as the reference's JSON response.
+    row as the reference's JSON response. With ``path`` the (customer_id, items)
+    rows are also appended to that collection.
     """
     flat = recommend_products_flat(model, t, users, n, min_rating)
     doc = (flat.groupBy("customer_id")
@@ -214,4 +224,7 @@ def recommend_products(model, t: StoreTables, users: DataFrame, n: int = TOP_REC
                             lambda r: F.struct(r["id"].alias("id"), r["title"].alias("title"),
                                                r["brand"].alias("brand"), r["imUrl"].alias("imUrl"),
                                                r["price"].alias("price"))).alias("items")))
-    return doc.select("customer_id", "items", F.to_json(F.struct("customer_id", "items")).alias("json"))
+    out = doc.select("customer_id", "items", F.to_json(F.struct("customer_id", "items")).alias("json"))
+    if path:
+        sinks.append_collection(out.select("customer_id", "items"), path)
+    return out

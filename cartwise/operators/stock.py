@@ -194,3 +194,16 @@ def sales_predictions_by_item_profile(t: StoreTables, profile_map: DataFrame, as
     w = Window.partitionBy("year", "month").orderBy(F.col("sales").desc(), F.col("profile_id").asc())
     return (scored.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n)
             .select("month", "year", F.col("profile_id").alias("itemProfileId"), "sales", "categories"))
+
+
+def sales_predictions_by_item_profile_document(t: StoreTables, profile_map: DataFrame, as_of,
+                                               **kw) -> DataFrame:
+    """(month, year, item_profile_sales: array<struct(itemProfileId, sales, categories)>),
+    the list ordered by forecast descending (ties by profile id); at most n per month."""
+    flat = sales_predictions_by_item_profile(t, profile_map, as_of, **kw)
+    packed = (flat.groupBy("month", "year")
+              .agg(F.sort_array(F.collect_list(F.struct(
+                  (-F.col("sales")).alias("_neg"), "itemProfileId", "sales", "categories"))).alias("_l")))
+    return packed.select("month", "year", F.transform("_l", lambda r: F.struct(
+        r["itemProfileId"].alias("itemProfileId"), r["sales"].alias("sales"),
+        r["categories"].alias("categories"))).alias("item_profile_sales"))

@@ -104,3 +104,24 @@ def test_sinks_replace_append_clear(spark, tmp_path):
     sinks.clear_collection(spark, df.schema, path)
     back = sinks.read_collection(spark, path)
     assert back.count() == 0 and back.columns == ["id", "v"]
+
+
+def test_documents_nest_by_month(tables, profiles):
+    doc = fi.sales_value_predictions_by_state_document(tables, AS_OF).collect()
+    assert len(doc) == 12 and all(r.statesSales for r in doc)
+    prof = st.sales_predictions_by_item_profile_document(tables, profiles[1], AS_OF, n=3).collect()
+    assert len(prof) == 12
+    for r in prof:
+        sales = [x.sales for x in r.item_profile_sales]
+        assert len(sales) <= 3 and sales == sorted(sales, reverse=True)
+
+
+def test_training_clears_and_recommending_appends(spark, tables, tmp_path):
+    recs = str(tmp_path / "recs")
+    model = rc.train_collaborative_filtering(tables, max_iter=2, recommendations_path=recs)
+    assert spark.read.parquet(recs).count() == 0
+    users = tables.review.select("customer_id").distinct().limit(5)
+    rc.recommend_products(model, tables, users, path=recs)
+    rc.recommend_products(model, tables, users, path=recs)
+    back = spark.read.parquet(recs)
+    assert back.count() == 10 and back.columns == ["customer_id", "items"]
