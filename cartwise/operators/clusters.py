@@ -20,8 +20,12 @@ SEED = 42
 
 
 def vocabulary(df: DataFrame, key: str) -> DataFrame:
-    """(key, idx): distinct keys numbered 0.. in ascending order."""
-    return dense_index(df.select(key).distinct().filter(F.col(key).isNotNull()), [key], "idx")
+    """(key, idx): distinct keys numbered 0.. in ascending order.
+
+    Cached: it is a dimension-sized frame read by the vectors, the labels and
+    the report.
+    """
+    return dense_index(df.select(key).distinct().filter(F.col(key).isNotNull()), [key], "idx").cache()
 
 
 def vocab_size(vocab: DataFrame) -> int:
@@ -34,13 +38,14 @@ def dense_from_entries(entries: F.Column, size: int) -> F.Column:
                        lambda i: F.coalesce(F.element_at(entries, i), F.lit(0.0)))
 
 
-def share_vectors(shares: DataFrame, vocab: DataFrame, key: str, id_col: str) -> DataFrame:
+def share_vectors(shares: DataFrame, vocab: DataFrame, key: str, id_col: str,
+                  n: int | None = None) -> DataFrame:
     """(id_col, age_code, features): share per vocabulary slot, then the age code.
 
     The age code is appended unnormalized, as in the reference (it dominates
     the distance; kept on purpose).
     """
-    n = vocab_size(vocab)
+    n = n if n is not None else vocab_size(vocab)
     per = (shares.join(vocab, key)
            .groupBy(id_col, "age_code")
            .agg(F.map_from_entries(F.collect_list(F.struct(F.col("idx"), F.col("share"))))
@@ -49,9 +54,10 @@ def share_vectors(shares: DataFrame, vocab: DataFrame, key: str, id_col: str) ->
     return per.select(id_col, "age_code", array_to_vector(arr).alias("features"))
 
 
-def multi_hot_vectors(pairs: DataFrame, vocab: DataFrame, key: str, id_col: str) -> DataFrame:
+def multi_hot_vectors(pairs: DataFrame, vocab: DataFrame, key: str, id_col: str,
+                      n: int | None = None) -> DataFrame:
     """(id_col, features): 1.0 in every slot of a key the id has, else 0.0."""
-    n = vocab_size(vocab)
+    n = n if n is not None else vocab_size(vocab)
     per = (pairs.join(vocab, key).groupBy(id_col)
            .agg(F.map_from_entries(F.collect_list(F.struct(F.col("idx"), F.lit(1.0)))).alias("_m")))
     return per.select(id_col, array_to_vector(dense_from_entries(F.col("_m"), n)).alias("features"))
@@ -85,12 +91,12 @@ def top_slots(dims: DataFrame, n: int) -> DataFrame:
 
 
 def cluster_report(assigned: DataFrame, cent: DataFrame, labels: DataFrame, buckets,
-                   label_col: str, vocab: DataFrame) -> DataFrame:
+                   label_col: str, n: int) -> DataFrame:
     """(profile_id, number_customers, age_interval, label_col) per non-empty cluster.
 
-    The age label comes from the centroid's last coordinate, truncated.
+    ``n`` is the vocabulary size: the age code sits in slot n. The age label
+    comes from that centroid coordinate, truncated.
     """
-    n = vocab_size(vocab)
     sizes = assigned.groupBy("prediction").agg(F.count(F.lit(1)).alias("number_customers"))
     ages = cent.filter(F.col("pos") == n).select(
         "prediction", age_label(F.floor("weight").cast("int"), buckets).alias("age_interval"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwise.functions.people import (BRAND_AGE_BUCKETS, PROFILE_AGE_BUCKETS, SECONDS_PER_YEAR,
@@ -108,16 +109,16 @@ def _purchases(t: StoreTables) -> DataFrame:
 def _shares(purchases: DataFrame, key: str, as_of, buckets) -> DataFrame:
     """(customer_id, age_code, <key>, quantity, share): quantity share per key.
 
-    Two aggregations on the customer id (the second over the already reduced
-    (customer, key) rows), so a heavy buyer costs one partial aggregate.
+    The first aggregation combines map-side, so even a customer holding a third
+    of all lines arrives as a few (customer, key) rows per task. The customer's
+    total is then a window over those rows, whose partition per customer is
+    bounded by the vocabulary (brands or profiles), not by the lines.
     """
     per = (purchases.groupBy("customer_id", "birthdate", key)
            .agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity")))
-    tot = per.groupBy("customer_id").agg(F.sum("quantity").alias("_total"))
-    return (per.join(tot, "customer_id")
-            .select("customer_id", age_code(whole_age(F.col("birthdate"), as_of), buckets).alias("age_code"),
-                    key, "quantity",
-                    (F.col("quantity").cast("double") / F.col("_total").cast("double")).alias("share")))
+    total = F.sum("quantity").over(Window.partitionBy("customer_id"))
+    return per.select("customer_id", age_code(whole_age(F.col("birthdate"), as_of), buckets).alias("age_code"),
+                      key, "quantity", (F.col("quantity").cast("double") / total.cast("double")).alias("share"))
 
 
 def customer_brand_shares(t: StoreTables, as_of) -> DataFrame:
@@ -137,32 +138,34 @@ def segments_age_brand(t: StoreTables, as_of, k: int = BRAND_K, max_iter: int =
                        seed: int = cl.SEED) -> DataFrame:
     """(profile_id, number_customers, age_interval, brands): KMeans over share
     vectors with the age code as last coordinate; top 7 brands per centroid."""
-    shares = customer_brand_shares(t, as_of)
+    shares = customer_brand_shares(t, as_of).persist(StorageLevel.MEMORY_AND_DISK)
     vocab = cl.vocabulary(shares, "brand")
-    feats = cl.share_vectors(shares, vocab, "brand", "customer_id")
+    n = cl.vocab_size(vocab)
+    feats = cl.share_vectors(shares, vocab, "brand", "customer_id", n)
     model, assigned = cl.fit_kmeans(feats, k, max_iter, seed)
     cent = cl.centroids_long(model, feats.sparkSession)
-    dims = cent.filter(F.col("pos") < F.lit(cl.vocab_size(vocab)))
+    dims = cent.filter(F.col("pos") < F.lit(n))
     top = cl.top_slots(dims, TOP_BRANDS).join(vocab.withColumnRenamed("idx", "pos"), "pos")
     brands = top.groupBy("prediction").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("rank", "brand"))), lambda r: r["brand"])
         .alias("brands"))
-    return cl.cluster_report(assigned, cent, brands, BRAND_AGE_BUCKETS, "brands", vocab)
+    return cl.cluster_report(assigned, cent, brands, BRAND_AGE_BUCKETS, "brands", n)
 
 
 def segments_age_profile(t: StoreTables, profile_map: DataFrame, as_of, k: int = PROFILE_K,
                          max_iter: int = PROFILE_ITERS, seed: int = cl.SEED) -> DataFrame:
     """(profile_id, number_customers, age_interval, categories): as the brand
     segmentation; the label is the categories of the heaviest item profile."""
-    shares = customer_profile_shares(t, profile_map, as_of)
+    shares = customer_profile_shares(t, profile_map, as_of).persist(StorageLevel.MEMORY_AND_DISK)
     vocab = cl.vocabulary(shares, "profile_id")
-    feats = cl.share_vectors(shares, vocab, "profile_id", "customer_id")
+    n = cl.vocab_size(vocab)
+    feats = cl.share_vectors(shares, vocab, "profile_id", "customer_id", n)
     model, assigned = cl.fit_kmeans(feats, k, max_iter, seed)
     cent = cl.centroids_long(model, feats.sparkSession)
-    dims = cent.filter(F.col("pos") < F.lit(cl.vocab_size(vocab)))
+    dims = cent.filter(F.col("pos") < F.lit(n))
     heaviest = dims.groupBy("prediction").agg(
         F.max_by("pos", F.struct("weight", -F.col("pos"))).alias("pos"))
     cats = profile_map.groupBy("profile_id").agg(F.first("categories").alias("categories"))
     labels = (heaviest.join(vocab.withColumnRenamed("idx", "pos"), "pos").join(cats, "profile_id")
               .select("prediction", "categories"))
-    return cl.cluster_report(assigned, cent, labels, PROFILE_AGE_BUCKETS, "categories", vocab)
+    return cl.cluster_report(assigned, cent, labels, PROFILE_AGE_BUCKETS, "categories", n)

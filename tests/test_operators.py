@@ -179,3 +179,27 @@ def test_brand_shares_one_row_per_customer_and_brand(spark):
                   for r in cu.customer_brand_shares(t, AS_OF).collect())
     # 7,299 days = 19 years of 365 days (one day short of 20) -> bucket 0
     assert rows == [(1, "A", 3, 0.75, 0), (1, "B", 1, 0.25, 0)]
+
+
+def test_top_slots_ties_go_to_higher_index_and_keep_zero_weights(spark):
+    # Stable sort then reverse -> among equal weights the higher slot wins; zeros can fill
+    from cartwise.operators import clusters as cl
+    dims = spark.createDataFrame([(0, 0, 0.5), (0, 1, 0.5), (0, 2, 0.0), (0, 3, 0.0), (0, 4, 0.2)],
+                                 "prediction int, pos int, weight double")
+    got = [(r.pos, r.rank) for r in cl.top_slots(dims, 4).orderBy("rank").collect()]
+    assert got == [(1, 1), (0, 2), (4, 3), (3, 4)]
+
+
+def test_cluster_report_truncates_centroid_age(spark):
+    # Centroid age code 1.9 -> code 1; 50.0 (mixed with "Other") -> "Other"
+    from cartwise.functions.people import BRAND_AGE_BUCKETS
+    from cartwise.operators import clusters as cl
+    cent = spark.createDataFrame([(0, 0, 1.0), (0, 1, 1.9), (1, 0, 1.0), (1, 1, 50.0), (2, 1, 3.0)],
+                                 "prediction int, pos int, weight double")
+    assigned = spark.createDataFrame([(10, 0), (11, 0), (12, 1)], "customer_id int, prediction int")
+    labels = spark.createDataFrame([(0, ["A"]), (1, ["B"])], "prediction int, brands array<string>")
+    rep = {r.profile_id: r for r in cl.cluster_report(assigned, cent, labels, BRAND_AGE_BUCKETS,
+                                                      "brands", 1).collect()}
+    assert set(rep) == {0, 1}  # D14: the empty cluster 2 is not reported
+    assert (rep[0].number_customers, rep[0].age_interval, rep[0].brands) == (2, "20-24", ["A"])
+    assert rep[1].age_interval == "Other"
