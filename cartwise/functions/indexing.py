@@ -1,12 +1,19 @@
-"""Dense 0-based index of distinct keys in sorted order, without a global window.
-
-A ``row_number().over(Window.orderBy(...))`` pulls every row into one task.
-Instead the keys are range-partitioned, sorted inside each partition, and
-numbered locally with ``monotonically_increasing_id`` (partition id in the high
-bits, position in the low 33 bits). A per-partition count (one row per
-partition, so its size is bounded by the partition count, not the data) gives
-each partition its offset; a broadcast join adds it back. This is
-``zipWithIndex`` in DataFrame form: one range shuffle, no single-task step.
+"""Dense 0-based index of distinct keys in sorted order.
+
+Two paths:
+
+* ``bounded=True`` -- the keys form a small dimension (months of a window,
+  states, brands, categories, cluster ids). ``dense_rank`` over one ordered
+  window is exact and cheap; its single task holds at most the dimension.
+* default -- keys that grow with the data (item ids). A window without
+  ``partitionBy`` would pull every key into one task. Instead the keys are
+  range-partitioned, sorted inside each partition and numbered locally with
+  ``monotonically_increasing_id`` (partition id in the high bits, position in
+  the low 33 bits). That numbered frame is checkpointed to the shared
+  checkpoint folder before it is read twice: range bounds come from a sample
+  whose rows arrive in shuffle order, so two evaluations could disagree. A
+  per-partition count (one row per partition) gives each partition its offset,
+  broadcast back by a join. This is ``zipWithIndex`` in DataFrame form.
 """
 
 from __future__ import annotations
@@ -18,20 +25,24 @@ _LOW_BITS = (1 << 33) - 1
 
 
 def dense_index(keys: DataFrame, key_cols: list[str], out: str = "idx",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, bounded: bool = False) -> DataFrame:
     """Return ``keys`` (assumed distinct on ``key_cols``) plus ``out`` = rank - 1.
 
     Ordering is ascending on ``key_cols`` with nulls first, like SQL
     ``DENSE_RANK() OVER (ORDER BY key_cols) - 1`` on distinct keys.
     """
+    order = [F.col(c).asc_nulls_first() for c in key_cols]
+    if bounded:
+        return keys.withColumn(out, (F.dense_rank().over(Window.orderBy(*order)) - 1).cast("int"))
     spark = keys.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (keys.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in key_cols])
-              .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in key_cols])
+    ranged = (keys.repartitionByRange(n, *order)
+              .sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
               .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
-              .drop("_mid"))
+              .drop("_mid")
+              .checkpoint(eager=True))
     # One row per non-empty partition: bounded by n, safe to broadcast.
     sizes = ranged.groupBy("_pid").agg((F.max("_pos") + 1).alias("_size"))
     offsets = sizes.select(

@@ -25,7 +25,8 @@ def vocabulary(df: DataFrame, key: str) -> DataFrame:
     Cached: it is a dimension-sized frame read by the vectors, the labels and
     the report.
     """
-    return dense_index(df.select(key).distinct().filter(F.col(key).isNotNull()), [key], "idx").cache()
+    keys = df.select(key).distinct().filter(F.col(key).isNotNull())
+    return dense_index(keys, [key], "idx", bounded=True).cache()
 
 
 def vocab_size(vocab: DataFrame) -> int:

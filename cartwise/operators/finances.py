@@ -90,7 +90,7 @@ def value_series_by_state(t: StoreTables, as_of, history: int = KEYED_HISTORY) -
     o = t.order.join(cust, F.col("customer_id") == F.col("_cid"))
     s = fc.monthly_series(o, "date", F.col("totalPrice"), as_of, history, keys=["state"],
                           value_type="decimal")
-    states = dense_index(s.select("state").distinct(), ["state"], "state_idx")
+    states = dense_index(s.select("state").distinct(), ["state"], "state_idx", bounded=True)
     return (s.join(states, "state")
             .select("year", "month", "state", "state_idx", F.col("label").cast("double").alias("label")))
 

@@ -72,7 +72,7 @@ def number_months(series: DataFrame) -> DataFrame:
     Months without sales get no number, so gaps close up (as in the reference).
     """
     months = series.select("year", "month").distinct()
-    return series.join(dense_index(months, ["year", "month"], "t"), ["year", "month"])
+    return series.join(dense_index(months, ["year", "month"], "t", bounded=True), ["year", "month"])
 
 
 # ---------------------------------------------------------------------------

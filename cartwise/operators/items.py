@@ -45,7 +45,7 @@ def item_profiles(t: StoreTables, k: int = ITEM_K, max_iter: int = ITEM_ITERS,
     pairs = item_category_features(t)
     # vocabulary = every category, numbered in id order
     vocab = dense_index(t.category.select(F.col("id").alias("category_id"), F.col("name").alias("category")),
-                        ["category_id"], "idx").cache()
+                        ["category_id"], "idx", bounded=True).cache()
     n = cl.vocab_size(vocab)
     feats = cl.multi_hot_vectors(pairs, vocab.drop("category"), "category_id", "item_id", n)
     model, assigned = cl.fit_kmeans(feats, k, max_iter, seed)

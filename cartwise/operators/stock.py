@@ -144,7 +144,7 @@ def unit_series_by_state(t: StoreTables, as_of, history: int = KEYED_HISTORY) ->
     cust = t.customer.select(F.col("id").alias("_cid"), "state")
     li = _lines_in_history(t).join(cust, F.col("customer_id") == F.col("_cid"))
     s = fc.monthly_series(li, "date", F.col("quantity"), as_of, history, keys=["state"])
-    states = dense_index(s.select("state").distinct(), ["state"], "state_idx")
+    states = dense_index(s.select("state").distinct(), ["state"], "state_idx", bounded=True)
     return (s.join(states, "state")
             .select("year", "month", "state", "state_idx", F.col("label").cast("double").alias("label")))
 

@@ -85,10 +85,10 @@ def _item_tag(part: DataFrame) -> DataFrame:
 
 
 def _category(item_tag: DataFrame) -> DataFrame:
-    """Category id = 100 + rank of the tag name; the tag vocabulary is bounded."""
+    """Category id = 100 + rank of the tag name; tags are a catalog dimension."""
     from cartwise.functions.indexing import dense_index
     tags = item_tag.select("tag").distinct()
-    return (dense_index(tags, ["tag"], "rank0")
+    return (dense_index(tags, ["tag"], "rank0", bounded=True)
             .select((F.col("rank0") + 101).cast("int").alias("id"), F.col("tag").alias("name")))
 
 
