@@ -99,10 +99,13 @@ def customers_overview(t: StoreTables, as_of) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _purchases(t: StoreTables) -> DataFrame:
-    """(customer_id, birthdate, item_id, quantity) for customers with a birthdate."""
+    """(customer_id, birthdate, item_id, quantity): units per customer and item,
+    for customers with a birthdate. Summed before any item attribute is joined,
+    so the join with the catalog sees one row per (customer, item)."""
     orders = t.order.select(F.col("id").alias("_oid"), F.col("customer_id"))
     cust = t.customer.dropna(subset=["birthdate"]).select(F.col("id").alias("customer_id"), "birthdate")
     return (t.ordereditem.join(orders, F.col("order_id") == F.col("_oid"))
+            .groupBy("customer_id", "item_id").agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity"))
             .join(cust, "customer_id").select("customer_id", "birthdate", "item_id", "quantity"))
 
 
@@ -115,7 +118,7 @@ def _shares(purchases: DataFrame, key: str, as_of, buckets) -> DataFrame:
     bounded by the vocabulary (brands or profiles), not by the lines.
     """
     per = (purchases.groupBy("customer_id", "birthdate", key)
-           .agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity")))
+           .agg(F.sum("quantity").alias("quantity")))
     total = F.sum("quantity").over(Window.partitionBy("customer_id"))
     return per.select("customer_id", age_code(whole_age(F.col("birthdate"), as_of), buckets).alias("age_code"),
                       key, "quantity", (F.col("quantity").cast("double") / total.cast("double")).alias("share"))

@@ -113,13 +113,14 @@ def also_bought(t: StoreTables) -> DataFrame:
 def most_sold(t: StoreTables, as_of, months: int = RANKING_MONTHS, n: int = TOP_ITEMS) -> DataFrame:
     """Item columns + quantity: the n items with most units in [as_of - months, as_of).
 
-    Aggregates on the item id, keeps the top n (ties by item id), then attaches
-    the item attributes to those n rows only.
+    Aggregates on the item id, checks the catalog on those sums, keeps the top
+    n (ties by item id), then attaches the item attributes to those n rows only.
     """
     orders = t.order.filter(last_months(F.col("date"), as_of, months)).select(F.col("id").alias("_oid"))
     known = t.item.select(F.col("id").alias("item_id"))
-    qty = (t.ordereditem.join(orders, F.col("order_id") == F.col("_oid")).join(known, "item_id")
-           .groupBy("item_id").agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity")))
+    qty = (t.ordereditem.join(orders, F.col("order_id") == F.col("_oid"))
+           .groupBy("item_id").agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity"))
+           .join(known, "item_id", "left_semi"))
     top = qty.orderBy(F.col("quantity").desc(), F.col("item_id").asc()).limit(n)
     return top.join(_item_attributes(t), "item_id").select(*ITEM_COLUMNS, "quantity")
 
@@ -129,13 +130,16 @@ def best_reviewed(t: StoreTables, as_of, months: int = RANKING_MONTHS, m: int =
     """Item columns + averageOverall: Bayesian mean (count*avg + m*C) / (count + m)
     where C is the mean rating of all reviews in the window; top n, ties by id.
 
-    C is a scalar subquery (one value, computed once and broadcast by Spark).
+    Reviews are summed per item first and checked against the catalog on those
+    sums; C is a scalar subquery over the same sums (one value, computed once).
     """
     known = t.item.select(F.col("id").alias("item_id"))
-    rv = t.review.filter(last_months(F.col("date"), as_of, months)).join(known, "item_id") \
-        .select("item_id", "overall")
-    c = rv.select((F.sum("overall") / F.count(F.lit(1))).alias("c")).scalar()
-    per = rv.groupBy("item_id").agg(F.sum("overall").alias("_s"), F.count(F.lit(1)).cast("double").alias("_n"))
+    rv = t.review.filter(last_months(F.col("date"), as_of, months))
+    per = (rv.groupBy("item_id").agg(F.sum("overall").alias("_s"), F.count(F.lit(1)).cast("double").alias("_n"))
+           .join(known, "item_id", "left_semi")
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    # C is the mean of the same reviews, rolled up from the per-item sums
+    c = per.select((F.sum("_s") / F.sum("_n")).alias("c")).scalar()
     score = (F.lit(1.0) / (F.col("_n") + F.lit(float(m)))) * (F.col("_n") * (F.col("_s") / F.col("_n"))
                                                              + F.lit(float(m)) * c)
     top = (per.select("item_id", score.alias("averageOverall"))

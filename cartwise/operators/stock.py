@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,51 +20,59 @@ TOP_PRODUCTS = 20
 TOP_PROFILES = 20
 
 
-def lines_with_state(t: StoreTables, as_of, months: int) -> DataFrame:
-    """Order lines of orders newer than as_of - months, with the buyer's known state.
+def units_by_month_state_item(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS) -> DataFrame:
+    """(year, month, state, abbreviation, item_id, quantity): units of catalog
+    items bought by known-state customers in orders newer than as_of - months.
 
-    The date filter reaches the orders scan; line items join on the order key
-    (the largest join, sort-merge on order id), customers join on their id.
+    Plan: the date filter reaches the orders scan, and orders are joined to
+    their known-state buyers before they meet the line table, so only the
+    surviving orders reach the large join on the order id. Lines are then
+    summed per (month, state, item) with map-side combining, and the catalog
+    check (the inner join with ``item`` in the reference) runs on those sums:
+    the same result as checking every line, without shuffling the line table
+    by item id. The three overview parts all derive from this frame.
     """
-    recent = t.order.filter(since_months(F.col("date"), as_of, months)) \
-        .select(F.col("id").alias("_oid"), "customer_id", "date")
-    cust = t.customer.select(F.col("id").alias("_cid"), "state")
-    lines = t.ordereditem.join(recent, F.col("order_id") == F.col("_oid")) \
-        .join(t.item.select(F.col("id").alias("item_id")), "item_id", "left_semi") \
-        .join(cust, F.col("customer_id") == F.col("_cid"))
-    return known_states(lines, "state", t.state_map)
+    cust = known_states(t.customer.select(F.col("id").alias("_cid"), "state"), "state", t.state_map)
+    recent = (t.order.filter(since_months(F.col("date"), as_of, months))
+              .join(cust, F.col("customer_id") == F.col("_cid"))
+              .select(F.col("id").alias("_oid"), "date", "state", "abbreviation"))
+    sums = (t.ordereditem.join(recent, F.col("order_id") == F.col("_oid"))
+            .groupBy(*_ym(), "state", "abbreviation", "item_id")
+            .agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity")))
+    return sums.join(t.item.select(F.col("id").alias("item_id")), "item_id", "left_semi")
 
 
 def _ym(date: str = "date"):
     return [F.year(date).cast("int").alias("year"), F.month(date).cast("int").alias("month")]
 
 
-def stock_monthly(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS) -> DataFrame:
+def stock_monthly(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS,
+                  units: DataFrame | None = None) -> DataFrame:
     """(month, year, numProducts): units sold per calendar month."""
-    li = lines_with_state(t, as_of, months)
-    return (li.groupBy(*_ym()).agg(F.sum(F.col("quantity").cast("bigint")).alias("numProducts"))
+    u = units if units is not None else units_by_month_state_item(t, as_of, months)
+    return (u.groupBy("year", "month").agg(F.sum("quantity").alias("numProducts"))
             .select("month", "year", "numProducts"))
 
 
-def stock_monthly_by_state(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS) -> DataFrame:
+def stock_monthly_by_state(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS,
+                           units: DataFrame | None = None) -> DataFrame:
     """(month, year, state, sales, abbreviation): units per month and known state."""
-    li = lines_with_state(t, as_of, months)
-    return (li.groupBy(*_ym(), "state", "abbreviation")
-            .agg(F.sum(F.col("quantity").cast("bigint")).alias("sales"))
+    u = units if units is not None else units_by_month_state_item(t, as_of, months)
+    return (u.groupBy("year", "month", "state", "abbreviation")
+            .agg(F.sum("quantity").alias("sales"))
             .select("month", "year", "state", "sales",
                     state_code(F.col("abbreviation")).alias("abbreviation")))
 
 
 def stock_top_products(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS,
-                       n: int = TOP_PRODUCTS) -> DataFrame:
+                       n: int = TOP_PRODUCTS, units: DataFrame | None = None) -> DataFrame:
     """(id, title, quantity): the n items with most units; ties by item id.
 
-    Aggregates on the item id only (partial aggregation map-side), takes the
-    top n with TakeOrderedAndProject, and only then joins the n titles.
+    Sums per item, takes the top n with TakeOrderedAndProject, and only then
+    joins the n titles.
     """
-    li = lines_with_state(t, as_of, months)
-    top = (li.groupBy(F.col("item_id").alias("id"))
-           .agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity"))
+    u = units if units is not None else units_by_month_state_item(t, as_of, months)
+    top = (u.groupBy(F.col("item_id").alias("id")).agg(F.sum("quantity").alias("quantity"))
            .orderBy(F.col("quantity").desc(), F.col("id").asc()).limit(n))
     titles = t.item.select("id", "title")
     return top.join(titles, "id").select("id", "title", "quantity")
@@ -71,14 +80,18 @@ def stock_top_products(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS,
 
 def stock_overview(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS,
                    n: int = TOP_PRODUCTS) -> DataFrame:
-    """The one-row document: monthly_sales, monthly_sales_by_state, top_products."""
-    monthly = sorted_list(stock_monthly(t, as_of, months), ["year", "month"],
+    """The one-row document: monthly_sales, monthly_sales_by_state, top_products.
+
+    The shared (month, state, item) sums are computed once and persisted.
+    """
+    units = units_by_month_state_item(t, as_of, months).persist(StorageLevel.MEMORY_AND_DISK)
+    monthly = sorted_list(stock_monthly(t, as_of, months, units), ["year", "month"],
                           ["month", "year", "numProducts"], "monthly_sales")
     by_state = sorted_list(
-        nest_by_month(stock_monthly_by_state(t, as_of, months), ["state", "sales", "abbreviation"],
+        nest_by_month(stock_monthly_by_state(t, as_of, months, units), ["state", "sales", "abbreviation"],
                       "statesSales"),
         ["year", "month"], ["month", "year", "statesSales"], "monthly_sales_by_state")
-    top = stock_top_products(t, as_of, months, n).select(
+    top = stock_top_products(t, as_of, months, n, units).select(
         (-F.col("quantity")).alias("_neg"), "id", "title", "quantity")
     top_list = sorted_list(top, ["_neg", "id"], ["id", "title", "quantity"], "top_products")
     return one_row_document(monthly, by_state, top_list)
@@ -88,14 +101,15 @@ def stock_overview(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS,
 # forecasts
 # ---------------------------------------------------------------------------
 
-def _lines_in_history(t: StoreTables, known_items: bool = False) -> DataFrame:
-    """Order lines with their order's date and buyer; optionally only lines of
-    catalog items (the per-item and per-profile jobs join the item table)."""
+def _lines_in_history(t: StoreTables) -> DataFrame:
+    """Order lines with their order's date and buyer."""
     orders = t.order.select(F.col("id").alias("_oid"), "customer_id", "date")
-    lines = t.ordereditem.join(orders, F.col("order_id") == F.col("_oid"))
-    if known_items:
-        lines = lines.join(t.item.select(F.col("id").alias("item_id")), "item_id", "left_semi")
-    return lines
+    return t.ordereditem.join(orders, F.col("order_id") == F.col("_oid"))
+
+
+def _known_items(t: StoreTables, df: DataFrame) -> DataFrame:
+    """Rows whose item is in the catalog; applied to per-item sums, not lines."""
+    return df.join(t.item.select(F.col("id").alias("item_id")), "item_id", "left_semi")
 
 
 def unit_series(t: StoreTables, as_of, history: int = UNIT_HISTORY) -> DataFrame:
@@ -119,8 +133,8 @@ def unit_series_by_item(t: StoreTables, as_of, history: int = KEYED_HISTORY) ->
     The item index is a dense rank of the item id computed without a
     single-partition window (see ``dense_index``).
     """
-    s = fc.monthly_series(_lines_in_history(t, known_items=True), "date", F.col("quantity"), as_of,
-                          history, keys=["item_id"])
+    s = _known_items(t, fc.monthly_series(_lines_in_history(t), "date", F.col("quantity"), as_of,
+                                          history, keys=["item_id"]))
     items = dense_index(s.select("item_id").distinct(), ["item_id"], "item_idx")
     return (s.join(items, "item_id")
             .select("year", "month", "item_id", "item_idx", F.col("label").cast("double").alias("label")))
@@ -171,9 +185,10 @@ def unit_series_by_profile(t: StoreTables, profile_map: DataFrame, as_of,
                            history: int = KEYED_HISTORY) -> DataFrame:
     """(year, month, profile_id, label): units per whole month and item profile."""
     pm = profile_map.select("item_id", "profile_id")
-    li = _lines_in_history(t, known_items=True).join(pm, "item_id")
-    s = fc.monthly_series(li, "date", F.col("quantity"), as_of, history, keys=["profile_id"])
-    return s.select("year", "month", "profile_id", F.col("label").cast("double").alias("label"))
+    per_item = _known_items(t, fc.monthly_series(_lines_in_history(t), "date", F.col("quantity"), as_of,
+                                                 history, keys=["item_id"]))
+    return (per_item.join(pm, "item_id").groupBy("year", "month", "profile_id")
+            .agg(F.sum("label").cast("double").alias("label")))
 
 
 def sales_predictions_by_item_profile(t: StoreTables, profile_map: DataFrame, as_of,
