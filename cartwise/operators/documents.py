@@ -2,7 +2,7 @@
 
 Every list inside a document is built from an already aggregated frame whose
 size is bounded by a dimension (months in a window, states, top-n), never by
-raw rows. One-row documents join their one-row parts on a constant key.
+raw rows. One-row documents stack their one-row parts and fold them.
 """
 
 from __future__ import annotations
@@ -27,9 +27,15 @@ def sorted_list(df: DataFrame, sort_fields: list[str], out_fields: list[str], na
 
 
 def one_row_document(*parts: DataFrame) -> DataFrame:
-    """Join one-row parts (each carrying ``_k``) into a single document row."""
-    doc = reduce(lambda a, b: a.join(b, "_k", "full"), parts)
-    return doc.drop("_k")
+    """Merge one-row parts (each carrying ``_k`` and its own columns) into one row.
+
+    The parts are stacked (union by name, missing columns null) and folded by
+    one aggregation that keeps each column's non-null value: no join, so no
+    nested-loop plan for a constant key.
+    """
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    cols = [c for p in parts for c in p.columns if c != "_k"]
+    return stacked.groupBy("_k").agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols]).drop("_k")
 
 
 def nest_by_month(flat: DataFrame, inner: list[str], name: str) -> DataFrame:
