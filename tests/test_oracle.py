@@ -73,3 +73,11 @@ def test_entry_smoke(spark):
     df = se.entry(spark)
     assert df.columns == ["month", "year", "state", "sales", "abbreviation"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(set(se.queries()) - set(se.oracle_sql())))
+def test_rows_only_queries_run_with_stable_schema(spark, name):
+    q = se.queries()[name]
+    first = q(spark, SF)
+    assert first.count() > 0
+    assert q(spark, SF).schema == first.schema
