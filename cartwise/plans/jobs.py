@@ -26,7 +26,7 @@ from cartwise.operators import items as it
 from cartwise.operators import recommend as rc
 from cartwise.operators import stock as st
 from cartwise.sources import sinks
-from cartwise.sources.tables import StoreTables, load_tables
+from cartwise.sources.tables import StoreTables, load_store_parquet, load_tables
 
 PROFILE_MAP = "item_profile_item_id_map"
 ALS_MODEL = "collaborative_filtering_model"
@@ -101,12 +101,18 @@ JOBS: dict[str, Callable[[JobContext], None]] = {
 
 
 def run(spark: SparkSession, tables_dir: str, out_dir: str, as_of: dt.date,
-        names: list[str] | None = None, users: DataFrame | None = None) -> list[str]:
-    """Run the named jobs (all by default) in dependency order; return their names."""
+        names: list[str] | None = None, users: DataFrame | None = None,
+        layout: str = "testdata") -> list[str]:
+    """Run the named jobs (all by default) in dependency order; return their names.
+
+    ``layout`` "store" reads the store's own tables from ``tables_dir``;
+    "testdata" adapts the benchmark's star schema.
+    """
     unknown = set(names or []) - set(JOBS)
     if unknown:
         raise ValueError(f"unknown jobs: {sorted(unknown)}")
-    ctx = JobContext(spark, load_tables(spark, tables_dir), out_dir, as_of, users)
+    tables = load_store_parquet(spark, tables_dir) if layout == "store" else load_tables(spark, tables_dir)
+    ctx = JobContext(spark, tables, out_dir, as_of, users)
     chosen = [n for n in JOBS if not names or n in names]
     for name in chosen:
         JOBS[name](ctx)
@@ -120,6 +126,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--tables", required=True, help="folder of the input parquet tables")
     ap.add_argument("--out", required=True, help="folder of the output collections")
     ap.add_argument("--as-of", default=dt.date.today().isoformat(), help="the job's 'today' (YYYY-MM-DD)")
+    ap.add_argument("--layout", choices=["store", "testdata"], default="store",
+                    help="store: the store's own tables; testdata: the benchmark star schema")
     ap.add_argument("--user", type=int, action="append", help="recommend for these customers only")
     ap.add_argument("jobs", nargs="*", help=f"jobs to run (default all): {', '.join(JOBS)}")
     a = ap.parse_args(argv)
@@ -127,7 +135,7 @@ def main(argv: list[str] | None = None) -> None:
     users = None
     if a.user:
         users = spark.createDataFrame([(u,) for u in a.user], "customer_id bigint")
-    done = run(spark, a.tables, a.out, dt.date.fromisoformat(a.as_of), a.jobs or None, users)
+    done = run(spark, a.tables, a.out, dt.date.fromisoformat(a.as_of), a.jobs or None, users, a.layout)
     print(" ".join(done))
 
 

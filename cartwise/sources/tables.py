@@ -14,6 +14,7 @@ holds at any scale factor.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,7 +44,7 @@ class StoreTables:
     review: DataFrame
     state_map: DataFrame
     item_tag: DataFrame
-    item_kind: DataFrame
+    item_kind: DataFrame | None = None   # only the test-data adapter knows an item's type
 
 
 def _customer(raw_customer: DataFrame, nation: DataFrame) -> DataFrame:
@@ -127,5 +128,67 @@ def load_tables(spark: SparkSession, sf_dir: str) -> StoreTables:
                               F.col("p_type").alias("kind")))
 
 
+# ---------------------------------------------------------------------------
+# the store's own schema (what a user of the reference has)
+# ---------------------------------------------------------------------------
+
+# The store's table names.
+STORE_TABLES = ("customer", "order_", "ordereditem", "item", "category", "item_category", "review",
+                "map_state_name_abbreviation")
+
+
+def store_tables(read: Callable[[str], DataFrame]) -> StoreTables:
+    """StoreTables from a reader of the store's own tables (name -> DataFrame).
+
+    Only the columns the jobs use are selected, so the reader prunes the rest.
+    Date and birthdate keep their source type (date or datetime): the
+    comparisons with as-of dates and ``unix_timestamp`` accept both.
+    """
+    customer = read("customer").select(F.col("id").cast("bigint").alias("id"), "name", "birthdate", "sex", "state")
+    order = read("order_").select(F.col("id").cast("bigint").alias("id"),
+                                  F.col("customer_id").cast("bigint").alias("customer_id"), "date",
+                                  F.col("totalPrice").cast("double").alias("totalPrice"))
+    ordereditem = read("ordereditem").select(F.col("order_id").cast("bigint").alias("order_id"),
+                                             F.col("item_id").cast("bigint").alias("item_id"),
+                                             F.col("quantity").cast("int").alias("quantity"))
+    item = read("item").select(F.col("id").cast("bigint").alias("id"), "title", "brand", "description", "imUrl",
+                               F.col("price").cast("double").alias("price"))
+    category = read("category").select(F.col("id").cast("int").alias("id"), "name")
+    item_category = read("item_category").select(F.col("items_id").cast("bigint").alias("items_id"),
+                                                 F.col("categories_id").cast("int").alias("categories_id"))
+    review = read("review").select(F.col("customer_id").cast("bigint").alias("customer_id"),
+                                   F.col("item_id").cast("bigint").alias("item_id"),
+                                   F.col("overall").cast("double").alias("overall"),
+                                   F.col("helpful").cast("int").alias("helpful"),
+                                   F.col("unhelpful").cast("int").alias("unhelpful"), "date")
+    state_map = read("map_state_name_abbreviation").select("name", "abbreviation")
+    item_tag = (item_category.join(category, F.col("categories_id") == F.col("id"))
+                .select(F.col("items_id").alias("item_id"), F.col("name").alias("tag")))
+    return StoreTables(customer=customer, order=order, ordereditem=ordereditem, item=item, category=category,
+                       item_category=item_category, review=review, state_map=state_map, item_tag=item_tag)
+
+
+def load_store_parquet(spark: SparkSession, folder: str, fmt: str = "parquet") -> StoreTables:
+    """The store's tables saved as ``<folder>/<table>`` in a Spark file format."""
+    return store_tables(lambda name: spark.read.format(fmt).load(f"{folder.rstrip('/')}/{name}"))
+
+
+def load_store_jdbc(spark: SparkSession, url: str, properties: dict[str, str],
+                    partitioning: dict[str, tuple[str, int, int, int]] | None = None) -> StoreTables:
+    """The store's tables read with Spark's JDBC source (the driver jar must be on
+    the classpath). ``partitioning`` maps a table to (column, lower, upper,
+    partitions) so a large table is read by many tasks in parallel ranges
+    instead of one connection; the reference read every query through one."""
+    parts = partitioning or {}
+
+    def read(name: str) -> DataFrame:
+        if name in parts:
+            col, lo, hi, n = parts[name]
+            return spark.read.jdbc(url, name, column=col, lowerBound=lo, upperBound=hi, numPartitions=n,
+                                   properties=properties)
+        return spark.read.jdbc(url, name, properties=properties)
+    return store_tables(read)
+
+
 def col_or(name: str | Column) -> Column:
     return F.col(name) if isinstance(name, str) else name

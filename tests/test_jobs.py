@@ -42,3 +42,36 @@ def test_all_jobs_write_their_collections(spark, tmp_path):
 def test_unknown_job_is_rejected(spark, tmp_path):
     with pytest.raises(ValueError):
         jobs.run(spark, SF, str(tmp_path), AS_OF, ["no_such_job"])
+
+
+def test_store_layout_reads_the_reference_schema(spark, tmp_path):
+    # the store's own tables, as parquet folders, run through the same jobs
+    from conftest import D
+    from cartwise.sources.tables import STORE_TABLES
+    folder = tmp_path / "store"
+    rows = {
+        "customer": ([(1, "ann", D("1970-01-01"), "F", "Ohio"), (2, "bob", None, "M", "Utah")],
+                     "id int, name string, birthdate date, sex string, state string"),
+        "order_": ([(10, 1, D("2001-03-01"), 20.5), (11, 2, D("2001-04-02"), 3.25)],
+                   "id int, customer_id int, date date, totalPrice double"),
+        "ordereditem": ([(10, 100, 2), (10, 101, 1), (11, 100, 4)], "order_id int, item_id int, quantity int"),
+        "item": ([(100, "t100", "B1", "d", "u", 1.0), (101, "t101", "B2", "d", "u", 2.0)],
+                 "id int, title string, brand string, description string, imUrl string, price double"),
+        "category": ([(1, "rock"), (2, "jazz")], "id int, name string"),
+        "item_category": ([(100, 1), (101, 1), (101, 2)], "items_id int, categories_id int"),
+        "review": ([(1, 100, 5.0, 3, 1, D("2001-05-01")), (2, 101, 2.0, 0, 2, D("2001-05-02"))],
+                   "customer_id int, item_id int, overall double, helpful int, unhelpful int, date date"),
+        "map_state_name_abbreviation": ([("Ohio", "OH"), ("Utah", "UT")], "name string, abbreviation string"),
+    }
+    assert set(rows) == set(STORE_TABLES)
+    for name, (data, schema) in rows.items():
+        spark.createDataFrame(data, schema).write.parquet(str(folder / name))
+    out = str(tmp_path / "out")
+    jobs.run(spark, str(folder), out, AS_OF, ["best_reviewers", "stock_overview", "also_bought",
+                                               "most_sold", "finances_overview"], layout="store")
+    br = {r.customerId: r.usefullness for r in spark.read.parquet(f"{out}/best_reviewers").collect()}
+    assert br == {1: 2, 2: -2}
+    doc = spark.read.parquet(f"{out}/stock_overview").first()
+    assert sum(m.numProducts for m in doc.monthly_sales) == 7
+    ms = {r.item_id: r.quantity for r in spark.read.parquet(f"{out}/most_sold_during_last_six_months").collect()}
+    assert ms == {100: 6, 101: 1}
