@@ -101,20 +101,27 @@ def _stats(x: Column, y: Column, cond: Column, prefix: str) -> list[Column]:
 
 
 def _solve(p: str, reg: Column, enet: Column, fit_intercept: Column) -> tuple[Column, Column]:
-    """(slope, intercept) of the elastic-net line from the ``p`` statistics."""
+    """(slope, intercept) of the elastic-net line from the ``p`` statistics.
+
+    Divisions use ``try_divide``: with ANSI mode a zero divisor would raise, and
+    a constant series or a single month has zero variance. Those cases take the
+    ``degenerate`` branch (flat line through the mean with an intercept, plain
+    least squares through the origin without one).
+    """
+    div = F.try_divide
     n = F.col(f"{p}_n")
-    mx, my = F.col(f"{p}_sx") / n, F.col(f"{p}_sy") / n
-    mxx, mxy, myy = F.col(f"{p}_sxx") / n, F.col(f"{p}_sxy") / n, F.col(f"{p}_syy") / n
+    mx, my = div(F.col(f"{p}_sx"), n), div(F.col(f"{p}_sy"), n)
+    mxx, mxy, myy = div(F.col(f"{p}_sxx"), n), div(F.col(f"{p}_sxy"), n), div(F.col(f"{p}_syy"), n)
     var_x = mxx - mx * mx
     var_y = myy - my * my
     sd_x, sd_y = F.sqrt(var_x), F.sqrt(var_y)
-    lam = reg / sd_y
-    c = F.when(fit_intercept, (mxy - mx * my) / (sd_x * sd_y)).otherwise(mxy / (sd_x * sd_y))
-    denom = F.when(fit_intercept, F.lit(1.0)).otherwise(mxx / var_x) + lam * (F.lit(1.0) - enet)
-    w = F.signum(c) * F.greatest(F.abs(c) - lam * enet, F.lit(0.0)) / denom
+    lam = div(reg, sd_y)
+    c = F.when(fit_intercept, div(mxy - mx * my, sd_x * sd_y)).otherwise(div(mxy, sd_x * sd_y))
+    denom = F.when(fit_intercept, F.lit(1.0)).otherwise(div(mxx, var_x)) + lam * (F.lit(1.0) - enet)
+    w = div(F.signum(c) * F.greatest(F.abs(c) - lam * enet, F.lit(0.0)), denom)
     degenerate = (var_x <= 0) | (var_y <= 0)
-    slope = F.when(degenerate, F.when(fit_intercept, F.lit(0.0)).otherwise(mxy / mxx)) \
-        .otherwise(w * sd_y / sd_x)
+    slope = F.when(degenerate, F.when(fit_intercept, F.lit(0.0)).otherwise(div(mxy, mxx))) \
+        .otherwise(div(w * sd_y, sd_x))
     intercept = F.when(fit_intercept, my - slope * mx).otherwise(F.lit(0.0))
     return slope, intercept
 
@@ -139,8 +146,9 @@ def fit_trend(series: DataFrame, x: str = "t", y: str = "label") -> DataFrame:
     s_, i_, nv = F.col("_s"), F.col("_i"), F.col("va_n")
     sse = (F.col("va_syy") - F.lit(2.0) * i_ * F.col("va_sy") - F.lit(2.0) * s_ * F.col("va_sxy")
            + nv * i_ * i_ + F.lit(2.0) * i_ * s_ * F.col("va_sx") + s_ * s_ * F.col("va_sxx"))
-    rmse = F.when(nv > 0, F.sqrt(F.greatest(sse, F.lit(0.0)) / nv)).otherwise(F.lit(0.0))
-    ranked = per.select("*", F.coalesce(rmse, F.lit(0.0)).alias("_rmse"))
+    rmse = F.when(nv > 0, F.sqrt(F.try_divide(F.greatest(sse, F.lit(0.0)), nv))).otherwise(F.lit(0.0))
+    # a candidate without a defined line (no fit possible) ranks last
+    ranked = per.select("*", F.coalesce(rmse, F.lit(float("inf"))).alias("_rmse"))
     # min over (rmse, grid position): the first candidate wins a tie
     best = ranked.agg(
         F.min(F.struct("_rmse", F.col("c.pos"), F.col("c.reg"), F.col("c.enet"),

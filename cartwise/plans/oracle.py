@@ -188,8 +188,8 @@ stats AS (SELECT {_stats_sql(f"NOT ({is_val})", "tr")}, {_stats_sql(is_val, "va"
   {_stats_sql("TRUE", "al")}, MAX(t) AS max_t FROM numbered),
 grid(pos, reg, enet, fi) AS (VALUES {grid_rows}),
 cand AS (SELECT stats.*, grid.*, {s_tr} AS _s, {i_tr} AS _i FROM stats, grid),
-scored AS (SELECT *, COALESCE(CASE WHEN va_n > 0 THEN SQRT(GREATEST({sse}, 0.0) / va_n) ELSE 0.0 END, 0.0)
-  AS rmse FROM cand),
+scored AS (SELECT *, COALESCE(CASE WHEN va_n > 0 THEN SQRT(GREATEST({sse}, 0.0) / va_n) ELSE 0.0 END,
+  CAST('inf' AS DOUBLE)) AS rmse FROM cand),
 best AS (SELECT * FROM scored ORDER BY rmse, pos LIMIT 1),
 model AS (SELECT {s_al} AS slope, {i_al} AS intercept, max_t FROM best),
 steps AS (SELECT h, {_d(FIRST)} + TO_MONTHS(CAST(h AS INTEGER)) AS d FROM range(0, {fc.HORIZON}) r(h)),

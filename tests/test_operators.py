@@ -203,3 +203,13 @@ def test_cluster_report_truncates_centroid_age(spark):
     assert set(rep) == {0, 1}  # D14: the empty cluster 2 is not reported
     assert (rep[0].number_customers, rep[0].age_interval, rep[0].brands) == (2, "20-24", ["A"])
     assert rep[1].age_interval == "Other"
+
+
+def test_trend_handles_constant_and_single_month_series(spark):
+    # zero variance must not divide by zero under ANSI mode: a flat line through the mean
+    for ys in ([5.0], [7.0] * 10):
+        s = spark.createDataFrame([(i, y) for i, y in enumerate(ys)], "t int, label double")
+        m = fc.fit_trend(s).first()
+        assert (m.slope, m.intercept, m.fit_intercept) == (0.0, ys[0], True)
+        pred = [r.prediction for r in fc.trend_forecast(fc.fit_trend(s), AS_OF).collect()]
+        assert pred == [ys[0]] * 12
