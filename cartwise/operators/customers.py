@@ -52,7 +52,9 @@ def _age_sums_by_state(t: StoreTables, as_of) -> DataFrame:
 
 def _mean_age(s: F.Column, n: F.Column) -> F.Column:
     """Mean of fractional ages from the exact sum of seconds, 6 decimals."""
-    return F.round(s.cast("double") / n.cast("double") / F.lit(float(SECONDS_PER_YEAR)), MEAN_DECIMALS)
+    # null (not an ANSI division error) when the group is empty, e.g. no 'F' customers
+    return F.round(F.try_divide(s.cast("double"), n.cast("double")) / F.lit(float(SECONDS_PER_YEAR)),
+                   MEAN_DECIMALS)
 
 
 def customers_mean_age(t: StoreTables, as_of) -> DataFrame:
@@ -120,8 +122,11 @@ def _shares(purchases: DataFrame, key: str, as_of, buckets) -> DataFrame:
     per = (purchases.groupBy("customer_id", "birthdate", key)
            .agg(F.sum("quantity").alias("quantity")))
     total = F.sum("quantity").over(Window.partitionBy("customer_id"))
+    # as the reference: normalize only when the customer's total is positive
+    share = F.when(total > 0, F.col("quantity").cast("double") / total.cast("double")) \
+        .otherwise(F.col("quantity").cast("double"))
     return per.select("customer_id", age_code(whole_age(F.col("birthdate"), as_of), buckets).alias("age_code"),
-                      key, "quantity", (F.col("quantity").cast("double") / total.cast("double")).alias("share"))
+                      key, "quantity", share.alias("share"))
 
 
 def customer_brand_shares(t: StoreTables, as_of) -> DataFrame:

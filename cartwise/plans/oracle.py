@@ -119,7 +119,8 @@ def _shares_sql(key: str, source: str, buckets) -> str:
   FROM ({source}) src GROUP BY customer_id, birthdate, {key}),
 tot AS (SELECT customer_id, SUM(quantity) AS total FROM per GROUP BY customer_id)
 SELECT per.customer_id, {_age_code(age, buckets)} AS age_code, {key}, quantity,
-       CAST(quantity AS DOUBLE) / CAST(total AS DOUBLE) AS share
+       CASE WHEN total > 0 THEN CAST(quantity AS DOUBLE) / CAST(total AS DOUBLE)
+            ELSE CAST(quantity AS DOUBLE) END AS share
 FROM per JOIN tot ON per.customer_id = tot.customer_id"""
 
 

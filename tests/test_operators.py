@@ -213,3 +213,9 @@ def test_trend_handles_constant_and_single_month_series(spark):
         assert (m.slope, m.intercept, m.fit_intercept) == (0.0, ys[0], True)
         pred = [r.prediction for r in fc.trend_forecast(fc.fit_trend(s), AS_OF).collect()]
         assert pred == [ys[0]] * 12
+
+
+def test_mean_age_of_an_empty_group_is_null(spark):
+    t = make_tables(spark, customers=[(1, "a", D("1971-07-15"), "M", "Ohio")])
+    m = cu.customers_mean_age(t, AS_OF).first()
+    assert m.average_age_female is None and m.average_age_male == m.average_age
