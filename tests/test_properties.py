@@ -5,7 +5,6 @@ from __future__ import annotations
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-
 from cartwise.functions.indexing import dense_index
 from cartwise.operators import recommend as rc
 from conftest import item_row, make_tables
