@@ -70,3 +70,60 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="cartwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+# Sizing rules for inputs far larger than memory (fixed values of this build).
+INPUT_BYTES_PER_SHUFFLE_PARTITION = 1 << 30     # projections and partial aggregation shrink data first
+MIN_SHUFFLE_PARTITIONS, MAX_SHUFFLE_PARTITIONS = 200, 50_000
+MIN_SPLIT_BYTES, MAX_SPLIT_BYTES = 128 << 20, 1 << 30
+TARGET_SCAN_TASKS = 200_000
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` from file-system metadata only."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_for_input(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Set shuffle partitions and scan split size from the input size, unless the
+    application set them itself (at launch or in this session).
+
+    Shuffle partitions: about one per GiB of input, clamped to [200, 50,000];
+    AQE coalesces the small ones after each map stage, so over-provisioning is
+    cheap while under-provisioning spills. Scan splits grow from 128 MiB to at
+    most 1 GiB so a 100 TB scan stays near 200,000 tasks. Returns what was set.
+    """
+    launched = spark.sparkContext.getConf()
+    changed: dict[str, str] = {}
+    size = input_bytes(spark, paths)
+    if size <= 0:
+        return changed
+    wanted = {
+        "spark.sql.shuffle.partitions": str(min(MAX_SHUFFLE_PARTITIONS, max(
+            MIN_SHUFFLE_PARTITIONS, size // INPUT_BYTES_PER_SHUFFLE_PARTITION))),
+        "spark.sql.files.maxPartitionBytes": str(min(MAX_SPLIT_BYTES, max(
+            MIN_SPLIT_BYTES, size // TARGET_SCAN_TASKS))),
+    }
+    for key, value in wanted.items():
+        if launched.contains(key) or spark.conf.get(key, None) != _default(spark, key):
+            continue
+        spark.conf.set(key, value)
+        changed[key] = value
+    return changed
+
+
+def _default(spark: SparkSession, key: str) -> str | None:
+    """The built-in default of a SQL setting (None if unknown)."""
+    try:
+        entry = spark.sparkContext._jvm.org.apache.spark.sql.internal.SQLConf.getConfigEntry(key)
+        return str(entry.defaultValueString())
+    except Exception:  # noqa: BLE001 - unknown key or gateway difference
+        return None

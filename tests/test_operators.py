@@ -219,3 +219,11 @@ def test_mean_age_of_an_empty_group_is_null(spark):
     t = make_tables(spark, customers=[(1, "a", D("1971-07-15"), "M", "Ohio")])
     m = cu.customers_mean_age(t, AS_OF).first()
     assert m.average_age_female is None and m.average_age_male == m.average_age
+
+
+def test_sizing_respects_settings_made_by_the_application(spark):
+    from cartwise.session import size_for_input
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    changed = size_for_input(spark, ["/root/testdata/sf0.001"])
+    assert "spark.sql.shuffle.partitions" not in changed      # set by the test session
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
