@@ -133,8 +133,9 @@ def unit_series_by_item(t: StoreTables, as_of, history: int = KEYED_HISTORY) ->
     The item index is a dense rank of the item id computed without a
     single-partition window (see ``dense_index``).
     """
+    # persisted: the index (a checkpointed job) and the join both read the sums
     s = _known_items(t, fc.monthly_series(_lines_in_history(t), "date", F.col("quantity"), as_of,
-                                          history, keys=["item_id"]))
+                                          history, keys=["item_id"])).persist(StorageLevel.MEMORY_AND_DISK)
     items = dense_index(s.select("item_id").distinct(), ["item_id"], "item_idx")
     return (s.join(items, "item_id")
             .select("year", "month", "item_id", "item_idx", F.col("label").cast("double").alias("label")))
