@@ -102,9 +102,9 @@ def value_series_by_state(t: StoreTables, as_of, history: int = KEYED_HISTORY) -
 
 
 def forecast_horizon_by_state(t: StoreTables, as_of, history: int = KEYED_HISTORY,
-                              horizon: int = fc.HORIZON) -> DataFrame:
+                              horizon: int = fc.HORIZON, series: DataFrame | None = None) -> DataFrame:
     """(month, year, state, state_idx, abbreviation): the rows a state model scores."""
-    series = value_series_by_state(t, as_of, history)
+    series = series if series is not None else value_series_by_state(t, as_of, history)
     states = series.select("state", "state_idx").distinct()
     sm = t.state_map.select(F.col("name").alias("state"), "abbreviation")
     keyed = states.join(sm, "state", "left")
@@ -120,7 +120,7 @@ def sales_value_predictions_by_state(t: StoreTables, as_of, history: int = KEYED
     """
     series = value_series_by_state(t, as_of, history).cache()
     model = fc.fit_keyed(series, ["month", "year", "state_idx"])
-    hz = forecast_horizon_by_state(t, as_of, history, horizon)
+    hz = forecast_horizon_by_state(t, as_of, history, horizon, series)
     scored = model.transform(hz)
     return scored.select("month", "year", "state", fc.cents(F.col("prediction")).alias("sales"),
                          "abbreviation")
