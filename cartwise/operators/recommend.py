@@ -21,6 +21,8 @@ MIN_RATING = 3.0
 # lines than HOT_ORDER_ITEMS is split into HOT_ORDER_SPLITS salted slices.
 HOT_ORDER_ITEMS = 10_000
 HOT_ORDER_SPLITS = 32
+# Entries per page of an item's also-bought list (about; pages are hash-balanced).
+ALSO_BOUGHT_PAGE = 1000
 
 RECOMMENDATION_SCHEMA = ("customer_id int, items array<struct<id: bigint, title: string, brand: string, "
                          "imUrl: string, price: double>>")
@@ -93,14 +95,25 @@ def also_bought_pairs(t: StoreTables, hot_items: int = HOT_ORDER_ITEMS,
     return pairs.join(attrs, "r_item_id").select("item_id", "r_item_id", "title", "brand", "imUrl", "quantity")
 
 
-def also_bought(t: StoreTables) -> DataFrame:
-    """(item_id, alsoBought: array<struct(item_id, title, brand, imUrl, quantity)>).
+def also_bought(t: StoreTables, page_size: int = ALSO_BOUGHT_PAGE) -> DataFrame:
+    """(item_id, page, alsoBought: array<struct(item_id, title, brand, imUrl, quantity)>).
 
-    The reference's document form. The list of an item holds every item bought
-    with it, so its length is bounded by the catalog, not by the order count.
+    The reference's document keeps one list per item. A popular item can be
+    bought with a large part of the catalog, so here an item's list is split
+    into pages of about ``page_size`` entries: the page of a partner is a hash
+    of its id modulo the item's page count (from a count per item), so the
+    rows of one item spread over many tasks and no group grows with the data.
+    Nothing is dropped: the pages of an item together hold its whole list, and
+    an item with at most ``page_size`` partners has exactly one page (page 0),
+    sorted by partner id.
     """
     p = also_bought_pairs(t)
-    return (p.groupBy("item_id")
+    pages = (p.groupBy("item_id").agg(F.count(F.lit(1)).alias("_n"))
+             .select("item_id", F.greatest(F.ceil(F.col("_n") / F.lit(page_size)), F.lit(1))
+                     .cast("bigint").alias("_pages")))
+    paged = p.join(pages, "item_id").withColumn(
+        "page", F.pmod(F.xxhash64("r_item_id"), F.col("_pages")).cast("int"))
+    return (paged.groupBy("item_id", "page")
             .agg(F.sort_array(F.collect_list(F.struct(
                 F.col("r_item_id").alias("item_id"), "title", "brand", "imUrl", "quantity")))
                  .alias("alsoBought")))

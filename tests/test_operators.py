@@ -138,6 +138,11 @@ def test_also_bought_preaggregation_and_salting_match_naive(spark):
     assert (1, 2, 14) in plain and (2, 1, 6) in plain
     doc = {r.item_id: r.alsoBought for r in rc.also_bought(t).collect()}
     assert [x.item_id for x in doc[1]] == [2, 3] and 4 not in doc
+    # pages of one entry: every partner still appears exactly once
+    paged = rc.also_bought(t, page_size=1).collect()
+    assert all(len(r.alsoBought) >= 1 for r in paged)
+    assert sorted((r.item_id, x.item_id) for r in paged for x in r.alsoBought) == \
+        sorted((r.item_id, r.r_item_id) for r in rc.also_bought_pairs(t).collect())
 
 
 def test_rankings_use_half_open_six_month_window(spark):
