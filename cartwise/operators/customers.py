@@ -100,27 +100,30 @@ def customers_overview(t: StoreTables, as_of) -> DataFrame:
 # segmentation
 # ---------------------------------------------------------------------------
 
-def _purchases(t: StoreTables) -> DataFrame:
-    """(customer_id, birthdate, item_id, quantity): units per customer and item,
-    for customers with a birthdate. Summed before any item attribute is joined,
-    so the join with the catalog sees one row per (customer, item)."""
+def _units_by_customer(t: StoreTables, keyed_items: DataFrame, key: str) -> DataFrame:
+    """(customer_id, <key>, quantity): units per customer and key (brand or profile).
+
+    Lines meet their order's buyer and their item's key, and are summed per
+    (customer, key) with map-side combining; customers (for the birthdate) are
+    joined to those sums only, so that join sees one row per customer and key.
+    """
     orders = t.order.select(F.col("id").alias("_oid"), F.col("customer_id"))
-    cust = t.customer.dropna(subset=["birthdate"]).select(F.col("id").alias("customer_id"), "birthdate")
     return (t.ordereditem.join(orders, F.col("order_id") == F.col("_oid"))
-            .groupBy("customer_id", "item_id").agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity"))
-            .join(cust, "customer_id").select("customer_id", "birthdate", "item_id", "quantity"))
+            .join(keyed_items, "item_id")
+            .groupBy("customer_id", key).agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity")))
 
 
-def _shares(purchases: DataFrame, key: str, as_of, buckets) -> DataFrame:
-    """(customer_id, age_code, <key>, quantity, share): quantity share per key.
+def _shares(units: DataFrame, t: StoreTables, key: str, as_of, buckets) -> DataFrame:
+    """(customer_id, age_code, <key>, quantity, share): quantity share per key,
+    for customers with a birthdate.
 
-    The first aggregation combines map-side, so even a customer holding a third
-    of all lines arrives as a few (customer, key) rows per task. The customer's
-    total is then a window over those rows, whose partition per customer is
-    bounded by the vocabulary (brands or profiles), not by the lines.
+    The customer's total is a window over the (customer, key) sums, whose
+    partition per customer is bounded by the vocabulary (brands or profiles),
+    not by the lines; a customer holding a third of all lines arrives as a few
+    partial sums per task.
     """
-    per = (purchases.groupBy("customer_id", "birthdate", key)
-           .agg(F.sum("quantity").alias("quantity")))
+    cust = t.customer.dropna(subset=["birthdate"]).select(F.col("id").alias("customer_id"), "birthdate")
+    per = units.join(cust, "customer_id")
     total = F.sum("quantity").over(Window.partitionBy("customer_id"))
     # as the reference: normalize only when the customer's total is positive
     share = F.when(total > 0, F.col("quantity").cast("double") / total.cast("double")) \
@@ -133,13 +136,13 @@ def customer_brand_shares(t: StoreTables, as_of) -> DataFrame:
     """(customer_id, age_code, brand, quantity, share); null and blank brands dropped."""
     items = t.item.filter(F.col("brand").isNotNull() & (F.col("brand") != "")) \
         .select(F.col("id").alias("item_id"), "brand")
-    return _shares(_purchases(t).join(items, "item_id"), "brand", as_of, BRAND_AGE_BUCKETS)
+    return _shares(_units_by_customer(t, items, "brand"), t, "brand", as_of, BRAND_AGE_BUCKETS)
 
 
 def customer_profile_shares(t: StoreTables, profile_map: DataFrame, as_of) -> DataFrame:
     """(customer_id, age_code, profile_id, quantity, share) over a profile map."""
     pm = profile_map.select("item_id", "profile_id")
-    return _shares(_purchases(t).join(pm, "item_id"), "profile_id", as_of, PROFILE_AGE_BUCKETS)
+    return _shares(_units_by_customer(t, pm, "profile_id"), t, "profile_id", as_of, PROFILE_AGE_BUCKETS)
 
 
 def segments_age_brand(t: StoreTables, as_of, k: int = BRAND_K, max_iter: int = BRAND_ITERS,
