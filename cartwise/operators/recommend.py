@@ -107,7 +107,8 @@ def also_bought(t: StoreTables, page_size: int = ALSO_BOUGHT_PAGE) -> DataFrame:
     an item with at most ``page_size`` partners has exactly one page (page 0),
     sorted by partner id.
     """
-    p = also_bought_pairs(t)
+    # the pairs are read twice (partner counts, pages): persisted, computed once
+    p = also_bought_pairs(t).persist(StorageLevel.MEMORY_AND_DISK)
     pages = (p.groupBy("item_id").agg(F.count(F.lit(1)).alias("_n"))
              .select("item_id", F.greatest(F.ceil(F.col("_n") / F.lit(page_size)), F.lit(1))
                      .cast("bigint").alias("_pages")))
