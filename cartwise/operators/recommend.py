@@ -205,9 +205,16 @@ def train_collaborative_filtering(t: StoreTables, rank: int = ALS_RANK, max_iter
     if ``recommendations_path`` is given, the cached recommendations made by the
     previous model are cleared (an empty collection with the same schema)."""
     from pyspark.ml.recommendation import ALS
+    data = ratings(t)
+    # one block per core of the cluster (at least ALS's default of 10): each
+    # iteration updates factor blocks in parallel, so 10 blocks would cap a
+    # large cluster at 10 tasks per step. Lineage is cut every 10 iterations
+    # in the session's checkpoint folder (checkpointInterval).
+    blocks = max(10, data.sparkSession.sparkContext.defaultParallelism)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol="customer_id", itemCol="item_id",
-              ratingCol="overall", coldStartStrategy="drop", seed=seed)
-    model = als.fit(ratings(t))
+              ratingCol="overall", coldStartStrategy="drop", seed=seed, numUserBlocks=blocks,
+              numItemBlocks=blocks, checkpointInterval=10)
+    model = als.fit(data)
     if path:
         sinks.save_model(model, path)
     if recommendations_path:
