@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 DEFAULT_AS_OF = dt.date(2001, 7, 15)
 
 
-def as_date(as_of: dt.date | str) -> Column:
-    return F.lit(str(as_of)).cast("date")
-
-
 def first_of_month(as_of: dt.date | str) -> dt.date:
     d = as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(str(as_of))
     return d.replace(day=1)

@@ -47,10 +47,6 @@ def age_seconds(birthdate: Column, as_of: dt.date | str) -> Column:
     return F.lit(as_of_seconds(as_of)) - F.unix_timestamp(birthdate)
 
 
-def fractional_age(birthdate: Column, as_of: dt.date | str) -> Column:
-    return age_seconds(birthdate, as_of) * 1.0 / SECONDS_PER_YEAR
-
-
 def whole_age(birthdate: Column, as_of: dt.date | str) -> Column:
     """Integer years, truncating toward zero (the cast truncates)."""
     return (age_seconds(birthdate, as_of) / F.lit(SECONDS_PER_YEAR)).cast("bigint")
