@@ -41,11 +41,10 @@ def _item_attributes(t: StoreTables) -> DataFrame:
 # also bought
 # ---------------------------------------------------------------------------
 
-def also_bought_pairs(t: StoreTables, hot_items: int = HOT_ORDER_ITEMS,
-                      splits: int = HOT_ORDER_SPLITS) -> DataFrame:
-    """(item_id, r_item_id, title, brand, imUrl, quantity), one row per pair of
-    different items bought in a common order; quantity = units of r_item over
-    every pairing of their lines.
+def _pair_sums(t: StoreTables, hot_items: int = HOT_ORDER_ITEMS,
+               splits: int = HOT_ORDER_SPLITS) -> DataFrame:
+    """(item_id, r_item_id, _fw, _bw) for item_id < r_item_id: units of r_item
+    paired with item (_fw) and of item paired with r_item (_bw).
 
     Plan, for scale:
 
@@ -86,15 +85,31 @@ def also_bought_pairs(t: StoreTables, hot_items: int = HOT_ORDER_ITEMS,
             .groupBy("item_id", "r_item_id")
             .agg(F.sum(F.col("n_lines") * F.col("r_qty")).alias("_fw"),
                  F.sum(F.col("r_n_lines") * F.col("qty")).alias("_bw")))
-    pairs = half.select(F.explode(F.array(
+    return half
+
+
+def _directed(half: DataFrame) -> DataFrame:
+    """(item_id, r_item_id, quantity): both directions of every unordered pair."""
+    return half.select(F.explode(F.array(
         F.struct(F.col("item_id").alias("a"), F.col("r_item_id").alias("b"), F.col("_fw").alias("q")),
         F.struct(F.col("r_item_id").alias("a"), F.col("item_id").alias("b"), F.col("_bw").alias("q"))))
         .alias("p")).select(F.col("p.a").alias("item_id"), F.col("p.b").alias("r_item_id"),
                             F.col("p.q").alias("quantity"))
+
+
+def _with_partner_attributes(t: StoreTables, pairs: DataFrame) -> DataFrame:
     attrs = t.item.select(F.col("id").alias("r_item_id"), "title", "brand", "imUrl")
     return pairs.join(attrs, "r_item_id").select("item_id", "r_item_id", "title", "brand", "imUrl", "quantity")
 
 
+def also_bought_pairs(t: StoreTables, hot_items: int = HOT_ORDER_ITEMS,
+                      splits: int = HOT_ORDER_SPLITS) -> DataFrame:
+    """(item_id, r_item_id, title, brand, imUrl, quantity), one row per pair of
+    different items bought in a common order; quantity = units of r_item over
+    every pairing of their lines. See ``_pair_sums`` for the plan."""
+    return _with_partner_attributes(t, _directed(_pair_sums(t, hot_items, splits)))
+
+
 def also_bought(t: StoreTables, page_size: int = ALSO_BOUGHT_PAGE) -> DataFrame:
     """(item_id, page, alsoBought: array<struct(item_id, title, brand, imUrl, quantity)>).
 
@@ -107,11 +122,13 @@ def also_bought(t: StoreTables, page_size: int = ALSO_BOUGHT_PAGE) -> DataFrame:
     an item with at most ``page_size`` partners has exactly one page (page 0),
     sorted by partner id.
     """
-    # the pairs are read twice (partner counts, pages): persisted, computed once
-    p = also_bought_pairs(t).persist(StorageLevel.MEMORY_AND_DISK)
-    pages = (p.groupBy("item_id").agg(F.count(F.lit(1)).alias("_n"))
+    # the narrow pair sums feed both the partner counts and the pages: persisted once
+    half = _pair_sums(t).persist(StorageLevel.MEMORY_AND_DISK)
+    pages = (half.select(F.explode(F.array("item_id", "r_item_id")).alias("item_id"))
+             .groupBy("item_id").agg(F.count(F.lit(1)).alias("_n"))
              .select("item_id", F.greatest(F.ceil(F.col("_n") / F.lit(page_size)), F.lit(1))
                      .cast("bigint").alias("_pages")))
+    p = _with_partner_attributes(t, _directed(half))
     paged = p.join(pages, "item_id").withColumn(
         "page", F.pmod(F.xxhash64("r_item_id"), F.col("_pages")).cast("int"))
     return (paged.groupBy("item_id", "page")
