@@ -26,18 +26,26 @@ def units_by_month_state_item(t: StoreTables, as_of, months: int = OVERVIEW_MONT
 
     Plan: the date filter reaches the orders scan, and orders are joined to
     their known-state buyers before they meet the line table, so only the
-    surviving orders reach the large join on the order id. Lines are then
+    surviving orders reach the large join on the order id. With the co-located
+    layout (``sources/layout.py``) that join needs no exchange, so lines meet
+    orders first and buyers afterwards. Lines are then
     summed per (month, state, item) with map-side combining, and the catalog
     check (the inner join with ``item`` in the reference) runs on those sums:
     the same result as checking every line, without shuffling the line table
     by item id. The three overview parts all derive from this frame.
     """
     cust = known_states(t.customer.select(F.col("id").alias("_cid"), "state"), "state", t.state_map)
-    recent = (t.order.filter(since_months(F.col("date"), as_of, months))
-              .join(cust, F.col("customer_id") == F.col("_cid"))
-              .select(F.col("id").alias("_oid"), "date", "state", "abbreviation"))
-    sums = (t.ordereditem.join(recent, F.col("order_id") == F.col("_oid"))
-            .groupBy(*_ym(), "state", "abbreviation", "item_id")
+    recent = t.order.filter(since_months(F.col("date"), as_of, months))
+    if t.colocated:
+        # bucketed alike: lines meet their orders bucket by bucket, no exchange;
+        # the buyers join the already matched rows
+        lines = (t.ordereditem.join(recent, F.col("order_id") == F.col("id"))
+                 .join(cust, F.col("customer_id") == F.col("_cid")))
+    else:
+        orders = (recent.join(cust, F.col("customer_id") == F.col("_cid"))
+                  .select(F.col("id").alias("_oid"), "date", "state", "abbreviation"))
+        lines = t.ordereditem.join(orders, F.col("order_id") == F.col("_oid"))
+    sums = (lines.groupBy(*_ym(), "state", "abbreviation", "item_id")
             .agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity")))
     return sums.join(t.item.select(F.col("id").alias("item_id")), "item_id", "left_semi")
 

@@ -25,6 +25,7 @@ from cartwise.operators import finances as fi
 from cartwise.operators import items as it
 from cartwise.operators import recommend as rc
 from cartwise.operators import stock as st
+from cartwise.sources import layout as colocated_layout
 from cartwise.sources import sinks
 from cartwise.sources.tables import StoreTables, load_store_parquet, load_tables
 
@@ -102,16 +103,23 @@ JOBS: dict[str, Callable[[JobContext], None]] = {
 
 def run(spark: SparkSession, tables_dir: str, out_dir: str, as_of: dt.date,
         names: list[str] | None = None, users: DataFrame | None = None,
-        layout: str = "testdata") -> list[str]:
+        layout: str = "testdata", colocate: tuple[str, int] | None = None) -> list[str]:
     """Run the named jobs (all by default) in dependency order; return their names.
 
     ``layout`` "store" reads the store's own tables from ``tables_dir``;
-    "testdata" adapts the benchmark's star schema.
+    "testdata" adapts the benchmark's star schema. ``colocate`` = (folder,
+    buckets) reads orders and order lines from a bucketed copy in ``folder``,
+    writing it first if the folder is empty (see ``sources/layout.py``).
     """
     unknown = set(names or []) - set(JOBS)
     if unknown:
         raise ValueError(f"unknown jobs: {sorted(unknown)}")
     tables = load_store_parquet(spark, tables_dir) if layout == "store" else load_tables(spark, tables_dir)
+    if colocate:
+        folder, buckets = colocate
+        if not _has_files(spark, folder):
+            colocated_layout.write_colocated(tables, folder, buckets)
+        tables = colocated_layout.load_colocated(spark, tables, folder, buckets)
     ctx = JobContext(spark, tables, out_dir, as_of, users)
     chosen = [n for n in JOBS if not names or n in names]
     for name in chosen:
@@ -120,6 +128,12 @@ def run(spark: SparkSession, tables_dir: str, out_dir: str, as_of: dt.date,
     return chosen
 
 
+def _has_files(spark: SparkSession, folder: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path))
+
+
 def main(argv: list[str] | None = None) -> None:
     from cartwise.session import get_session
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
@@ -129,13 +143,17 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--layout", choices=["store", "testdata"], default="store",
                     help="store: the store's own tables; testdata: the benchmark star schema")
     ap.add_argument("--user", type=int, action="append", help="recommend for these customers only")
+    ap.add_argument("--colocate-into", help="folder for orders and lines bucketed by order id")
+    ap.add_argument("--buckets", type=int, default=1024, help="bucket count of the co-located copy")
     ap.add_argument("jobs", nargs="*", help=f"jobs to run (default all): {', '.join(JOBS)}")
     a = ap.parse_args(argv)
     spark = get_session(os.environ.get("CARTWISE_MASTER"))
     users = None
     if a.user:
         users = spark.createDataFrame([(u,) for u in a.user], "customer_id bigint")
-    done = run(spark, a.tables, a.out, dt.date.fromisoformat(a.as_of), a.jobs or None, users, a.layout)
+    colocate = (a.colocate_into, a.buckets) if a.colocate_into else None
+    done = run(spark, a.tables, a.out, dt.date.fromisoformat(a.as_of), a.jobs or None, users, a.layout,
+               colocate)
     print(" ".join(done))
 
 

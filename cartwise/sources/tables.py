@@ -45,6 +45,7 @@ class StoreTables:
     state_map: DataFrame
     item_tag: DataFrame
     item_kind: DataFrame | None = None   # only the test-data adapter knows an item's type
+    colocated: bool = False              # order and ordereditem bucketed alike by order id
 
 
 def _customer(raw_customer: DataFrame, nation: DataFrame) -> DataFrame:

@@ -75,3 +75,16 @@ def test_store_layout_reads_the_reference_schema(spark, tmp_path):
     assert sum(m.numProducts for m in doc.monthly_sales) == 7
     ms = {r.item_id: r.quantity for r in spark.read.parquet(f"{out}/most_sold_during_last_six_months").collect()}
     assert ms == {100: 6, 101: 1}
+
+
+def test_jobs_on_the_colocated_layout(spark, tmp_path):
+    from cartwise.sources import layout
+    out = str(tmp_path / "out")
+    try:
+        jobs.run(spark, SF, out, AS_OF, ["stock_overview", "sales_predictions"],
+                 colocate=(str(tmp_path / "b"), 4))
+        assert spark.read.parquet(f"{out}/stock_overview").count() == 1
+        assert spark.read.parquet(f"{out}/sales_predictions").count() == 12
+    finally:
+        for name in (layout.ORDER_TABLE, layout.LINES_TABLE):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
