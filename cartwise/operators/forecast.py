@@ -11,7 +11,8 @@ monthly series:
   refitted on all rows. Everything stays a DataFrame expression, so the result
   is reproducible and has an exact SQL oracle.
 * ``fit_keyed`` -- month, year and a key index as features, fitted with
-  ``pyspark.ml`` ``LinearRegression`` inside ``TrainValidationSplit`` (seeded).
+  ``pyspark.ml`` ``LinearRegression`` for every candidate on the same key-based
+  split, then refitted on all rows.
 
 Closed form (population moments, labels standardized as Spark does), one
 feature x, label y, reg = lambda, enet = alpha, lambda_eff = lambda / sd(y):
@@ -24,6 +25,7 @@ feature x, label y, reg = lambda, enet = alpha, lambda_eff = lambda / sd(y):
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +39,7 @@ FIT_INTERCEPT = [True, False]
 ELASTIC_NET = [0.0, 0.5, 1.0]
 HORIZON = 12
 VALIDATION_EVERY = 4   # month numbers t with t % 4 == 3 are the validation rows
+KEYED_FIT_PARALLELISM = 4   # candidate fits submitted at once
 
 
 def grid() -> list[tuple[float, bool, float]]:
@@ -177,24 +180,44 @@ def trend_forecast(model: DataFrame, as_of: dt.date | str, horizon: int = HORIZO
 # keyed model: month, year, key index -> label (pyspark.ml)
 # ---------------------------------------------------------------------------
 
-def fit_keyed(train: DataFrame, feature_cols: list[str], label: str = "label", seed: int = 42):
-    """TrainValidationSplit over the 12-candidate LinearRegression grid."""
-    from pyspark.ml import Pipeline
+def fit_keyed(train: DataFrame, feature_cols: list[str], label: str = "label"):
+    """Choose among the 12 LinearRegression candidates and refit; return a
+    ``PipelineModel`` (assembler + regression) that scores ``feature_cols``.
+
+    The split is key-based like the trend's: months whose position among the
+    series' months is 3 modulo 4 are validation. A random split (the
+    reference's choice) depends on row order after a shuffle; this one does
+    not, so the chosen candidate is the same on every run. The lowest
+    validation RMSE wins, the first candidate on a tie (also when there is no
+    validation month); the winner is refitted on all rows. Each fit is a
+    distributed ``pyspark.ml`` job; only the 12 RMSE values reach the driver.
+    """
+    from pyspark.ml import PipelineModel
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
-    from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 
-    lr = LinearRegression(featuresCol="features", labelCol=label)
-    params = (ParamGridBuilder().addGrid(lr.regParam, REG_PARAMS)
-              .addGrid(lr.fitIntercept, FIT_INTERCEPT)
-              .addGrid(lr.elasticNetParam, ELASTIC_NET).build())
-    tvs = TrainValidationSplit(estimator=lr, estimatorParamMaps=params,
-                               evaluator=RegressionEvaluator(labelCol=label), seed=seed,
-                               parallelism=4)
+    months = dense_index(train.select("year", "month").distinct(), ["year", "month"], "_t", bounded=True)
     assembler = VectorAssembler(inputCols=feature_cols, outputCol="features")
-    data = train.select(*feature_cols, F.col(label).cast("double").alias(label))
-    return Pipeline(stages=[assembler, tvs]).fit(data)
+    data = assembler.transform(
+        train.join(months, ["year", "month"])
+        .select(*feature_cols, F.col(label).cast("double").alias(label),
+                ((F.col("_t") % VALIDATION_EVERY) == (VALIDATION_EVERY - 1)).alias("_val")))
+    fit_rows, val_rows = data.filter(~F.col("_val")).cache(), data.filter(F.col("_val")).cache()
+    lr = LinearRegression(featuresCol="features", labelCol=label)
+    candidates = [{lr.regParam: reg, lr.fitIntercept: fi, lr.elasticNetParam: enet} for reg, fi, enet in grid()]
+    best = 0
+    if val_rows.take(1):
+        evaluator = RegressionEvaluator(labelCol=label, metricName="rmse")
+
+        def score(params) -> float:
+            return evaluator.evaluate(lr.copy(params).fit(fit_rows).transform(val_rows))
+        # candidates are independent jobs: submit a few at once, as TrainValidationSplit does
+        with ThreadPoolExecutor(max_workers=KEYED_FIT_PARALLELISM) as pool:
+            scores = list(pool.map(score, candidates))
+        best = min(range(len(scores)), key=lambda i: (scores[i], i))
+    final = lr.copy(candidates[best]).fit(data)
+    return PipelineModel(stages=[assembler, final])
 
 
 def keyed_horizon(keys: DataFrame, as_of: dt.date | str, horizon: int = HORIZON) -> DataFrame:
