@@ -1,11 +1,11 @@
 """cartwise: retail analytics for an online store, written as Spark DataFrame plans.
 
 Layout:
-  sources/    table loading (parquet -> store tables) and sinks (overwrite/append/clear)
+  sources/    table loading (store schema, JDBC, benchmark adapter), sinks, co-located layout
   functions/  column-level helpers: calendar windows, ages, states, dense indexes
   operators/  the user-level jobs (overviews, rankings, recommenders, segments, forecasts)
-  plans/      the registered query catalog and its DuckDB oracle SQL
-  streaming/  (empty on purpose: the reference has no streaming job)
+  plans/      the registered query catalog, its DuckDB oracle SQL, the job runner
+  streaming/  (empty on purpose: no job streams)
 """
 
 from cartwise.session import get_session, checkpoint_dir
