@@ -79,8 +79,22 @@ MIN_SPLIT_BYTES, MAX_SPLIT_BYTES = 128 << 20, 1 << 30
 TARGET_SCAN_TASKS = 200_000
 
 
+_INPUT_BYTES: dict[tuple[str, ...], int] = {}
+
+
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total size of the files under ``paths`` from file-system metadata only."""
+    """Total size of the files under ``paths`` from file-system metadata only.
+
+    Remembered per path set for the life of the process: on an object store a
+    100 TB table is a long listing, and every loader call would repeat it.
+    """
+    key = tuple(paths)
+    if key not in _INPUT_BYTES:
+        _INPUT_BYTES[key] = _listed_bytes(spark, paths)
+    return _INPUT_BYTES[key]
+
+
+def _listed_bytes(spark: SparkSession, paths: list[str]) -> int:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     total = 0
