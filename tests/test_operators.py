@@ -232,3 +232,16 @@ def test_sizing_respects_settings_made_by_the_application(spark):
     changed = size_for_input(spark, ["/root/testdata/sf0.001"])
     assert "spark.sql.shuffle.partitions" not in changed      # set by the test session
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_share_vectors_use_the_used_vocabulary_and_raw_age_code(spark):
+    # slots = sorted ids that occur (7 and 42, not 0..42); D11: age code last, unnormalized
+    from cartwise.operators import clusters as cl
+    shares = spark.createDataFrame(
+        [(1, 3, 42, 0.25), (1, 3, 7, 0.75), (2, 99, 42, 1.0)],
+        "customer_id int, age_code int, profile_id int, share double")
+    vocab = cl.vocabulary(shares, "profile_id")
+    assert sorted((r.profile_id, r.idx) for r in vocab.collect()) == [(7, 0), (42, 1)]
+    vecs = {r.customer_id: r.features.toArray().tolist()
+            for r in cl.share_vectors(shares, vocab, "profile_id", "customer_id").collect()}
+    assert vecs == {1: [0.75, 0.25, 3.0], 2: [0.0, 1.0, 99.0]}
