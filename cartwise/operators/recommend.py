@@ -239,11 +239,15 @@ def train_collaborative_filtering(t: StoreTables, rank: int = ALS_RANK, max_iter
     return model
 
 
-def recommend_products_flat(model, t: StoreTables, users: DataFrame, n: int = TOP_RECS,
+def recommend_products_flat(model, t: StoreTables, users: DataFrame | None, n: int = TOP_RECS,
                             min_rating: float = MIN_RATING) -> DataFrame:
     """(customer_id, rank, id, rating, title, brand, imUrl, price): up to n items per
-    user with predicted rating >= min_rating. ``users`` holds ``customer_id``."""
-    recs = model.recommendForUserSubset(users.select(F.col("customer_id").cast("int")), n)
+    user with predicted rating >= min_rating. ``users`` holds ``customer_id``;
+    None means every user the model knows (no subset join)."""
+    if users is None:
+        recs = model.recommendForAllUsers(n)
+    else:
+        recs = model.recommendForUserSubset(users.select(F.col("customer_id").cast("int")), n)
     flat = recs.select("customer_id", F.posexplode("recommendations").alias("rank", "r")) \
         .select("customer_id", (F.col("rank") + 1).alias("rank"), F.col("r.item_id").cast("bigint").alias("id"),
                 F.col("r.rating").cast("double").alias("rating")) \
@@ -252,7 +256,7 @@ def recommend_products_flat(model, t: StoreTables, users: DataFrame, n: int = TO
     return flat.join(attrs, "id").select("customer_id", "rank", "id", "rating", "title", "brand", "imUrl", "price")
 
 
-def recommend_products(model, t: StoreTables, users: DataFrame, n: int = TOP_RECS,
+def recommend_products(model, t: StoreTables, users: DataFrame | None, n: int = TOP_RECS,
                        min_rating: float = MIN_RATING, path: str | None = None) -> DataFrame:
     """(customer_id, items: array<struct(id, title, brand, imUrl, price)>, json).
 

@@ -63,8 +63,7 @@ def _collaborative_filtering(c: JobContext) -> None:
 def _recommend(c: JobContext) -> None:
     from pyspark.ml.recommendation import ALSModel
     model = ALSModel.load(c.path(ALS_MODEL))
-    users = c.users if c.users is not None else c.t.review.select("customer_id").distinct()
-    rc.recommend_products(model, c.t, users, path=c.path(RECOMMENDATIONS))
+    rc.recommend_products(model, c.t, c.users, path=c.path(RECOMMENDATIONS))   # None: every user
 
 
 # job name -> job; the order is the dependency order
