@@ -135,27 +135,36 @@ def sales_predictions(t: StoreTables, as_of, history: int = UNIT_HISTORY,
     return pred.select("month", "year", F.greatest(v, F.lit(0)).alias("sales"))
 
 
+def _item_series(t: StoreTables, as_of, history: int) -> tuple[DataFrame, DataFrame]:
+    """(series with item_idx, the item index itself)."""
+    # persisted: the index (a checkpointed job) and the join both read the sums
+    s = _known_items(t, fc.monthly_series(_lines_in_history(t), "date", F.col("quantity"), as_of,
+                                          history, keys=["item_id"])).persist(StorageLevel.MEMORY_AND_DISK)
+    items = dense_index(s.select("item_id").distinct(), ["item_id"], "item_idx")
+    series = (s.join(items, "item_id")
+              .select("year", "month", "item_id", "item_idx", F.col("label").cast("double").alias("label")))
+    return series, items
+
+
 def unit_series_by_item(t: StoreTables, as_of, history: int = KEYED_HISTORY) -> DataFrame:
     """(year, month, item_id, item_idx, label): units per whole month and item.
 
     The item index is a dense rank of the item id computed without a
     single-partition window (see ``dense_index``).
     """
-    # persisted: the index (a checkpointed job) and the join both read the sums
-    s = _known_items(t, fc.monthly_series(_lines_in_history(t), "date", F.col("quantity"), as_of,
-                                          history, keys=["item_id"])).persist(StorageLevel.MEMORY_AND_DISK)
-    items = dense_index(s.select("item_id").distinct(), ["item_id"], "item_idx")
-    return (s.join(items, "item_id")
-            .select("year", "month", "item_id", "item_idx", F.col("label").cast("double").alias("label")))
+    return _item_series(t, as_of, history)[0]
 
 
 def sales_predictions_by_item(t: StoreTables, as_of, history: int = KEYED_HISTORY,
                               horizon: int = fc.HORIZON) -> DataFrame:
-    """(month, year, itemId, itemName, sales): one model over (month, year, item index)."""
-    series = unit_series_by_item(t, as_of, history).cache()
-    model = fc.fit_keyed(series, ["month", "year", "item_idx"])
-    keys = series.select("item_id", "item_idx").distinct() \
-        .join(t.item.select(F.col("id").alias("item_id"), "title"), "item_id", "left")
+    """(month, year, itemId, itemName, sales): one model over (month, year, item index).
+
+    The horizon's keys come from the item index (one row per item), not from
+    a distinct over the months x items series.
+    """
+    series, items = _item_series(t, as_of, history)
+    model = fc.fit_keyed(series.cache(), ["month", "year", "item_idx"])
+    keys = items.join(t.item.select(F.col("id").alias("item_id"), "title"), "item_id", "left")
     scored = model.transform(fc.keyed_horizon(keys, as_of, horizon))
     return scored.select("month", "year", F.col("item_id").alias("itemId"),
                          F.col("title").alias("itemName"),
