@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the as-of date the registered queries use.
@@ -52,3 +52,22 @@ def horizon_months(as_of: dt.date | str, n: int = 12) -> Column:
     """Array of the next ``n`` first-of-month dates, starting with as_of's month."""
     first = first_of_month(as_of)
     return F.sequence(F.lit(first), F.lit(add_months(first, n - 1)), F.expr("INTERVAL 1 MONTH"))
+
+
+def month_prefilter(lines: DataFrame, lo: dt.date | None, hi: dt.date | None) -> DataFrame:
+    """Keep order lines whose order month lies in [month of lo, month of hi].
+
+    Only a lines copy that carries its order's month (the co-located layout,
+    partitioned by that month) has the column; there the filter prunes whole
+    partitions at the scan. It is a superset of any day-level window inside
+    those months, so the exact filter on the order date still decides.
+    Without the column the lines are returned unchanged.
+    """
+    if "order_month" not in lines.columns:
+        return lines
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & (F.col("order_month") >= F.lit(first_of_month(lo)))
+    if hi is not None:
+        cond = cond & (F.col("order_month") <= F.lit(first_of_month(hi)))
+    return lines.filter(cond)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.functions.calendar import last_months
+from cartwise.functions.calendar import add_months, last_months, month_prefilter
 from cartwise.sources import sinks
 from cartwise.sources.tables import StoreTables
 
@@ -149,7 +151,9 @@ def most_sold(t: StoreTables, as_of, months: int = RANKING_MONTHS, n: int = TOP_
     """
     orders = t.order.filter(last_months(F.col("date"), as_of, months)).select(F.col("id").alias("_oid"))
     known = t.item.select(F.col("id").alias("item_id"))
-    qty = (t.ordereditem.join(orders, F.col("order_id") == F.col("_oid"))
+    d = as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(str(as_of))
+    lines = month_prefilter(t.ordereditem, add_months(d, -months), d)   # prunes on the co-located layout
+    qty = (lines.join(orders, F.col("order_id") == F.col("_oid"))
            .groupBy("item_id").agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity"))
            .join(known, "item_id", "left_semi"))
     top = qty.orderBy(F.col("quantity").desc(), F.col("item_id").asc()).limit(n)

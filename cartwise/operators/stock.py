@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.functions.calendar import since_months
+from cartwise.functions.calendar import add_months, first_of_month, month_prefilter, since_months
 from cartwise.functions.indexing import dense_index
 from cartwise.functions.people import known_states, state_code
 from cartwise.operators import forecast as fc
@@ -38,8 +40,10 @@ def units_by_month_state_item(t: StoreTables, as_of, months: int = OVERVIEW_MONT
     recent = t.order.filter(since_months(F.col("date"), as_of, months))
     if t.colocated:
         # bucketed alike: lines meet their orders bucket by bucket, no exchange;
-        # the buyers join the already matched rows
-        lines = (t.ordereditem.join(recent, F.col("order_id") == F.col("id"))
+        # the buyers join the already matched rows; old months are pruned at the scan
+        d = as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(str(as_of))
+        lines = (month_prefilter(t.ordereditem, add_months(d, -months), None)
+                 .join(recent, F.col("order_id") == F.col("id"))
                  .join(cust, F.col("customer_id") == F.col("_cid")))
     else:
         orders = (recent.join(cust, F.col("customer_id") == F.col("_cid"))
@@ -109,10 +113,13 @@ def stock_overview(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS,
 # forecasts
 # ---------------------------------------------------------------------------
 
-def _lines_in_history(t: StoreTables) -> DataFrame:
-    """Order lines with their order's date and buyer."""
+def _lines_in_history(t: StoreTables, as_of, history: int) -> DataFrame:
+    """Order lines with their order's date and buyer; on the co-located layout
+    only the line partitions of the history's months are read."""
+    first = first_of_month(as_of)
+    lines = month_prefilter(t.ordereditem, add_months(first, -history), add_months(first, -1))
     orders = t.order.select(F.col("id").alias("_oid"), "customer_id", "date")
-    return t.ordereditem.join(orders, F.col("order_id") == F.col("_oid"))
+    return lines.join(orders, F.col("order_id") == F.col("_oid"))
 
 
 def _known_items(t: StoreTables, df: DataFrame) -> DataFrame:
@@ -122,7 +129,7 @@ def _known_items(t: StoreTables, df: DataFrame) -> DataFrame:
 
 def unit_series(t: StoreTables, as_of, history: int = UNIT_HISTORY) -> DataFrame:
     """(year, month, t, label): units per whole month before as_of's month."""
-    s = fc.monthly_series(_lines_in_history(t), "date", F.col("quantity"), as_of, history)
+    s = fc.monthly_series(_lines_in_history(t, as_of, history), "date", F.col("quantity"), as_of, history)
     return fc.number_months(s).select("year", "month", "t", F.col("label").cast("double").alias("label"))
 
 
@@ -138,7 +145,7 @@ def sales_predictions(t: StoreTables, as_of, history: int = UNIT_HISTORY,
 def _item_series(t: StoreTables, as_of, history: int) -> tuple[DataFrame, DataFrame]:
     """(series with item_idx, the item index itself)."""
     # persisted: the index (a checkpointed job) and the join both read the sums
-    s = _known_items(t, fc.monthly_series(_lines_in_history(t), "date", F.col("quantity"), as_of,
+    s = _known_items(t, fc.monthly_series(_lines_in_history(t, as_of, history), "date", F.col("quantity"), as_of,
                                           history, keys=["item_id"])).persist(StorageLevel.MEMORY_AND_DISK)
     items = dense_index(s.select("item_id").distinct(), ["item_id"], "item_idx")
     series = (s.join(items, "item_id")
@@ -174,7 +181,7 @@ def sales_predictions_by_item(t: StoreTables, as_of, history: int = KEYED_HISTOR
 def unit_series_by_state(t: StoreTables, as_of, history: int = KEYED_HISTORY) -> DataFrame:
     """(year, month, state, state_idx, label) over all states (no state filter)."""
     cust = t.customer.select(F.col("id").alias("_cid"), "state")
-    li = _lines_in_history(t).join(cust, F.col("customer_id") == F.col("_cid"))
+    li = _lines_in_history(t, as_of, history).join(cust, F.col("customer_id") == F.col("_cid"))
     s = fc.monthly_series(li, "date", F.col("quantity"), as_of, history, keys=["state"])
     states = dense_index(s.select("state").distinct(), ["state"], "state_idx", bounded=True)
     return (s.join(states, "state")
@@ -203,7 +210,7 @@ def unit_series_by_profile(t: StoreTables, profile_map: DataFrame, as_of,
                            history: int = KEYED_HISTORY) -> DataFrame:
     """(year, month, profile_id, label): units per whole month and item profile."""
     pm = profile_map.select("item_id", "profile_id")
-    per_item = _known_items(t, fc.monthly_series(_lines_in_history(t), "date", F.col("quantity"), as_of,
+    per_item = _known_items(t, fc.monthly_series(_lines_in_history(t, as_of, history), "date", F.col("quantity"), as_of,
                                                  history, keys=["item_id"]))
     return (per_item.join(pm, "item_id").groupBy("year", "month", "profile_id")
             .agg(F.sum("label").cast("double").alias("label")))

@@ -10,6 +10,8 @@ input. The layout is optional: ``load_colocated`` returns the same
 The bucket metadata lives in the session catalog; ``load_colocated``
 re-registers the written folders (``CREATE TABLE ... CLUSTERED BY ...
 LOCATION``), so a later application can use the folders without a metastore.
+The lines copy is also partitioned by its order's month, so windows on the
+order date prune line files before the join.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import dataclasses
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from cartwise.sources.tables import StoreTables
 
@@ -25,24 +28,35 @@ LINES_TABLE = "cartwise_ordereditem_by_order"
 
 
 def write_colocated(t: StoreTables, folder: str, buckets: int) -> None:
-    """Write orders and order lines bucketed and sorted by the order id."""
+    """Write orders and order lines bucketed and sorted by the order id.
+
+    The lines copy also carries its order's month and is partitioned by it, so
+    date-windowed jobs prune line files at the scan (``month_prefilter``).
+    Lines without an order keep a null month and stay in the copy.
+    """
     folder = folder.rstrip("/")
     (t.order.write.mode("overwrite").format("parquet").bucketBy(buckets, "id").sortBy("id")
      .option("path", f"{folder}/order").saveAsTable(ORDER_TABLE))
-    (t.ordereditem.write.mode("overwrite").format("parquet").bucketBy(buckets, "order_id").sortBy("order_id")
+    months = t.order.select(F.col("id").alias("order_id"), F.trunc("date", "month").alias("order_month"))
+    lines = t.ordereditem.join(months, "order_id", "left")
+    (lines.write.mode("overwrite").format("parquet").partitionBy("order_month")
+     .bucketBy(buckets, "order_id").sortBy("order_id")
      .option("path", f"{folder}/ordereditem").saveAsTable(LINES_TABLE))
 
 
 def load_colocated(spark: SparkSession, t: StoreTables, folder: str, buckets: int) -> StoreTables:
     """``t`` with ``order`` and ``ordereditem`` read from the bucketed folders."""
     folder = folder.rstrip("/")
-    specs = [(ORDER_TABLE, "id BIGINT, customer_id BIGINT, date {date}, totalPrice DOUBLE", "id", "order"),
-             (LINES_TABLE, "order_id BIGINT, item_id BIGINT, quantity INT", "order_id", "ordereditem")]
     date_type = t.order.schema["date"].dataType.simpleString().upper()
-    for name, cols, key, sub in specs:
-        if not spark.catalog.tableExists(name):
-            spark.sql(f"CREATE TABLE {name} ({cols.format(date=date_type)}) USING parquet "
-                      f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS "
-                      f"LOCATION '{folder}/{sub}'")
+    if not spark.catalog.tableExists(ORDER_TABLE):
+        spark.sql(f"CREATE TABLE {ORDER_TABLE} (id BIGINT, customer_id BIGINT, date {date_type}, "
+                  f"totalPrice DOUBLE) USING parquet CLUSTERED BY (id) SORTED BY (id) "
+                  f"INTO {buckets} BUCKETS LOCATION '{folder}/order'")
+    if not spark.catalog.tableExists(LINES_TABLE):
+        spark.sql(f"CREATE TABLE {LINES_TABLE} (order_id BIGINT, item_id BIGINT, quantity INT, "
+                  f"order_month DATE) USING parquet PARTITIONED BY (order_month) "
+                  f"CLUSTERED BY (order_id) SORTED BY (order_id) INTO {buckets} BUCKETS "
+                  f"LOCATION '{folder}/ordereditem'")
+        spark.sql(f"ALTER TABLE {LINES_TABLE} RECOVER PARTITIONS")
     return dataclasses.replace(t, order=spark.table(ORDER_TABLE), ordereditem=spark.table(LINES_TABLE),
                                colocated=True)

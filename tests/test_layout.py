@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from cartwise.operators import recommend as rc
 from cartwise.operators import stock as st
 from cartwise.sources import layout
 from cartwise.sources.tables import load_tables
@@ -28,10 +29,17 @@ def test_colocated_join_has_no_exchange_and_same_result(spark, tmp_path):
         joined = b.ordereditem.join(b.order, F.col("order_id") == F.col("id"))
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan
-        for fn in (st.unit_series, st.stock_monthly_by_state, st.stock_top_products):
+        for fn in (st.unit_series, st.unit_series_by_item, st.stock_monthly_by_state, st.stock_top_products,
+                   rc.most_sold):
             got = sorted(map(tuple, fn(b, AS_OF).collect()))
             want = sorted(map(tuple, fn(t, AS_OF).collect()))
             assert got == want, fn.__name__
+        pairs = lambda tt: sorted(map(tuple, rc.also_bought_pairs(tt).collect()))
+        assert pairs(b) == pairs(t)        # lines without a window are all kept
+        # the six-month window prunes line partitions at the scan
+        scan = [line for line in rc.most_sold(b, AS_OF)._jdf.queryExecution().executedPlan().toString()
+                .split("\n") if "FileScan" in line and "order_month" in line]
+        assert scan and "PartitionFilters: [isnotnull(order_month" in scan[0]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         for name in (layout.ORDER_TABLE, layout.LINES_TABLE):
