@@ -44,3 +44,20 @@ def test_colocated_join_has_no_exchange_and_same_result(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         for name in (layout.ORDER_TABLE, layout.LINES_TABLE):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_lines_without_an_order_stay_in_the_copy(spark, tmp_path):
+    from conftest import D, item_row, make_tables
+    # order 9 does not exist: its lines get a null month but still pair up
+    t = make_tables(spark, orders=[(1, 1, D("2001-01-10"), 1.0)],
+                    lines=[(1, 1, 2), (1, 2, 3), (9, 1, 4), (9, 3, 5)],
+                    items=[item_row(i) for i in (1, 2, 3)])
+    try:
+        layout.write_colocated(t, str(tmp_path / "b"), buckets=2)
+        b = layout.load_colocated(spark, t, str(tmp_path / "b"), buckets=2)
+        assert b.ordereditem.count() == 4
+        got = sorted((r.item_id, r.r_item_id, r.quantity) for r in rc.also_bought_pairs(b).collect())
+        assert got == [(1, 2, 3), (1, 3, 5), (2, 1, 2), (3, 1, 4)]
+    finally:
+        for name in (layout.ORDER_TABLE, layout.LINES_TABLE):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
