@@ -122,6 +122,12 @@ def _lines_in_history(t: StoreTables, as_of, history: int) -> DataFrame:
     return lines.join(orders, F.col("order_id") == F.col("_oid"))
 
 
+def _units_per_item_month(t: StoreTables, as_of, history: int) -> DataFrame:
+    """(year, month, item_id, label): units per whole month and catalog item."""
+    lines = _lines_in_history(t, as_of, history)
+    return _known_items(t, fc.monthly_series(lines, "date", F.col("quantity"), as_of, history, keys=["item_id"]))
+
+
 def _known_items(t: StoreTables, df: DataFrame) -> DataFrame:
     """Rows whose item is in the catalog; applied to per-item sums, not lines."""
     return df.join(t.item.select(F.col("id").alias("item_id")), "item_id", "left_semi")
@@ -145,8 +151,7 @@ def sales_predictions(t: StoreTables, as_of, history: int = UNIT_HISTORY,
 def _item_series(t: StoreTables, as_of, history: int) -> tuple[DataFrame, DataFrame]:
     """(series with item_idx, the item index itself)."""
     # persisted: the index (a checkpointed job) and the join both read the sums
-    s = _known_items(t, fc.monthly_series(_lines_in_history(t, as_of, history), "date", F.col("quantity"), as_of,
-                                          history, keys=["item_id"])).persist(StorageLevel.MEMORY_AND_DISK)
+    s = _units_per_item_month(t, as_of, history).persist(StorageLevel.MEMORY_AND_DISK)
     items = dense_index(s.select("item_id").distinct(), ["item_id"], "item_idx")
     series = (s.join(items, "item_id")
               .select("year", "month", "item_id", "item_idx", F.col("label").cast("double").alias("label")))
@@ -210,8 +215,7 @@ def unit_series_by_profile(t: StoreTables, profile_map: DataFrame, as_of,
                            history: int = KEYED_HISTORY) -> DataFrame:
     """(year, month, profile_id, label): units per whole month and item profile."""
     pm = profile_map.select("item_id", "profile_id")
-    per_item = _known_items(t, fc.monthly_series(_lines_in_history(t, as_of, history), "date", F.col("quantity"), as_of,
-                                                 history, keys=["item_id"]))
+    per_item = _units_per_item_month(t, as_of, history)
     return (per_item.join(pm, "item_id").groupBy("year", "month", "profile_id")
             .agg(F.sum("label").cast("double").alias("label")))
 
