@@ -88,3 +88,39 @@ def test_jobs_on_the_colocated_layout(spark, tmp_path):
     finally:
         for name in (layout.ORDER_TABLE, layout.LINES_TABLE):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_jdbc_loader_passes_partitioned_reads(spark, monkeypatch):
+    # no database here: the JDBC reader is replaced by local frames, and the
+    # test checks which tables are read and with which partitioning
+    from pyspark.sql.readwriter import DataFrameReader
+
+    from cartwise.sources.tables import STORE_TABLES, load_store_jdbc
+    frames = {
+        "customer": ([(1, "ann", None, "F", "Ohio")], "id int, name string, birthdate date, sex string, state string"),
+        "order_": ([(10, 1, None, 2.0)], "id int, customer_id int, date date, totalPrice double"),
+        "ordereditem": ([(10, 100, 2)], "order_id int, item_id int, quantity int"),
+        "item": ([(100, "t", "b", "d", "u", 1.0)],
+                 "id int, title string, brand string, description string, imUrl string, price double"),
+        "category": ([(1, "rock")], "id int, name string"),
+        "item_category": ([(100, 1)], "items_id int, categories_id int"),
+        "review": ([(1, 100, 5.0, 1, 0, None)],
+                   "customer_id int, item_id int, overall double, helpful int, unhelpful int, date date"),
+        "map_state_name_abbreviation": ([("Ohio", "OH")], "name string, abbreviation string"),
+    }
+    calls = {}
+
+    def fake_jdbc(self, url, table, column=None, lowerBound=None, upperBound=None, numPartitions=None,
+                  predicates=None, properties=None):
+        calls[table] = (url, column, lowerBound, upperBound, numPartitions, dict(properties or {}))
+        data, schema = frames[table]
+        return spark.createDataFrame(data, schema)
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", fake_jdbc)
+    t = load_store_jdbc(spark, "jdbc:mysql://db/store", {"user": "u"},
+                        partitioning={"ordereditem": ("order_id", 0, 1_000_000, 64)})
+    assert set(calls) == set(STORE_TABLES)
+    assert calls["ordereditem"][1:5] == ("order_id", 0, 1_000_000, 64)
+    assert calls["customer"][1] is None and calls["customer"][5] == {"user": "u"}
+    assert t.item_tag.collect()[0].tag == "rock"
+    assert t.ordereditem.schema["order_id"].dataType.simpleString() == "bigint"
