@@ -20,9 +20,10 @@ TOP_RECS = 20
 MIN_RATING = 3.0
 
 # Skew guard for the also-bought self-join: an order with more distinct items
-# lines than HOT_ORDER_ITEMS is split into HOT_ORDER_SPLITS salted slices.
+# lines than HOT_ORDER_ITEMS is split into salted slices of about that many
+# lines each, at most HOT_ORDER_SPLITS of them.
 HOT_ORDER_ITEMS = 10_000
-HOT_ORDER_SPLITS = 32
+HOT_ORDER_SPLITS = 1024
 # Entries per page of an item's also-bought list (about; pages are hash-balanced).
 ALSO_BOUGHT_PAGE = 1000
 
@@ -59,29 +60,34 @@ def _pair_sums(t: StoreTables, hot_items: int = HOT_ORDER_ITEMS,
       output. Both sides read the same reduced frame, persisted (memory and
       disk) so it is computed once; Spark does not reuse the shuffle of a
       self-join's two sides by itself. A lost block is recomputed from lineage.
-    * Orders with more than ``hot_items`` lines are salted: the left side is
-      split by item hash into ``splits`` slices and the right side of only those
-      orders is replicated per slice, so one huge basket is spread over
-      ``splits`` tasks. Hot orders are found by a count over the order id
-      alone (partial aggregation, one small row per order).
+    * Orders with more than ``hot_items`` lines are salted in proportion to
+      their size: an order of n lines gets min(``splits``, ceil(n /
+      ``hot_items``)) slices. The left side is split by item hash into those
+      slices and the right side of only that order is replicated per slice, so
+      a basket holding a third of all lines is spread over as many tasks as it
+      needs (up to ``splits``), each pairing about ``hot_items`` lines with the
+      order. Hot orders are found by a count over the order id alone (partial
+      aggregation, one small row per order).
     """
     known = t.item.select(F.col("id").alias("item_id"))
+    per_slice = max(hot_items, 1)
     hot = (t.ordereditem.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > hot_items).select("order_id", F.lit(True).alias("_hot")))
+           .filter(F.col("_n") > hot_items)
+           .select("order_id", F.least(F.ceil(F.col("_n") / F.lit(per_slice)), F.lit(splits))
+                   .cast("int").alias("_slices")))
     per = (t.ordereditem.join(known, "item_id", "left_semi")
            .groupBy("order_id", "item_id")
            .agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("quantity").cast("bigint")).alias("qty"))
            .join(hot, "order_id", "left")
-           .select("order_id", "item_id", "n_lines", "qty", F.coalesce("_hot", F.lit(False)).alias("_hot"))
+           .select("order_id", "item_id", "n_lines", "qty",
+                   F.greatest(F.coalesce("_slices", F.lit(1)), F.lit(1)).alias("_slices"))
            .persist(StorageLevel.MEMORY_AND_DISK))
-    is_hot = F.col("_hot")
+    slices = F.col("_slices")
     left = per.select("order_id", "item_id", "n_lines", "qty",
-                      F.when(is_hot, F.pmod(F.xxhash64("item_id"), F.lit(splits))).otherwise(F.lit(0))
-                      .cast("int").alias("_salt"))
+                      F.pmod(F.xxhash64("item_id"), slices).cast("int").alias("_salt"))
     right = per.select(F.col("order_id").alias("r_order_id"), F.col("item_id").alias("r_item_id"),
                        F.col("n_lines").alias("r_n_lines"), F.col("qty").alias("r_qty"),
-                       F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(splits - 1)))
-                                 .otherwise(F.array(F.lit(0)))).alias("_r_salt"))
+                       F.explode(F.sequence(F.lit(0), slices - 1)).alias("_r_salt"))
     half = (left.join(right, (F.col("order_id") == F.col("r_order_id")) & (F.col("_salt") == F.col("_r_salt"))
                       & (F.col("item_id") < F.col("r_item_id")))
             .groupBy("item_id", "r_item_id")
