@@ -1,11 +1,13 @@
 """Language identification by compression.
 
 For each language a raw-content zstandard dictionary is made of sampled texts.
-A text is encoded with every dictionary, in chunks of ``CHUNK`` bytes so that
-the dictionary and not the text's own repetitions decides on long texts too,
-and gets the language of the smallest total. The margin to the second smallest,
-as a share of the smallest, says how sure that is; ``accepted`` is false where
-it is below ``MIN_MARGIN``.
+A text, reduced to lower-case words of letters, is encoded with every
+dictionary, in chunks of ``CHUNK`` bytes so that the dictionary and not the
+text's own repetitions decides on long texts too, and gets the language of the
+smallest total. The margin to the second smallest, as a share of the smallest,
+says how sure that is; ``accepted`` is false where it is below ``MIN_MARGIN``.
+A few words may be too short for any match; where sizes tie, the dictionary
+that holds the text's words more often decides.
 
 The dictionaries are fitted on a bounded sample: ``DOCS_PER_LANGUAGE`` labelled
 documents of each language, chosen by a hash of their ids, and of their text at
@@ -13,8 +15,8 @@ most ``DICTIONARY_BYTES`` a language (small enough to be sent to every task).
 Prediction reads whole texts where they lie, without a shuffle.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0
-and not accepted. Without any labelled row everything is ``und``. Ties go to the
-language first by name. Rows with null ``lang`` or null id teach nothing.
+and not accepted. Without any labelled row everything is ``und``. A tie that
+the words don't decide goes to the language first by name and is not accepted. Rows with null ``lang`` or null id teach nothing.
 """
 
 from __future__ import annotations
@@ -32,18 +34,24 @@ from cartwise.llm.common import sample_by, text_column
 
 UNKNOWN = "und"
 #: Labelled documents sampled for each language.
-DOCS_PER_LANGUAGE = 120
+DOCS_PER_LANGUAGE = 100
 #: Bytes of a language's dictionary, and of a sampled text's part in it.
-DICTIONARY_BYTES, SHARE_BYTES = 112 << 10, 1 << 10
+DICTIONARY_BYTES, SHARE_BYTES = 56 << 10, 1 << 10
 #: Bytes encoded at once; zstandard's level.
-CHUNK, LEVEL = 4 << 10, 3
+CHUNK, LEVEL = 4 << 10, 12
 #: Least margin for an accepted prediction.
-MIN_MARGIN = 0.005
+MIN_MARGIN = 0.001
 
 PREDICTION = "struct<lang:string,score:double,margin:double,accepted:boolean>"
 _PREDICTION = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("margin", pa.float64()),
                          ("accepted", pa.bool_())])
 _LETTER = regex.compile(r"\p{L}")
+_LETTERS = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
+
+
+def letters(text: str) -> bytes:
+    """Lower-case words, without ASCII digits and punctuation."""
+    return b" ".join(text.lower().encode("utf-8", "surrogatepass").translate(_LETTERS).split())
 
 
 def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE,
@@ -59,40 +67,47 @@ def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE,
             .select("lang", "doc_id", F.substring("text", 1, SHARE_BYTES).alias("part")))
     texts: dict[str, list[tuple[int, bytes]]] = {}
     for r in part.collect():
-        texts.setdefault(r.lang, []).append((r.doc_id, r.part.encode()[:SHARE_BYTES]))
+        texts.setdefault(r.lang, []).append((r.doc_id, letters(r.part)[:SHARE_BYTES]))
     made = {}
     for lang, own in sorted(texts.items()):
-        content = b"\n".join(part for _, part in sorted(own))
+        content = b" ".join(part for _, part in sorted(own))
         made[lang] = content[:dictionary_bytes]
     least = min(map(len, made.values()), default=0)
-    return {lang: content[:max(least, 8)] for lang, content in made.items()}    # alike in size, or the larger wins
+    return {lang: content[:max(least, 64)] for lang, content in made.items()}    # alike in size, or the larger wins
 
 
 class Classifier:
     def __init__(self, dictionaries: dict[str, bytes], min_margin: float = MIN_MARGIN):
         self.min_margin = min_margin
         self.languages = sorted(dictionaries)
-        self.encoders = []
+        self.encoders, self.contents = [], [b" " + dictionaries[lang] + b" " for lang in self.languages]
         for lang in self.languages:
             d = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=LEVEL)
             self.encoders.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_dict_id=False))
 
-    def sizes(self, text: str) -> list[int]:
-        data = text.encode("utf-8", "surrogatepass")
+    def sizes(self, data: bytes) -> list[int]:
         chunks = [data[i:i + CHUNK] for i in range(0, len(data), CHUNK)]
         return [sum(len(e.compress(c)) for c in chunks) for e in self.encoders]
 
     def predict(self, text: str | None) -> dict:
         if not text or not self.languages or not _LETTER.search(text):
             return {"lang": UNKNOWN, "score": 0.0, "margin": 0.0, "accepted": False}
-        sizes = self.sizes(text)
-        best = min(sizes)
-        lang = self.languages[sizes.index(best)]
+        data = letters(text)
+        sizes: list[float] = self.sizes(data)
+        best = min(sizes) or 1
+        tied = [i for i, s in enumerate(sizes) if s == best]
+        if len(tied) > 1:
+            own = set(data.split())
+            held = {i: sum(self.contents[i].count(b" " + w + b" ") for w in own) for i in tied}
+            most = max(held.values())
+            for i in tied:     # less than a byte: ties only
+                sizes[i] += (most - held[i]) / (1 + most)
+        lang = self.languages[sizes.index(min(sizes))]
         rest = sorted(sizes)[1:]
-        margin = (rest[0] - best) / best if rest else 1.0
-        # 50 points of margin in a thousand make a language e times likelier
-        score = 1 / sum(math.exp(-min(700.0, (s - best) / best / 0.05)) for s in sizes)
+        margin = (rest[0] - min(sizes)) / best if rest else 1.0
+        # a margin of 5 % makes a language e times likelier
+        score = 1 / sum(math.exp(-min(700.0, (s - min(sizes)) / best / 0.05)) for s in sizes)
         return {"lang": lang, "score": score, "margin": margin, "accepted": margin >= self.min_margin}
 
 
