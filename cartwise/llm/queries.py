@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import decontaminate, exact_dedup, language_id, packing
+from cartwise.llm import decontaminate, exact_dedup, language_id, ngram_join, packing
 from cartwise.llm.common import documents, learnable, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def remainder(modulus: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and near-duplicate component of each document."""
+    return ngram_join.near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of at most 2048 tokens; a row per piece."""
     return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
@@ -54,7 +59,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op5_best_fit_packing, op8_benchmark_decontamination, op9_language_id, op10_exact_dedup)}
+    op2_ngram_jaccard_join, op5_best_fit_packing, op8_benchmark_decontamination, op9_language_id, op10_exact_dedup)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

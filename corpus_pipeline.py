@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import decontaminate, exact_dedup, language_id, packing
+from cartwise.llm import decontaminate, exact_dedup, language_id, ngram_join, packing
 from cartwise.llm.common import documents, fresh, learnable, written
 from cartwise.llm.queries import tokenizer_path
 
@@ -30,6 +30,17 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.drop_copies(docs, exact_dedup.exact_dedup(docs))
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that near-duplicate links connect the one with the smallest doc_id stays.
+
+    Documents without a word, and rows without a doc_id, stay.
+    """
+    key, = fresh(docs, "_near_copy_id")
+    found = ngram_join.near_duplicates(docs)
+    gone = written(found.filter("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct(), "near_copies")
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(key), "left_anti").select(*docs.columns)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark window in them go."""
     found, = fresh(docs, "_contamination")
@@ -46,6 +57,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("language_id", identify_languages),
     ("exact_dedup", drop_exact_copies),
+    ("ngram_jaccard_join", drop_near_copies),
     ("benchmark_decontamination", drop_contaminated),
     ("best_fit_packing", pack_sequences),
 ]
