@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import decontaminate, exact_dedup, language_id, ngram_join, packing
+from cartwise.llm import (decontaminate, exact_dedup, language_id, line_dedup, ngram_join, packing, secret_scan,
+                          token_counts, toxicity)
 from cartwise.llm.common import documents, learnable, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,16 +24,52 @@ def remainder(modulus: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
+def of_kind(spans: str, kind: str):
+    """How many spans are of a kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the later occurrences of repeated three-line windows."""
+    return line_dedup.line_dedup(texts(documents(spark, sf_dir)))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and near-duplicate component of each document."""
     return ngram_join.near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document, learned from the labelled rows not held out."""
+    docs, labels = documents(spark, sf_dir), documents(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(learnable(labels, 5, 0)))
+    return (texts(docs).withColumn("score", toxicity.toxicity(model))
+            .select("doc_id", F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out"), "score",
+                    (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and greedy word-piece tokens of each document."""
+    docs = texts(documents(spark, sf_dir))
+    counts = token_counts.token_counts(tokenizer_path("byte_bpe_50k.json"))
+    return docs.select("doc_id", "text").withColumn("counts", counts).select("doc_id", "counts.n_words", "counts.n_tokens")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of at most 2048 tokens; a row per piece."""
     return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each document: the base spans, and tokens that look random."""
+    docs = texts(documents(spark, sf_dir))
+    found = docs.withColumn("all", secret_scan.scan(secret_scan.fit(docs)))
+    base = F.filter("all", lambda s: s["kind"] != "random")
+    n = [of_kind("all", k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *n, F.sha2(secret_scan.joined(base).cast("binary"), 256).alias("base_sha256"),
+                        secret_scan.joined(F.col("all")).alias("spans"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in benchmark windows, and the items found."""
     hits = decontaminate.find_contamination(texts(documents(spark, sf_dir)), documents(spark, sf_dir, "benchmark"))
@@ -59,11 +96,25 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_ngram_jaccard_join, op5_best_fit_packing, op8_benchmark_decontamination, op9_language_id, op10_exact_dedup)}
+    op1_line_dedup, op2_ngram_jaccard_join, op3_toxicity, op4_token_counts, op5_best_fit_packing, op6_secret_scan, op8_benchmark_decontamination, op9_language_id, op10_exact_dedup)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": r"""
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+w AS (SELECT doc_id, i, l[i] || chr(10) || l[i + 1] || chr(10) || l[i + 2] AS g
+      FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS i FROM d WHERE len(l) >= 3)),
+v AS (SELECT * FROM w WHERE regexp_matches(g, '[0-9A-Za-z]|[^\x00-\x7F]')),
+f AS (SELECT g, min((doc_id, i)) AS first FROM v GROUP BY g HAVING count(*) > 1),
+c AS (SELECT doc_id, unnest(range(CASE WHEN doc_id = first[1] THEN greatest(i, first[2] + 3) ELSE i END, i + 3)) AS p
+      FROM v JOIN f USING (g) WHERE (doc_id, i) <> first),
+gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM c GROUP BY 1)
+SELECT d.doc_id, CASE WHEN ps IS NULL THEN text
+         ELSE array_to_string([x.s FOR x IN list_zip(l, range(1, len(l) + 1)) IF NOT list_contains(ps, x[2])], chr(10))
+         END AS text,
+       coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(len(ps), 0)::BIGINT AS n_removed
+FROM d LEFT JOIN gone USING (doc_id)""".replace("x.s FOR", "x[1] FOR"),
     "op8_benchmark_decontamination": rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
