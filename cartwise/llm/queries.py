@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import (decontaminate, exact_dedup, language_id, line_dedup, ngram_join, packing, secret_scan,
+from cartwise.llm import (decontaminate, exact_dedup, language_id, line_dedup, ngram_join, packing, pii, secret_scan,
                           token_counts, toxicity)
 from cartwise.llm.common import documents, learnable, texts
 
@@ -70,6 +70,15 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.joined(F.col("all")).alias("spans"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of each document: the base spans, and what the trained classifier adds."""
+    found = pii.personal_spans(documents(spark, sf_dir)).withColumnRenamed("spans", "all")
+    base = F.filter("all", lambda s: s["base"])
+    return found.select("doc_id", *[of_kind("all", k).alias(f"n_{k}") for k in pii.BASE],
+                        F.sha2(secret_scan.joined(base).cast("binary"), 256).alias("base_sha256"),
+                        secret_scan.joined(F.col("all")).alias("spans"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in benchmark windows, and the items found."""
     hits = decontaminate.find_contamination(texts(documents(spark, sf_dir)), documents(spark, sf_dir, "benchmark"))
@@ -96,7 +105,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_line_dedup, op2_ngram_jaccard_join, op3_toxicity, op4_token_counts, op5_best_fit_packing, op6_secret_scan, op8_benchmark_decontamination, op9_language_id, op10_exact_dedup)}
+    op1_line_dedup, op2_ngram_jaccard_join, op3_toxicity, op4_token_counts, op5_best_fit_packing, op6_secret_scan, op7_pii,
+    op8_benchmark_decontamination, op9_language_id, op10_exact_dedup)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
