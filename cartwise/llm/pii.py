@@ -120,7 +120,7 @@ def _passes(kind: str, hit: Column) -> Column:
     if kind == "ip":
         return hit.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$")
     if kind == "card":
-        return n.between(12, 19) & F.when(n.between(12, 19), F.luhn_check(_digits(hit))).otherwise(False)
+        return n.between(12, 19) & F.when(n.between(12, 19), F.call_function("luhn_check", _digits(hit))).otherwise(False)
     if kind == "phone":
         return n.between(9, 15)
     return F.lit(kind == "email")
