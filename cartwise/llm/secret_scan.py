@@ -36,7 +36,7 @@ KINDS = ("assign", "access", "hex", "random")
 
 _TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: Least characters of a token that is scored, least log-likelihood ratio a character.
-LEAST, PER_CHAR = 16, 0.5
+LEAST, PER_CHAR = 16, 0.3
 #: Weight of the uniform distribution in a model's transitions.
 SMOOTHING = 5.0
 
