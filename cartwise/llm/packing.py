@@ -30,16 +30,17 @@ from __future__ import annotations
 import bisect
 import heapq
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwise.llm.common import texts, written
+from cartwise.llm.token_counts import byte_symbols
 
 #: Tokens of a sequence; the id that ends a document.
 LENGTH, END = 2048, 0
@@ -54,15 +55,24 @@ _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa
 
 
 class ChunkTokenizer:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes."""
+    """Ids of whole texts as little-endian unsigned 32-bit bytes.
+
+    A chunk of letters, perhaps with closing punctuation, is one pre-token or
+    two, and its pieces come straight from the file's merges; every other chunk
+    goes through the whole tokenizer. Letters are those up to U+024F, where
+    normal form and lower case need no context.
+    """
 
     _of: dict[str, ChunkTokenizer] = {}
+    CLOSING = ".,;:!?"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.memo = Tokenizer.from_file(path), {}
+        self.merges = self.tokenizer.model.tokenize
+        self.symbols = {byte: ord(c) for c, byte in byte_symbols().items()}
 
     @classmethod
     def of(cls, path: str) -> ChunkTokenizer:
@@ -70,6 +80,27 @@ class ChunkTokenizer:
             cls._of[path] = cls(path)
         return cls._of[path]
 
+    def packed(self, chunks: list[str]) -> list[bytes]:
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids)
+                for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
+
+    def letters(self, word: str) -> bytes | None:
+        """Ids of a chunk that is letters and closing punctuation, else None."""
+        stem = word.rstrip(self.CLOSING)
+        if not stem.isalpha() or not (stem.isascii() or max(stem) < "\u0250" and "\u0130" not in stem):
+            return None
+        low = stem.lower()
+        if not low.isascii():
+            low = low.encode().decode("latin-1").translate(self.symbols)
+        ids = [t.id for t in self.merges(low)]
+        made = struct.pack(f"<{len(ids)}I", *ids)
+        if len(stem) < len(word):
+            closing = word[len(stem):].encode()
+            if closing not in self.memo:
+                self.memo[closing], = self.packed([word[len(stem):]])
+            made += self.memo[closing]
+        return made
+
     def encode(self, text: str | None) -> bytes:
         chunks = text.encode().split() if text else []
         memo = self.memo
@@ -78,10 +109,15 @@ class ChunkTokenizer:
         except KeyError:
             if len(memo) > MEMO:
                 memo.clear()
-            new = [c for c in dict.fromkeys(chunks) if c not in memo]
-            for c, e in zip(new, self.tokenizer.encode_batch([c.decode() for c in new], add_special_tokens=False),
-                            strict=True):
-                memo[c] = np.array(e.ids, "<u4").tobytes()
+            other = []
+            for c in dict.fromkeys(chunks):
+                if c not in memo:
+                    ids = self.letters(c.decode())
+                    if ids is None:
+                        other.append(c)
+                    else:
+                        memo[c] = ids
+            memo.update(zip(other, self.packed([c.decode() for c in other]), strict=True))
             return b"".join([memo[c] for c in chunks])
 
 
