@@ -62,7 +62,8 @@ def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE,
     rows = rows.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND length(text) > 0")
     chosen = sample_by(rows, "lang", docs_per_language).withColumnRenamed("lang", "_lang")
     # a whole character more than SHARE_BYTES never travels: what a dictionary takes of a text is that much
-    part = (rows.join(chosen.withColumnRenamed("doc_id", "_id"), (F.col("doc_id") == F.col("_id"))
+    # at most docs_per_language ids a language: few enough to be sent to every task
+    part = (rows.join(F.broadcast(chosen.withColumnRenamed("doc_id", "_id")), (F.col("doc_id") == F.col("_id"))
                       & (F.col("lang") == F.col("_lang")))
             .select("lang", "doc_id", F.substring("text", 1, SHARE_BYTES).alias("part")))
     texts: dict[str, list[tuple[int, bytes]]] = {}
