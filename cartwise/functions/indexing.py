@@ -24,6 +24,17 @@ from pyspark.sql import functions as F
 _LOW_BITS = (1 << 33) - 1
 
 
+def rank_on(rows: DataFrame, key_cols: list[str], out: str) -> DataFrame:
+    """``rows`` plus ``out`` = 0-based dense rank of ``key_cols``, nulls first.
+
+    For rows already aggregated to a bounded size (months of a window, months x
+    states): one window over them, no second computation of the rows and no
+    join, so null keys stay.
+    """
+    order = [F.col(c).asc_nulls_first() for c in key_cols]
+    return rows.withColumn(out, (F.dense_rank().over(Window.orderBy(*order)) - 1).cast("int"))
+
+
 def dense_index(keys: DataFrame, key_cols: list[str], out: str = "idx",
                 num_partitions: int | None = None, bounded: bool = False) -> DataFrame:
     """Return ``keys`` (assumed distinct on ``key_cols``) plus ``out`` = rank - 1.
@@ -33,7 +44,7 @@ def dense_index(keys: DataFrame, key_cols: list[str], out: str = "idx",
     """
     order = [F.col(c).asc_nulls_first() for c in key_cols]
     if bounded:
-        return keys.withColumn(out, (F.dense_rank().over(Window.orderBy(*order)) - 1).cast("int"))
+        return rank_on(keys, key_cols, out)
     spark = keys.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (keys.repartitionByRange(n, *order)

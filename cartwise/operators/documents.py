@@ -42,3 +42,12 @@ def nest_by_month(flat: DataFrame, inner: list[str], name: str) -> DataFrame:
     """(month, year, name: array<struct(inner)>) -- one row per month, list sorted."""
     return (flat.groupBy("month", "year")
             .agg(F.sort_array(F.collect_list(F.struct(*inner))).alias(name)))
+
+
+def unnested(document: DataFrame, *lists: str) -> DataFrame:
+    """The rows of a list in a document, with the columns beside it; then of a list in those rows, and so on."""
+    rows = document
+    for name in lists:
+        beside = [c for c in rows.columns if c != name]
+        rows = rows.select(*beside, F.explode(name).alias("_e")).select(*beside, "_e.*")
+    return rows

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.calendar import since_months
-from cartwise.functions.indexing import dense_index
+from cartwise.functions.holding import hold
+from cartwise.functions.indexing import rank_on
 from cartwise.functions.people import known_states, state_code
 from cartwise.operators import forecast as fc
 from cartwise.operators.documents import nest_by_month, one_row_document, sorted_list
@@ -60,7 +60,7 @@ def finances_overview(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS) -> D
     by the number of orders. The orders are scanned and aggregated once; the
     monthly totals roll up from the persisted per-state sums.
     """
-    revenue = revenue_by_month_state(t, as_of, months).persist(StorageLevel.MEMORY_AND_DISK)
+    revenue = hold(revenue_by_month_state(t, as_of, months))
     monthly = sorted_list(finances_monthly(t, as_of, months, revenue), ["year", "month"],
                           ["month", "year", "value"], "monthly_sales")
     by_state = sorted_list(
@@ -96,8 +96,8 @@ def value_series_by_state(t: StoreTables, as_of, history: int = KEYED_HISTORY) -
     o = t.order.join(cust, F.col("customer_id") == F.col("_cid"))
     s = fc.monthly_series(o, "date", F.col("totalPrice"), as_of, history, keys=["state"],
                           value_type="decimal")
-    states = dense_index(s.select("state").distinct(), ["state"], "state_idx", bounded=True)
-    return (s.join(states, "state")
+    # months x states rows: the index is a window on them
+    return (rank_on(s, ["state"], "state_idx")
             .select("year", "month", "state", "state_idx", F.col("label").cast("double").alias("label")))
 
 
@@ -118,7 +118,7 @@ def sales_value_predictions_by_state(t: StoreTables, as_of, history: int = KEYED
 
     Features are (month, year, state index) as in the reference; 2 decimals, no floor.
     """
-    series = value_series_by_state(t, as_of, history).cache()
+    series = hold(value_series_by_state(t, as_of, history))
     model = fc.fit_keyed(series, ["month", "year", "state_idx"])
     hz = forecast_horizon_by_state(t, as_of, history, horizon, series)
     scored = model.transform(hz)

@@ -31,7 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.calendar import first_of_month, horizon_months, whole_months_before
-from cartwise.functions.indexing import dense_index
+from cartwise.functions.holding import hold
+from cartwise.functions.indexing import dense_index, rank_on
 
 # The reference's model grid and horizon.
 REG_PARAMS = [0.1, 0.01]
@@ -73,9 +74,9 @@ def number_months(series: DataFrame) -> DataFrame:
     """Add t = 0-based position of (year, month) among the months present.
 
     Months without sales get no number, so gaps close up (as in the reference).
+    ``series`` has one row per month of the history.
     """
-    months = series.select("year", "month").distinct()
-    return series.join(dense_index(months, ["year", "month"], "t", bounded=True), ["year", "month"])
+    return rank_on(series, ["year", "month"], "t")
 
 
 # ---------------------------------------------------------------------------
@@ -190,31 +191,36 @@ def fit_keyed(train: DataFrame, feature_cols: list[str], label: str = "label"):
     not, so the chosen candidate is the same on every run. The lowest
     validation RMSE wins, the first candidate on a tie (also when there is no
     validation month); the winner is refitted on all rows. Each fit is a
-    distributed ``pyspark.ml`` job; only the 12 RMSE values reach the driver.
+    distributed ``pyspark.ml`` job, and one aggregation over the validation
+    rows scores the 12 fitted lines; only the 12 RMSE values reach the driver.
+    Rows with a null label or feature teach nothing.
     """
     from pyspark.ml import PipelineModel
-    from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
     months = dense_index(train.select("year", "month").distinct(), ["year", "month"], "_t", bounded=True)
     assembler = VectorAssembler(inputCols=feature_cols, outputCol="features")
     data = assembler.transform(
-        train.join(months, ["year", "month"])
+        train.dropna(subset=[*feature_cols, label]).join(months, ["year", "month"])
         .select(*feature_cols, F.col(label).cast("double").alias(label),
                 ((F.col("_t") % VALIDATION_EVERY) == (VALIDATION_EVERY - 1)).alias("_val")))
-    fit_rows, val_rows = data.filter(~F.col("_val")).cache(), data.filter(F.col("_val")).cache()
+    data = hold(data)
+    fit_rows, val_rows = data.filter(~F.col("_val")), data.filter(F.col("_val"))
     lr = LinearRegression(featuresCol="features", labelCol=label)
     candidates = [{lr.regParam: reg, lr.fitIntercept: fi, lr.elasticNetParam: enet} for reg, fi, enet in grid()]
     best = 0
     if val_rows.take(1):
-        evaluator = RegressionEvaluator(labelCol=label, metricName="rmse")
-
-        def score(params) -> float:
-            return evaluator.evaluate(lr.copy(params).fit(fit_rows).transform(val_rows))
         # candidates are independent jobs: submit a few at once, as TrainValidationSplit does
         with ThreadPoolExecutor(max_workers=KEYED_FIT_PARALLELISM) as pool:
-            scores = list(pool.map(score, candidates))
+            lines = list(pool.map(lambda params: lr.copy(params).fit(fit_rows), candidates))
+        errors = []
+        for i, line in enumerate(lines):
+            predicted = F.lit(float(line.intercept))
+            for c, w in zip(feature_cols, line.coefficients, strict=True):
+                predicted = predicted + F.col(c) * F.lit(float(w))
+            errors.append(F.sqrt(F.avg((predicted - F.col(label)) * (predicted - F.col(label)))).alias(f"e{i}"))
+        scores = list(val_rows.agg(*errors).first())
         best = min(range(len(scores)), key=lambda i: (scores[i], i))
     final = lr.copy(candidates[best]).fit(data)
     return PipelineModel(stages=[assembler, final])

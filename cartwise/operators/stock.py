@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwise.functions.calendar import add_months, first_of_month, month_prefilter, since_months
-from cartwise.functions.indexing import dense_index
+from cartwise.functions.holding import hold
+from cartwise.functions.indexing import dense_index, rank_on
 from cartwise.functions.people import known_states, state_code
 from cartwise.operators import forecast as fc
 from cartwise.operators.documents import nest_by_month, one_row_document, sorted_list
@@ -96,7 +96,7 @@ def stock_overview(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS,
 
     The shared (month, state, item) sums are computed once and persisted.
     """
-    units = units_by_month_state_item(t, as_of, months).persist(StorageLevel.MEMORY_AND_DISK)
+    units = hold(units_by_month_state_item(t, as_of, months))
     monthly = sorted_list(stock_monthly(t, as_of, months, units), ["year", "month"],
                           ["month", "year", "numProducts"], "monthly_sales")
     by_state = sorted_list(
@@ -151,7 +151,7 @@ def sales_predictions(t: StoreTables, as_of, history: int = UNIT_HISTORY,
 def _item_series(t: StoreTables, as_of, history: int) -> tuple[DataFrame, DataFrame]:
     """(series with item_idx, the item index itself)."""
     # persisted: the index (a checkpointed job) and the join both read the sums
-    s = _units_per_item_month(t, as_of, history).persist(StorageLevel.MEMORY_AND_DISK)
+    s = hold(_units_per_item_month(t, as_of, history))
     items = dense_index(s.select("item_id").distinct(), ["item_id"], "item_idx")
     series = (s.join(items, "item_id")
               .select("year", "month", "item_id", "item_idx", F.col("label").cast("double").alias("label")))
@@ -167,6 +167,24 @@ def unit_series_by_item(t: StoreTables, as_of, history: int = KEYED_HISTORY) ->
     return _item_series(t, as_of, history)[0]
 
 
+def _item_horizon(t: StoreTables, items: DataFrame, as_of, horizon: int) -> DataFrame:
+    keys = items.join(t.item.select(F.col("id").alias("item_id"), "title"), "item_id", "left")
+    return fc.keyed_horizon(keys, as_of, horizon)
+
+
+def horizon_by_item(t: StoreTables, as_of, history: int = KEYED_HISTORY, horizon: int = fc.HORIZON) -> DataFrame:
+    """(month, year, item_id, item_idx, title): the rows the item model scores."""
+    return _item_horizon(t, _item_series(t, as_of, history)[1], as_of, horizon).select(
+        "month", "year", "item_id", "item_idx", "title")
+
+
+def horizon_by_profile(profile_map: DataFrame, as_of, horizon: int = fc.HORIZON) -> DataFrame:
+    """(month, year, profile_id, categories): the rows the profile model scores;
+    every profile of the map, also one without sales in the window."""
+    cats = profile_map.groupBy("profile_id").agg(F.first("categories").alias("categories"))
+    return fc.keyed_horizon(cats, as_of, horizon).select("month", "year", "profile_id", "categories")
+
+
 def sales_predictions_by_item(t: StoreTables, as_of, history: int = KEYED_HISTORY,
                               horizon: int = fc.HORIZON) -> DataFrame:
     """(month, year, itemId, itemName, sales): one model over (month, year, item index).
@@ -175,9 +193,8 @@ def sales_predictions_by_item(t: StoreTables, as_of, history: int = KEYED_HISTOR
     a distinct over the months x items series.
     """
     series, items = _item_series(t, as_of, history)
-    model = fc.fit_keyed(series.cache(), ["month", "year", "item_idx"])
-    keys = items.join(t.item.select(F.col("id").alias("item_id"), "title"), "item_id", "left")
-    scored = model.transform(fc.keyed_horizon(keys, as_of, horizon))
+    model = fc.fit_keyed(hold(series), ["month", "year", "item_idx"])
+    scored = model.transform(_item_horizon(t, items, as_of, horizon))
     return scored.select("month", "year", F.col("item_id").alias("itemId"),
                          F.col("title").alias("itemName"),
                          fc.nearest_int(F.col("prediction")).alias("sales"))
@@ -188,15 +205,15 @@ def unit_series_by_state(t: StoreTables, as_of, history: int = KEYED_HISTORY) ->
     cust = t.customer.select(F.col("id").alias("_cid"), "state")
     li = _lines_in_history(t, as_of, history).join(cust, F.col("customer_id") == F.col("_cid"))
     s = fc.monthly_series(li, "date", F.col("quantity"), as_of, history, keys=["state"])
-    states = dense_index(s.select("state").distinct(), ["state"], "state_idx", bounded=True)
-    return (s.join(states, "state")
+    # months x states rows: the index is a window on them
+    return (rank_on(s, ["state"], "state_idx")
             .select("year", "month", "state", "state_idx", F.col("label").cast("double").alias("label")))
 
 
 def sales_predictions_by_state(t: StoreTables, as_of, history: int = KEYED_HISTORY,
                                horizon: int = fc.HORIZON) -> DataFrame:
     """Flat (month, year, state, sales, abbreviation); one model for all states."""
-    series = unit_series_by_state(t, as_of, history).cache()
+    series = hold(unit_series_by_state(t, as_of, history))
     model = fc.fit_keyed(series, ["month", "year", "state_idx"])
     sm = t.state_map.select(F.col("name").alias("state"), "abbreviation")
     keys = series.select("state", "state_idx").distinct().join(sm, "state", "left")
@@ -229,11 +246,9 @@ def sales_predictions_by_item_profile(t: StoreTables, profile_map: DataFrame, as
     The ranking window is partitioned by (year, month): 12 partitions of at
     most #profiles rows each, bounded by the profile count k.
     """
-    series = unit_series_by_profile(t, profile_map, as_of, history).cache()
+    series = hold(unit_series_by_profile(t, profile_map, as_of, history))
     model = fc.fit_keyed(series, ["month", "year", "profile_id"])
-    cats = profile_map.groupBy("profile_id").agg(F.first("categories").alias("categories"))
-    # every profile of the map is forecast, also one without sales in the window
-    scored = model.transform(fc.keyed_horizon(cats, as_of, horizon)) \
+    scored = model.transform(horizon_by_profile(profile_map, as_of, horizon)) \
         .withColumn("sales", fc.nearest_int(F.col("prediction")))
     w = Window.partitionBy("year", "month").orderBy(F.col("sales").desc(), F.col("profile_id").asc())
     return (scored.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n)
