@@ -1,18 +1,20 @@
 """Feature vectors, KMeans and centroid labelling shared by the segmentation jobs.
 
-Vectors are dense and sized by a vocabulary (brands, item profiles or
-categories): a catalog dimension, not a data-sized one. They are built with
-native array expressions and ``array_to_vector`` (no Python UDF). Centroids
-are the only values that come to the driver: k x vocabulary numbers.
+Vectors are sparse: a row holds its own slots of a vocabulary (brands, item
+profiles or categories), however large that is. They are built with native
+expressions (no Python UDF). Centroids are the only values that come to the
+driver: k x vocabulary numbers.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cartwise.functions.holding import hold
 from cartwise.functions.indexing import dense_index
 from cartwise.functions.people import age_label
 
@@ -22,21 +24,36 @@ SEED = 42
 def vocabulary(df: DataFrame, key: str) -> DataFrame:
     """(key, idx): distinct keys numbered 0.. in ascending order.
 
-    Cached: it is a dimension-sized frame read by the vectors, the labels and
+    Held: it is a dimension-sized frame read by the vectors, the labels and
     the report.
     """
     keys = df.select(key).distinct().filter(F.col(key).isNotNull())
-    return dense_index(keys, [key], "idx", bounded=True).cache()
+    return hold(dense_index(keys, [key], "idx", bounded=True))
 
 
 def vocab_size(vocab: DataFrame) -> int:
-    return int(vocab.agg(F.max("idx")).first()[0]) + 1
+    """Slots of a vocabulary, 0 if it is empty."""
+    top = vocab.agg(F.max("idx")).first()[0]
+    return 0 if top is None else int(top) + 1
 
 
-def dense_from_entries(entries: F.Column, size: int) -> F.Column:
-    """array<double> of ``size`` from a map idx -> value (missing -> 0.0)."""
-    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)),
-                       lambda i: F.coalesce(F.element_at(entries, i), F.lit(0.0)))
+_VECTOR = T.StructType([T.StructField("v", VectorUDT())])
+
+
+def sparse_vector(indices: F.Column, values: F.Column, size: int) -> F.Column:
+    """A sparse ``pyspark.ml`` vector from ascending slots and their values.
+
+    There is no SQL function for one; its serialized fields, written as JSON and
+    read with the vector's own type, make it without leaving the JVM.
+    """
+    fields = F.struct(F.lit(0).alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.alias("values"))
+    return F.from_json(F.to_json(F.struct(fields.alias("v"))), _VECTOR)["v"]
+
+
+def _slots(rows: DataFrame, by: list[str], value: F.Column) -> DataFrame:
+    """(by..., slots): the (idx, value) of each row group, by slot; a slot that repeats counts once."""
+    once = rows.groupBy(*by, "idx").agg(F.max(value).alias("_value"))
+    return once.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("idx", "_value"))).alias("_slots"))
 
 
 def share_vectors(shares: DataFrame, vocab: DataFrame, key: str, id_col: str,
@@ -47,30 +64,32 @@ def share_vectors(shares: DataFrame, vocab: DataFrame, key: str, id_col: str,
     the distance; kept on purpose).
     """
     n = n if n is not None else vocab_size(vocab)
-    per = (shares.join(vocab, key)
-           .groupBy(id_col, "age_code")
-           .agg(F.map_from_entries(F.collect_list(F.struct(F.col("idx"), F.col("share"))))
-                .alias("_m")))
-    arr = F.concat(dense_from_entries(F.col("_m"), n), F.array(F.col("age_code").cast("double")))
-    return per.select(id_col, "age_code", array_to_vector(arr).alias("features"))
+    per = _slots(shares.join(vocab, key), [id_col, "age_code"], F.col("share"))
+    age = F.struct(F.lit(n).alias("idx"), F.col("age_code").cast("double").alias("_value"))
+    slots = F.concat("_slots", F.array(age))
+    features = sparse_vector(F.transform(slots, lambda s: s["idx"]), F.transform(slots, lambda s: s["_value"]), n + 1)
+    return per.select(id_col, "age_code", features.alias("features"))
 
 
 def multi_hot_vectors(pairs: DataFrame, vocab: DataFrame, key: str, id_col: str,
                       n: int | None = None) -> DataFrame:
     """(id_col, features): 1.0 in every slot of a key the id has, else 0.0."""
     n = n if n is not None else vocab_size(vocab)
-    per = (pairs.join(vocab, key).groupBy(id_col)
-           .agg(F.map_from_entries(F.collect_list(F.struct(F.col("idx"), F.lit(1.0)))).alias("_m")))
-    return per.select(id_col, array_to_vector(dense_from_entries(F.col("_m"), n)).alias("features"))
+    per = _slots(pairs.join(vocab, key), [id_col], F.lit(1.0))
+    features = sparse_vector(F.transform("_slots", lambda s: s["idx"]), F.transform("_slots", lambda s: s["_value"]), n)
+    return per.select(id_col, features.alias("features"))
 
 
 def fit_kmeans(feats: DataFrame, k: int, max_iter: int, seed: int = SEED):
-    """Seeded KMeans (k-means||). Returns (model, (id..., prediction) frame).
+    """Seeded KMeans (k-means||). Returns (model, (id..., prediction) frame);
+    without any row there is no model, and the frame is empty.
 
-    The input is cached for the iterations; its partitioning follows the
+    The input is held for the iterations; its partitioning follows the
     upstream aggregation, so every iteration is a distributed pass.
     """
-    feats = feats.cache()
+    feats = hold(feats)
+    if feats.isEmpty():
+        return None, feats.drop("features").withColumn("prediction", F.lit(0))
     model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features",
                    predictionCol="prediction").fit(feats)
     assigned = model.transform(feats).drop("features")
@@ -79,7 +98,7 @@ def fit_kmeans(feats: DataFrame, k: int, max_iter: int, seed: int = SEED):
 
 def centroids_long(model, spark: SparkSession) -> DataFrame:
     """(prediction, pos, weight): one row per centroid coordinate (k x dims)."""
-    rows = [(ci, pos, float(w)) for ci, c in enumerate(model.clusterCenters())
+    rows = [(ci, pos, float(w)) for ci, c in enumerate(model.clusterCenters() if model else [])
             for pos, w in enumerate(c)]
     return spark.createDataFrame(rows, "prediction int, pos int, weight double")
 

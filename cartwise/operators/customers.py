@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwise.functions.holding import hold
 from cartwise.functions.people import (BRAND_AGE_BUCKETS, PROFILE_AGE_BUCKETS, SECONDS_PER_YEAR,
                                        age_code, age_seconds, known_states,
                                        state_code, whole_age)
@@ -16,7 +16,6 @@ TOP_REVIEWERS = 20
 BRAND_K, BRAND_ITERS = 5, 100
 PROFILE_K, PROFILE_ITERS = 5, 20
 TOP_BRANDS = 7
-MEAN_DECIMALS = 6
 
 
 def best_reviewers(t: StoreTables, n: int = TOP_REVIEWERS) -> DataFrame:
@@ -51,10 +50,9 @@ def _age_sums_by_state(t: StoreTables, as_of) -> DataFrame:
 
 
 def _mean_age(s: F.Column, n: F.Column) -> F.Column:
-    """Mean of fractional ages from the exact sum of seconds, 6 decimals."""
+    """Mean of fractional ages from the exact sum of seconds."""
     # null (not an ANSI division error) when the group is empty, e.g. no 'F' customers
-    return F.round(F.try_divide(s.cast("double"), n.cast("double")) / F.lit(float(SECONDS_PER_YEAR)),
-                   MEAN_DECIMALS)
+    return F.try_divide(s.cast("double"), n.cast("double")) / F.lit(float(SECONDS_PER_YEAR))
 
 
 def customers_mean_age(t: StoreTables, as_of) -> DataFrame:
@@ -149,7 +147,7 @@ def segments_age_brand(t: StoreTables, as_of, k: int = BRAND_K, max_iter: int =
                        seed: int = cl.SEED) -> DataFrame:
     """(profile_id, number_customers, age_interval, brands): KMeans over share
     vectors with the age code as last coordinate; top 7 brands per centroid."""
-    shares = customer_brand_shares(t, as_of).persist(StorageLevel.MEMORY_AND_DISK)
+    shares = hold(customer_brand_shares(t, as_of))
     vocab = cl.vocabulary(shares, "brand")
     n = cl.vocab_size(vocab)
     feats = cl.share_vectors(shares, vocab, "brand", "customer_id", n)
@@ -167,7 +165,7 @@ def segments_age_profile(t: StoreTables, profile_map: DataFrame, as_of, k: int =
                          max_iter: int = PROFILE_ITERS, seed: int = cl.SEED) -> DataFrame:
     """(profile_id, number_customers, age_interval, categories): as the brand
     segmentation; the label is the categories of the heaviest item profile."""
-    shares = customer_profile_shares(t, profile_map, as_of).persist(StorageLevel.MEMORY_AND_DISK)
+    shares = hold(customer_profile_shares(t, profile_map, as_of))
     vocab = cl.vocabulary(shares, "profile_id")
     n = cl.vocab_size(vocab)
     feats = cl.share_vectors(shares, vocab, "profile_id", "customer_id", n)

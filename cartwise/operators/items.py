@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.functions.holding import hold
 from cartwise.functions.indexing import dense_index
 from cartwise.operators import clusters as cl
 from cartwise.sources.tables import StoreTables
@@ -45,7 +46,8 @@ def item_profiles(t: StoreTables, k: int = ITEM_K, max_iter: int = ITEM_ITERS,
     pairs = item_category_features(t)
     # vocabulary = every category, numbered in id order
     vocab = dense_index(t.category.select(F.col("id").alias("category_id"), F.col("name").alias("category")),
-                        ["category_id"], "idx", bounded=True).cache()
+                        ["category_id"], "idx", bounded=True)
+    vocab = hold(vocab)
     n = cl.vocab_size(vocab)
     feats = cl.multi_hot_vectors(pairs, vocab.drop("category"), "category_id", "item_id", n)
     model, assigned = cl.fit_kmeans(feats, k, max_iter, seed)
