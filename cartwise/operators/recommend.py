@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.ml.recommendation import ALS, ALSModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.functions.calendar import add_months, last_months, month_prefilter
+from cartwise.functions.holding import hold
+from cartwise.functions.indexing import dense_index
 from cartwise.sources import sinks
 from cartwise.sources.tables import StoreTables
 
@@ -19,15 +22,12 @@ ALS_RANK, ALS_ITERS, ALS_REG = 10, 10, 0.01
 TOP_RECS = 20
 MIN_RATING = 3.0
 
-# Skew guard for the also-bought self-join: an order with more distinct items
-# lines than HOT_ORDER_ITEMS is split into salted slices of about that many
-# lines each, at most HOT_ORDER_SPLITS of them.
-HOT_ORDER_ITEMS = 10_000
-HOT_ORDER_SPLITS = 1024
-# Entries per page of an item's also-bought list (about; pages are hash-balanced).
-ALSO_BOUGHT_PAGE = 1000
+# An order of n distinct items is paired in a grid of ceil(n / PAIR_BLOCK)**2 cells.
+PAIR_BLOCK = 4_000
+# Every item's also-bought list is kept in this many hash buckets.
+ALSO_BOUGHT_BUCKETS = 16
 
-RECOMMENDATION_SCHEMA = ("customer_id int, items array<struct<id: bigint, title: string, brand: string, "
+RECOMMENDATION_SCHEMA = ("customer_id bigint, items array<struct<id: bigint, title: string, brand: string, "
                          "imUrl: string, price: double>>")
 
 ITEM_COLUMNS = ["item_id", "item_brand", "item_description", "item_imUrl", "item_price", "item_title"]
@@ -44,8 +44,7 @@ def _item_attributes(t: StoreTables) -> DataFrame:
 # also bought
 # ---------------------------------------------------------------------------
 
-def _pair_sums(t: StoreTables, hot_items: int = HOT_ORDER_ITEMS,
-               splits: int = HOT_ORDER_SPLITS) -> DataFrame:
+def _pair_sums(t: StoreTables, block: int = PAIR_BLOCK) -> DataFrame:
     """(item_id, r_item_id, _fw, _bw) for item_id < r_item_id: units of r_item
     paired with item (_fw) and of item paired with r_item (_bw).
 
@@ -54,42 +53,33 @@ def _pair_sums(t: StoreTables, hot_items: int = HOT_ORDER_ITEMS,
     * Lines are reduced to (order, item, n_lines, qty) first: the naive
       self-join on lines sums qty(r) over line pairs, which equals the sum over
       orders of n_lines(item) * qty(r_item). The self-join then runs on
-      distinct items per order.
+      distinct items per order. The line table is read once: an order's item
+      count comes from the same reduced, persisted frame.
     * The join emits each unordered pair once (item_id < r_item_id) and
       aggregates both directions at the same time, which halves the join
-      output. Both sides read the same reduced frame, persisted (memory and
-      disk) so it is computed once; Spark does not reuse the shuffle of a
-      self-join's two sides by itself. A lost block is recomputed from lineage.
-    * Orders with more than ``hot_items`` lines are salted in proportion to
-      their size: an order of n lines gets min(``splits``, ceil(n /
-      ``hot_items``)) slices. The left side is split by item hash into those
-      slices and the right side of only that order is replicated per slice, so
-      a basket holding a third of all lines is spread over as many tasks as it
-      needs (up to ``splits``), each pairing about ``hot_items`` lines with the
-      order. Hot orders are found by a count over the order id alone (partial
-      aggregation, one small row per order).
+      output.
+    * An order of n items is cut into r = ceil(n / ``block``) hash blocks on
+      both sides, and its pairs into r x r cells: left rows of block i go to
+      cells (i, 0..r-1), right rows of block j to cells (0..r-1, j). Every cell
+      is a join key of its own with about ``block`` rows a side, so neither
+      side of a basket that holds a third of all lines meets in one task; each
+      row is sent r times. Ordinary orders have one cell.
     """
     known = t.item.select(F.col("id").alias("item_id"))
-    per_slice = max(hot_items, 1)
-    hot = (t.ordereditem.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > hot_items)
-           .select("order_id", F.least(F.ceil(F.col("_n") / F.lit(per_slice)), F.lit(splits))
-                   .cast("int").alias("_slices")))
-    per = (t.ordereditem.join(known, "item_id", "left_semi")
-           .groupBy("order_id", "item_id")
-           .agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("quantity").cast("bigint")).alias("qty"))
-           .join(hot, "order_id", "left")
-           .select("order_id", "item_id", "n_lines", "qty",
-                   F.greatest(F.coalesce("_slices", F.lit(1)), F.lit(1)).alias("_slices"))
-           .persist(StorageLevel.MEMORY_AND_DISK))
-    slices = F.col("_slices")
-    left = per.select("order_id", "item_id", "n_lines", "qty",
-                      F.pmod(F.xxhash64("item_id"), slices).cast("int").alias("_salt"))
-    right = per.select(F.col("order_id").alias("r_order_id"), F.col("item_id").alias("r_item_id"),
-                       F.col("n_lines").alias("r_n_lines"), F.col("qty").alias("r_qty"),
-                       F.explode(F.sequence(F.lit(0), slices - 1)).alias("_r_salt"))
-    half = (left.join(right, (F.col("order_id") == F.col("r_order_id")) & (F.col("_salt") == F.col("_r_salt"))
-                      & (F.col("item_id") < F.col("r_item_id")))
+    per = hold(t.ordereditem.join(known, "item_id", "left_semi")
+               .groupBy("order_id", "item_id")
+               .agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("quantity").cast("bigint")).alias("qty")))
+    blocks = (per.groupBy("order_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("_r"))
+              .filter(F.col("_r") > 1))
+    dealt = (per.join(blocks, "order_id", "left").withColumn("_r", F.coalesce("_r", F.lit(1)))
+             .withColumn("_block", F.pmod(F.xxhash64("item_id"), F.col("_r")).cast("int")))
+    cells = F.explode(F.sequence(F.lit(0), F.col("_r") - 1))
+    left = dealt.select("order_id", "item_id", "n_lines", "qty", F.col("_block").alias("_i"), cells.alias("_j"))
+    right = dealt.select(F.col("order_id").alias("r_order_id"), F.col("item_id").alias("r_item_id"),
+                         F.col("n_lines").alias("r_n_lines"), F.col("qty").alias("r_qty"),
+                         cells.alias("_r_i"), F.col("_block").alias("_r_j"))
+    half = (left.join(right, (F.col("order_id") == F.col("r_order_id")) & (F.col("_i") == F.col("_r_i"))
+                      & (F.col("_j") == F.col("_r_j")) & (F.col("item_id") < F.col("r_item_id")))
             .groupBy("item_id", "r_item_id")
             .agg(F.sum(F.col("n_lines") * F.col("r_qty")).alias("_fw"),
                  F.sum(F.col("r_n_lines") * F.col("qty")).alias("_bw")))
@@ -110,41 +100,35 @@ def _with_partner_attributes(t: StoreTables, pairs: DataFrame) -> DataFrame:
     return pairs.join(attrs, "r_item_id").select("item_id", "r_item_id", "title", "brand", "imUrl", "quantity")
 
 
-def also_bought_pairs(t: StoreTables, hot_items: int = HOT_ORDER_ITEMS,
-                      splits: int = HOT_ORDER_SPLITS) -> DataFrame:
+def also_bought_pairs(t: StoreTables, block: int = PAIR_BLOCK) -> DataFrame:
     """(item_id, r_item_id, title, brand, imUrl, quantity), one row per pair of
     different items bought in a common order; quantity = units of r_item over
     every pairing of their lines. See ``_pair_sums`` for the plan."""
-    return _with_partner_attributes(t, _directed(_pair_sums(t, hot_items, splits)))
+    return _with_partner_attributes(t, _directed(_pair_sums(t, block)))
 
 
-def also_bought(t: StoreTables, page_size: int = ALSO_BOUGHT_PAGE) -> DataFrame:
-    """(item_id, page, alsoBought: array<struct(item_id, title, brand, imUrl, quantity)>).
+def also_bought(t: StoreTables, buckets: int = ALSO_BOUGHT_BUCKETS) -> DataFrame:
+    """(item_id, bucket, alsoBought: array<struct(item_id, title, brand, imUrl, quantity)>).
 
     The reference's document keeps one list per item. A popular item can be
-    bought with a large part of the catalog, so here an item's list is split
-    into pages of about ``page_size`` entries: the page of a partner is a hash
-    of its id modulo the item's page count (from a count per item), so the
-    rows of one item spread over many tasks and no group grows with the data.
-    Nothing is dropped: the pages of an item together hold its whole list, and
-    an item with at most ``page_size`` partners has exactly one page (page 0),
-    sorted by partner id.
+    bought with a large part of the catalog, so every item's list is kept in
+    ``buckets`` parts by a hash of the partner's id, each sorted by it; parts
+    without a partner have no row. The parts of an item together hold its
+    whole list, and the layout is the same for every item.
     """
-    # the narrow pair sums feed both the partner counts and the pages: persisted once
-    half = _pair_sums(t).persist(StorageLevel.MEMORY_AND_DISK)
-    pages = (half.select(F.explode(F.array("item_id", "r_item_id")).alias("item_id"))
-             .groupBy("item_id").agg(F.count(F.lit(1)).alias("_n"))
-             .select("item_id", F.greatest(F.ceil(F.col("_n") / F.lit(page_size)), F.lit(1))
-                     .cast("bigint").alias("_pages")))
-    p = _with_partner_attributes(t, _directed(half))
-    paged = p.join(pages, "item_id").withColumn(
-        "page", F.pmod(F.xxhash64("r_item_id"), F.col("_pages")).cast("int"))
-    return (paged.groupBy("item_id", "page")
+    bucket = F.pmod(F.xxhash64("r_item_id"), F.lit(buckets)).cast("int")
+    return (also_bought_pairs(t).groupBy("item_id", bucket.alias("bucket"))
             .agg(F.sort_array(F.collect_list(F.struct(
                 F.col("r_item_id").alias("item_id"), "title", "brand", "imUrl", "quantity")))
                  .alias("alsoBought")))
 
 
+def also_bought_rows(document: DataFrame) -> DataFrame:
+    """The pairs of an also-bought document, as ``also_bought_pairs`` has them."""
+    return document.select("item_id", F.explode("alsoBought").alias("p")).select(
+        "item_id", F.col("p.item_id").alias("r_item_id"), "p.title", "p.brand", "p.imUrl", "p.quantity")
+
+
 # ---------------------------------------------------------------------------
 # six-month rankings
 # ---------------------------------------------------------------------------
@@ -177,8 +161,8 @@ def best_reviewed(t: StoreTables, as_of, months: int = RANKING_MONTHS, m: int =
     known = t.item.select(F.col("id").alias("item_id"))
     rv = t.review.filter(last_months(F.col("date"), as_of, months))
     per = (rv.groupBy("item_id").agg(F.sum("overall").alias("_s"), F.count(F.lit(1)).cast("double").alias("_n"))
-           .join(known, "item_id", "left_semi")
-           .persist(StorageLevel.MEMORY_AND_DISK))
+           .join(known, "item_id", "left_semi"))
+    per = hold(per)
     # C is the mean of the same reviews, rolled up from the per-item sums
     c = per.select((F.sum("_s") / F.sum("_n")).alias("c")).scalar()
     score = (F.lit(1.0) / (F.col("_n") + F.lit(float(m)))) * (F.col("_n") * (F.col("_s") / F.col("_n"))
@@ -218,69 +202,107 @@ def item_profile_recommender(profile_map: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def ratings(t: StoreTables) -> DataFrame:
-    """(customer_id, item_id, overall) explicit ratings; ids fit ALS's int range."""
-    return t.review.select(F.col("customer_id").cast("int").alias("customer_id"),
-                           F.col("item_id").cast("int").alias("item_id"),
-                           F.col("overall").cast("float").alias("overall"))
+    """(customer_id, item_id, overall) explicit ratings."""
+    return t.review.select("customer_id", "item_id", F.col("overall").cast("float").alias("overall"))
+
+
+@dataclass(frozen=True)
+class Recommender:
+    """An ALS model with the 64-bit ids behind its dense indexes.
+
+    ``users``: (customer_id, user_idx), ``items``: (item_id, item_idx).
+    """
+
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+
+    def save(self, path: str) -> None:
+        """Replace what is saved at ``path``: the model and its two indexes."""
+        sinks.save_model(self.model, f"{path}/model")
+        sinks.replace_collection(self.users, f"{path}/users")
+        sinks.replace_collection(self.items, f"{path}/items")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Recommender:
+        return cls(ALSModel.load(f"{path}/model"), sinks.read_collection(spark, f"{path}/users"),
+                   sinks.read_collection(spark, f"{path}/items"))
 
 
 def train_collaborative_filtering(t: StoreTables, rank: int = ALS_RANK, max_iter: int = ALS_ITERS,
                                   reg: float = ALS_REG, seed: int = 42, path: str | None = None,
-                                  recommendations_path: str | None = None):
+                                  recommendations_path: str | None = None) -> Recommender:
     """Explicit ALS on the reviews. If ``path`` is given the model replaces the one
-    saved there (``write().overwrite()``), which is how the recommender reads it;
-    if ``recommendations_path`` is given, the cached recommendations made by the
-    previous model are cleared (an empty collection with the same schema)."""
-    from pyspark.ml.recommendation import ALS
-    data = ratings(t)
+    saved there, which is how the recommender reads it; if
+    ``recommendations_path`` is given, the cached recommendations made by the
+    previous model are cleared (an empty collection with the same schema).
+
+    ALS takes 32-bit ids, so customers and items are numbered densely first and
+    keep their own 64-bit ids; reviews without either id teach nothing.
+    """
+    data = ratings(t).dropna()
+    users = dense_index(data.select("customer_id").distinct(), ["customer_id"], "user_idx")
+    items = dense_index(data.select("item_id").distinct(), ["item_id"], "item_idx")
+    indexed = data.join(users, "customer_id").join(items, "item_id").select("user_idx", "item_idx", "overall")
     # one block per core of the cluster (at least ALS's default of 10): each
     # iteration updates factor blocks in parallel, so 10 blocks would cap a
     # large cluster at 10 tasks per step. Lineage is cut every 10 iterations
     # in the session's checkpoint folder (checkpointInterval).
     blocks = max(10, data.sparkSession.sparkContext.defaultParallelism)
-    als = ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol="customer_id", itemCol="item_id",
+    als = ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol="user_idx", itemCol="item_idx",
               ratingCol="overall", coldStartStrategy="drop", seed=seed, numUserBlocks=blocks,
               numItemBlocks=blocks, checkpointInterval=10)
-    model = als.fit(data)
+    made = Recommender(als.fit(indexed), users, items)
     if path:
-        sinks.save_model(model, path)
+        made.save(path)
     if recommendations_path:
         sinks.clear_collection(t.item.sparkSession, RECOMMENDATION_SCHEMA, recommendations_path)
-    return model
+    return made
 
 
-def recommend_products_flat(model, t: StoreTables, users: DataFrame | None, n: int = TOP_RECS,
+def recommend_products_flat(recommender: Recommender, t: StoreTables, users: DataFrame, n: int = TOP_RECS,
                             min_rating: float = MIN_RATING) -> DataFrame:
     """(customer_id, rank, id, rating, title, brand, imUrl, price): up to n items per
-    user with predicted rating >= min_rating. ``users`` holds ``customer_id``;
-    None means every user the model knows (no subset join)."""
-    if users is None:
-        recs = model.recommendForAllUsers(n)
-    else:
-        recs = model.recommendForUserSubset(users.select(F.col("customer_id").cast("int")), n)
-    flat = recs.select("customer_id", F.posexplode("recommendations").alias("rank", "r")) \
-        .select("customer_id", (F.col("rank") + 1).alias("rank"), F.col("r.item_id").cast("bigint").alias("id"),
-                F.col("r.rating").cast("double").alias("rating")) \
-        .filter(F.col("rating") >= min_rating)
+    requested user with predicted rating >= min_rating.
+
+    ``users`` is the request (``customer_id``; repeated and unknown ids do no
+    harm). Scoring compares each requested user with every item, which is the
+    operation, so the request should be what is going to be shown.
+    """
+    asked = users.select(F.col("customer_id").cast("bigint").alias("customer_id")).distinct()
+    wanted = recommender.users.join(asked, "customer_id", "left_semi")
+    recs = recommender.model.recommendForUserSubset(wanted.select("user_idx"), n)
+    flat = (recs.select("user_idx", F.posexplode("recommendations").alias("rank", "r"))
+            .select("user_idx", (F.col("rank") + 1).alias("rank"), F.col("r.item_idx").alias("item_idx"),
+                    F.col("r.rating").cast("double").alias("rating"))
+            .filter(F.col("rating") >= min_rating)
+            .join(wanted, "user_idx").join(recommender.items, "item_idx"))
     attrs = t.item.select("id", "title", "brand", "imUrl", "price")
-    return flat.join(attrs, "id").select("customer_id", "rank", "id", "rating", "title", "brand", "imUrl", "price")
+    return (flat.join(attrs, F.col("item_id") == F.col("id"))
+            .select("customer_id", "rank", "id", "rating", "title", "brand", "imUrl", "price"))
 
 
-def recommend_products(model, t: StoreTables, users: DataFrame | None, n: int = TOP_RECS,
-                       min_rating: float = MIN_RATING, path: str | None = None) -> DataFrame:
+def recommend_products(recommender: Recommender, t: StoreTables, users: DataFrame, n: int = TOP_RECS,
+                       min_rating: float = MIN_RATING, path: str | None = None,
+                       json_path: str | None = None) -> DataFrame:
     """(customer_id, items: array<struct(id, title, brand, imUrl, price)>, json).
 
     The list holds at most n entries, ordered by predicted rating; ``json`` is the
     row as the reference's JSON response. With ``path`` the (customer_id, items)
-    rows are also appended to that collection.
+    rows are also appended to that collection, with ``json_path`` the responses
+    are written there as text, one a line.
     """
-    flat = recommend_products_flat(model, t, users, n, min_rating)
+    flat = recommend_products_flat(recommender, t, users, n, min_rating)
     doc = (flat.groupBy("customer_id")
            .agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "id", "title", "brand", "imUrl", "price"))),
                             lambda r: F.struct(r["id"].alias("id"), r["title"].alias("title"),
                                                r["brand"].alias("brand"), r["imUrl"].alias("imUrl"),
                                                r["price"].alias("price"))).alias("items")))
     out = doc.select("customer_id", "items", F.to_json(F.struct("customer_id", "items")).alias("json"))
+    if path or json_path:
+        out = hold(out)
     if path:
         sinks.append_collection(out.select("customer_id", "items"), path)
+    if json_path:
+        sinks.replace_collection(out.select(F.col("json").alias("value")), json_path, "text")
     return out

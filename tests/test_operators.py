@@ -125,23 +125,23 @@ def _naive_also_bought(t):
             .agg(F.sum("b.quantity").alias("quantity")))
 
 
-def test_also_bought_preaggregation_and_salting_match_naive(spark):
-    # Duplicate lines of an item in one order; order 1 is "hot" when hot_items=2
+def test_also_bought_preaggregation_and_grid_match_naive(spark):
+    # Duplicate lines of an item in one order; order 1 has a grid of cells when block=1
     lines = [(1, 1, 2), (1, 1, 3), (1, 2, 5), (1, 3, 1), (2, 1, 1), (2, 2, 4), (3, 4, 9)]
     t = make_tables(spark, lines=lines, items=[item_row(i) for i in range(1, 5)])
     want = sorted(tuple(r) for r in _naive_also_bought(t).collect())
     plain = sorted((r.item_id, r.r_item_id, r.quantity) for r in rc.also_bought_pairs(t).collect())
     salted = sorted((r.item_id, r.r_item_id, r.quantity)
-                    for r in rc.also_bought_pairs(t, hot_items=2, splits=3).collect())
+                    for r in rc.also_bought_pairs(t, block=1).collect())
     assert plain == want and salted == want
     # (1, 2): order 1 pairs two lines of item 1 with 5 units, order 2 adds 4
     assert (1, 2, 14) in plain and (2, 1, 6) in plain
-    doc = {r.item_id: r.alsoBought for r in rc.also_bought(t).collect()}
+    doc = {r.item_id: r.alsoBought for r in rc.also_bought(t, buckets=1).collect()}
     assert [x.item_id for x in doc[1]] == [2, 3] and 4 not in doc
-    # pages of one entry: every partner still appears exactly once
-    paged = rc.also_bought(t, page_size=1).collect()
-    assert all(len(r.alsoBought) >= 1 for r in paged)
-    assert sorted((r.item_id, x.item_id) for r in paged for x in r.alsoBought) == \
+    # in buckets every partner still appears exactly once
+    parts = rc.also_bought(t).collect()
+    assert all(len(r.alsoBought) >= 1 for r in parts)
+    assert sorted((r.item_id, x.item_id) for r in parts for x in r.alsoBought) == \
         sorted((r.item_id, r.r_item_id) for r in rc.also_bought_pairs(t).collect())
 
 

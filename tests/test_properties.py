@@ -16,8 +16,8 @@ lines_strategy = st.lists(st.tuples(st.integers(1, 4), st.integers(1, 6), st.int
 
 
 @settings(**SETTINGS)
-@given(lines=lines_strategy, hot=st.integers(0, 6), splits=st.integers(1, 5))
-def test_also_bought_equals_naive_self_join(spark, lines, hot, splits):
+@given(lines=lines_strategy, block=st.integers(1, 6))
+def test_also_bought_equals_naive_self_join(spark, lines, block):
     # items 1..5 are in the catalog, item 6 is not (dropped on both sides)
     t = make_tables(spark, lines=lines, items=[item_row(i) for i in range(1, 6)])
     known = {1, 2, 3, 4, 5}
@@ -27,7 +27,7 @@ def test_also_bought_equals_naive_self_join(spark, lines, hot, splits):
             if o1 == o2 and i1 != i2 and i1 in known and i2 in known:
                 want[(i1, i2)] = want.get((i1, i2), 0) + q2
     got = {(r.item_id, r.r_item_id): r.quantity
-           for r in rc.also_bought_pairs(t, hot_items=hot, splits=splits).collect()}
+           for r in rc.also_bought_pairs(t, block=block).collect()}
     assert got == want
 
 
