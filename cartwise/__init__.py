@@ -5,7 +5,6 @@ Layout:
   functions/  column-level helpers: calendar windows, ages, states, dense indexes
   operators/  the user-level jobs (overviews, rankings, recommenders, segments, forecasts)
   plans/      the registered query catalog, its DuckDB oracle SQL, the job runner
-  streaming/  (empty on purpose: no job streams)
 """
 
 from cartwise.session import get_session, checkpoint_dir

@@ -20,18 +20,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartwise.functions.holding import release
 from cartwise.operators import customers as cu
 from cartwise.operators import finances as fi
 from cartwise.operators import items as it
 from cartwise.operators import recommend as rc
 from cartwise.operators import stock as st
+from cartwise.session import get_session, size_for_input
 from cartwise.sources import layout as colocated_layout
 from cartwise.sources import sinks
-from cartwise.sources.tables import StoreTables, load_store_parquet, load_tables
+from cartwise.sources.tables import STORE_TABLES, StoreTables, load_store_jdbc, load_store_parquet, load_tables
 
 PROFILE_MAP = "item_profile_item_id_map"
 ALS_MODEL = "collaborative_filtering_model"
 RECOMMENDATIONS = "collaborative_filtering_recommendations"
+RESPONSES = "collaborative_filtering_responses"
 
 
 class JobContext:
@@ -61,9 +64,11 @@ def _collaborative_filtering(c: JobContext) -> None:
 
 
 def _recommend(c: JobContext) -> None:
-    from pyspark.ml.recommendation import ALSModel
-    model = ALSModel.load(c.path(ALS_MODEL))
-    rc.recommend_products(model, c.t, c.users, path=c.path(RECOMMENDATIONS))   # None: every user
+    if c.users is None:
+        raise ValueError("recommend_products needs a request: the customers to recommend for (--user or --users)")
+    recommender = rc.Recommender.load(c.spark, c.path(ALS_MODEL))
+    rc.recommend_products(recommender, c.t, c.users, path=c.path(RECOMMENDATIONS),
+                          json_path=c.path(RESPONSES))
 
 
 # job name -> job; the order is the dependency order
@@ -102,41 +107,52 @@ JOBS: dict[str, Callable[[JobContext], None]] = {
 
 def run(spark: SparkSession, tables_dir: str, out_dir: str, as_of: dt.date,
         names: list[str] | None = None, users: DataFrame | None = None,
-        layout: str = "testdata", colocate: tuple[str, int] | None = None) -> list[str]:
+        layout: str = "testdata", colocate: tuple[str, int] | None = None,
+        jdbc: dict[str, str] | None = None, size: bool = False) -> list[str]:
     """Run the named jobs (all by default) in dependency order; return their names.
 
+    ``users`` is the request that ``recommend_products`` answers; without one
+    that job is left out, unless it is named.
+
     ``layout`` "store" reads the store's own tables from ``tables_dir``;
     "testdata" adapts the benchmark's star schema. ``colocate`` = (folder,
     buckets) reads orders and order lines from a bucketed copy in ``folder``,
-    writing it first if the folder is empty (see ``sources/layout.py``).
+    writing it first unless it is there and complete (see
+    ``sources/layout.py``). ``jdbc`` (url and connection properties) reads the
+    store's tables from its database instead. ``size`` sets shuffle partitions
+    and scan splits by the size of this run's input.
     """
     unknown = set(names or []) - set(JOBS)
     if unknown:
         raise ValueError(f"unknown jobs: {sorted(unknown)}")
-    tables = load_store_parquet(spark, tables_dir) if layout == "store" else load_tables(spark, tables_dir)
+    if jdbc:
+        properties = dict(jdbc)
+        tables = load_store_jdbc(spark, properties.pop("url"), properties)
+    else:
+        tables = load_store_parquet(spark, tables_dir) if layout == "store" else load_tables(spark, tables_dir)
+        if size:
+            size_for_input(spark, [f"{tables_dir.rstrip('/')}/{n}" for n in (
+                STORE_TABLES if layout == "store" else [f"{x}.parquet" for x in ("lineitem", "orders", "part", "customer")])])
     if colocate:
         folder, buckets = colocate
-        if not _has_files(spark, folder):
+        if not colocated_layout.is_complete(spark, folder, buckets):
             colocated_layout.write_colocated(tables, folder, buckets)
         tables = colocated_layout.load_colocated(spark, tables, folder, buckets)
     ctx = JobContext(spark, tables, out_dir, as_of, users)
-    chosen = [n for n in JOBS if not names or n in names]
+    chosen = [n for n in JOBS if (n in names if names else n != "recommend_products" or users is not None)]
     for name in chosen:
         JOBS[name](ctx)
-        spark.catalog.clearCache()
+        release()    # what the job's operators hold; the caller's own cached frames stay
     return chosen
 
 
-def _has_files(spark: SparkSession, folder: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path))
-
-
 def main(argv: list[str] | None = None) -> None:
-    from cartwise.session import get_session
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--tables", required=True, help="folder of the input parquet tables")
+    ap.add_argument("--tables", help="folder of the input parquet tables")
+    ap.add_argument("--jdbc", metavar="URL", help="read the store's tables from this database (its driver on the classpath)")
+    ap.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE",
+                    help="connection property, such as user=..., repeatable")
+    ap.add_argument("--users", help="parquet folder with the customer_id of the customers to recommend for")
     ap.add_argument("--out", required=True, help="folder of the output collections")
     ap.add_argument("--as-of", default=dt.date.today().isoformat(), help="the job's 'today' (YYYY-MM-DD)")
     ap.add_argument("--layout", choices=["store", "testdata"], default="store",
@@ -146,13 +162,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--buckets", type=int, default=1024, help="bucket count of the co-located copy")
     ap.add_argument("jobs", nargs="*", help=f"jobs to run (default all): {', '.join(JOBS)}")
     a = ap.parse_args(argv)
+    if not a.tables and not a.jdbc:
+        ap.error("either --tables or --jdbc is needed")
     spark = get_session(os.environ.get("CARTWISE_MASTER"))
     users = None
+    if a.users:
+        users = spark.read.parquet(a.users)
     if a.user:
         users = spark.createDataFrame([(u,) for u in a.user], "customer_id bigint")
     colocate = (a.colocate_into, a.buckets) if a.colocate_into else None
+    jdbc = {"url": a.jdbc, **dict(p.split("=", 1) for p in a.jdbc_property)} if a.jdbc else None
     done = run(spark, a.tables, a.out, dt.date.fromisoformat(a.as_of), a.jobs or None, users, a.layout,
-               colocate)
+               colocate, jdbc, size=True)
     print(" ".join(done))
 
 

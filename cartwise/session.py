@@ -79,22 +79,8 @@ MIN_SPLIT_BYTES, MAX_SPLIT_BYTES = 128 << 20, 1 << 30
 TARGET_SCAN_TASKS = 200_000
 
 
-_INPUT_BYTES: dict[tuple[str, ...], int] = {}
-
-
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total size of the files under ``paths`` from file-system metadata only.
-
-    Remembered per path set for the life of the process: on an object store a
-    100 TB table is a long listing, and every loader call would repeat it.
-    """
-    key = tuple(paths)
-    if key not in _INPUT_BYTES:
-        _INPUT_BYTES[key] = _listed_bytes(spark, paths)
-    return _INPUT_BYTES[key]
-
-
-def _listed_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` from file-system metadata only."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     total = 0
@@ -107,11 +93,13 @@ def _listed_bytes(spark: SparkSession, paths: list[str]) -> int:
 
 
 def size_for_input(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """Set shuffle partitions and scan split size from the input size, unless the
-    application set them itself (at launch or in this session).
+    """Set shuffle partitions and scan split size from the size of ``paths``, unless
+    the application set them itself (at launch or in this session).
 
-    Shuffle partitions: about one per GiB of input, clamped to [200, 50,000];
-    AQE coalesces the small ones after each map stage, so over-provisioning is
+    An explicit call, for one input: nothing calls it on its own, and a later
+    call for another input replaces what an earlier one set. Shuffle
+    partitions: about one per GiB of input, clamped to [200, 50,000]; AQE
+    coalesces the small ones after each map stage, so over-provisioning is
     cheap while under-provisioning spills. Scan splits grow from 128 MiB to at
     most 1 GiB so a 100 TB scan stays near 200,000 tasks. Returns what was set.
     """
@@ -127,9 +115,11 @@ def size_for_input(spark: SparkSession, paths: list[str]) -> dict[str, str]:
             MIN_SPLIT_BYTES, size // TARGET_SCAN_TASKS))),
     }
     for key, value in wanted.items():
-        if launched.contains(key) or spark.conf.get(key, None) != _default(spark, key):
+        ours = f"cartwise.sized.{key}"     # remembers what this function set
+        if launched.contains(key) or spark.conf.get(key, None) not in (_default(spark, key), spark.conf.get(ours, None)):
             continue
         spark.conf.set(key, value)
+        spark.conf.set(ours, value)
         changed[key] = value
     return changed
 

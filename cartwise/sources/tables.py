@@ -94,16 +94,8 @@ def _category(item_tag: DataFrame) -> DataFrame:
             .select((F.col("rank0") + 101).cast("int").alias("id"), F.col("tag").alias("name")))
 
 
-def load_tables(spark: SparkSession, sf_dir: str, auto_size: bool = True) -> StoreTables:
-    """Store tables adapted from the benchmark star schema in ``sf_dir``.
-
-    With ``auto_size`` the shuffle partition count and scan split size follow
-    the input size, unless the application set them (``session.size_for_input``).
-    """
-    if auto_size:
-        from cartwise.session import size_for_input
-        size_for_input(spark, [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in ("lineitem", "orders", "part",
-                                                                             "customer")])
+def load_tables(spark: SparkSession, sf_dir: str) -> StoreTables:
+    """Store tables adapted from the benchmark star schema in ``sf_dir``."""
     nation = read_raw(spark, sf_dir, "nation")
     part = read_raw(spark, sf_dir, "part")
     orders = read_raw(spark, sf_dir, "orders")
@@ -178,12 +170,8 @@ def store_tables(read: Callable[[str], DataFrame]) -> StoreTables:
                        item_category=item_category, review=review, state_map=state_map, item_tag=item_tag)
 
 
-def load_store_parquet(spark: SparkSession, folder: str, fmt: str = "parquet",
-                       auto_size: bool = True) -> StoreTables:
+def load_store_parquet(spark: SparkSession, folder: str, fmt: str = "parquet") -> StoreTables:
     """The store's tables saved as ``<folder>/<table>`` in a Spark file format."""
-    if auto_size:
-        from cartwise.session import size_for_input
-        size_for_input(spark, [f"{folder.rstrip('/')}/{n}" for n in ("ordereditem", "order_", "review")])
     return store_tables(lambda name: spark.read.format(fmt).load(f"{folder.rstrip('/')}/{name}"))
 
 

@@ -6,7 +6,9 @@ import os
 
 import pytest
 
+from cartwise.functions import holding
 from cartwise.plans import jobs
+from cartwise.sources.tables import load_tables
 from conftest import AS_OF
 
 SF = "/root/testdata/sf0.001"
@@ -23,7 +25,7 @@ def test_all_jobs_write_their_collections(spark, tmp_path):
                  "customer_segmentation_age_and_brand", "customer_segmentation_age_and_item_profile",
                  "also_bought_recommender", "best_reviewed_during_last_six_months",
                  "most_sold_during_last_six_months", "item_profile_recommender", "item_profile_members",
-                 jobs.ALS_MODEL, jobs.RECOMMENDATIONS, "finances_overview", "sales_value_predictions",
+                 jobs.ALS_MODEL, jobs.RECOMMENDATIONS, jobs.RESPONSES, "finances_overview", "sales_value_predictions",
                  "sales_value_predictions_by_state", "stock_overview", "sales_predictions",
                  "sales_predictions_by_item", "sales_predictions_by_state",
                  "sales_predictions_by_item_profiles"]:
@@ -78,16 +80,38 @@ def test_store_layout_reads_the_reference_schema(spark, tmp_path):
 
 
 def test_jobs_on_the_colocated_layout(spark, tmp_path):
-    from cartwise.sources import layout
+    from test_layout import forget
     out = str(tmp_path / "out")
-    try:
-        jobs.run(spark, SF, out, AS_OF, ["stock_overview", "sales_predictions"],
-                 colocate=(str(tmp_path / "b"), 4))
-        assert spark.read.parquet(f"{out}/stock_overview").count() == 1
-        assert spark.read.parquet(f"{out}/sales_predictions").count() == 12
-    finally:
-        for name in (layout.ORDER_TABLE, layout.LINES_TABLE):
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    jobs.run(spark, SF, out, AS_OF, ["stock_overview", "sales_predictions"], colocate=(str(tmp_path / "b"), 4))
+    assert spark.read.parquet(f"{out}/stock_overview").count() == 1
+    assert spark.read.parquet(f"{out}/sales_predictions").count() == 12
+    forget(spark, tmp_path / "b", 4)
+
+
+def test_jobs_release_what_they_hold_and_nothing_else(spark, tmp_path):
+    mine = spark.range(5).cache()
+    mine.count()
+    jobs.run(spark, SF, str(tmp_path), AS_OF, ["finances_overview"])
+    assert mine.is_cached and holding._HELD == []
+    mine.unpersist()
+
+
+def test_recommending_needs_a_request(spark, tmp_path):
+    with pytest.raises(ValueError, match="request"):
+        jobs.run(spark, SF, str(tmp_path), AS_OF, ["recommend_products"])
+
+
+def test_jdbc_option_reaches_the_loader(spark, tmp_path, monkeypatch):
+    seen = {}
+
+    def load(session, url, properties):
+        seen.update(properties, url=url)
+        return load_tables(session, SF)
+
+    monkeypatch.setattr(jobs, "load_store_jdbc", load)
+    jobs.run(spark, None, str(tmp_path), AS_OF, ["best_reviewers"], jdbc={"url": "jdbc:x://db/store", "user": "u"})
+    assert seen == {"url": "jdbc:x://db/store", "user": "u"}
+    assert spark.read.parquet(f"{tmp_path}/best_reviewers").count() == 20
 
 
 def test_jdbc_loader_passes_partitioned_reads(spark, monkeypatch):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import os
 
 import pytest
@@ -11,17 +12,21 @@ from cartwise.operators import recommend as rc
 from cartwise.operators import stock as st
 from cartwise.sources import layout
 from cartwise.sources.tables import load_tables
-from conftest import AS_OF
+from conftest import AS_OF, D, item_row, make_tables
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(f"{SF}/orders.parquet"), reason="no test data")
 
 
+def forget(spark, folder, buckets):
+    for name in layout._names(layout.copy_folder(str(folder), buckets)):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_colocated_join_has_no_exchange_and_same_result(spark, tmp_path):
     t = load_tables(spark, SF)
     layout.write_colocated(t, str(tmp_path / "b"), buckets=4)
-    for name in (layout.ORDER_TABLE, layout.LINES_TABLE):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")          # as a new application would see it
+    forget(spark, tmp_path / "b", 4)          # as a new application would see it
     b = layout.load_colocated(spark, t, str(tmp_path / "b"), buckets=4)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the sort-merge join
@@ -42,12 +47,48 @@ def test_colocated_join_has_no_exchange_and_same_result(spark, tmp_path):
         assert scan and "PartitionFilters: [isnotnull(order_month" in scan[0]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        for name in (layout.ORDER_TABLE, layout.LINES_TABLE):
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        forget(spark, tmp_path / "b", 4)
+
+
+def test_copies_side_by_side(spark, tmp_path):
+    for name, quantity in (("a", 3), ("b", 4)):
+        t = make_tables(spark, orders=[(1, 1, D("2001-01-10"), 1.0)], lines=[(1, 1, quantity)], items=[item_row(1)])
+        layout.write_colocated(t, str(tmp_path / name), buckets=2)
+    for name, quantity in (("a", 3), ("b", 4), ("a", 3)):
+        got = layout.load_colocated(spark, t, str(tmp_path / name), buckets=2)
+        assert [r.quantity for r in got.ordereditem.collect()] == [quantity]
+    for name in "ab":
+        forget(spark, tmp_path / name, 2)
+
+
+def test_half_written_copy_is_not_ready(spark, tmp_path):
+    t = load_tables(spark, SF)
+    folder = str(tmp_path / "b")
+    layout.write_colocated(t, folder, buckets=2)
+    assert layout.is_complete(spark, folder, 2) and not layout.is_complete(spark, folder, 4)
+    assert not layout.is_complete(spark, folder, 2, version="2")
+    os.rename(os.path.join(layout.copy_folder(folder, 2), "complete"), str(tmp_path / "elsewhere"))
+    with pytest.raises(FileNotFoundError):
+        layout.load_colocated(spark, t, folder, buckets=2)
+    layout.write_colocated(t, folder, buckets=2)        # written again over the rest
+    got = layout.load_colocated(spark, t, folder, buckets=2)
+    assert got.ordereditem.count() == t.ordereditem.count()
+    forget(spark, folder, 2)
+
+
+def test_files_of_a_copy_are_bounded(spark, tmp_path):
+    t = load_tables(spark, SF)
+    t = dataclasses.replace(t, order=t.order.repartition(9), ordereditem=t.ordereditem.repartition(9))
+    layout.write_colocated(t, str(tmp_path / "b"), buckets=3)
+    place = layout.copy_folder(str(tmp_path / "b"), 3)
+    files = lambda d: [f for f in os.listdir(d) if f.endswith(".parquet")]
+    assert len(files(f"{place}/order")) <= 3
+    months = [d for d in os.listdir(f"{place}/ordereditem") if d.startswith("order_month")]
+    assert months and all(len(files(f"{place}/ordereditem/{m}")) <= 3 for m in months)
+    forget(spark, tmp_path / "b", 3)
 
 
 def test_lines_without_an_order_stay_in_the_copy(spark, tmp_path):
-    from conftest import D, item_row, make_tables
     # order 9 does not exist: its lines get a null month but still pair up
     t = make_tables(spark, orders=[(1, 1, D("2001-01-10"), 1.0)],
                     lines=[(1, 1, 2), (1, 2, 3), (9, 1, 4), (9, 3, 5)],
@@ -59,5 +100,4 @@ def test_lines_without_an_order_stay_in_the_copy(spark, tmp_path):
         got = sorted((r.item_id, r.r_item_id, r.quantity) for r in rc.also_bought_pairs(b).collect())
         assert got == [(1, 2, 3), (1, 3, 5), (2, 1, 2), (3, 1, 4)]
     finally:
-        for name in (layout.ORDER_TABLE, layout.LINES_TABLE):
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        forget(spark, tmp_path / "b", 2)
