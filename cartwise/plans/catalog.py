@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.functions.calendar import DEFAULT_AS_OF
+from cartwise.functions.holding import hold
 from cartwise.operators import customers as cu
 from cartwise.operators import finances as fi
 from cartwise.operators import items as it
 from cartwise.operators import recommend as rc
 from cartwise.operators import stock as st
+from cartwise.operators.documents import unnested
 from cartwise.sources.tables import StoreTables, load_tables
 
 AS_OF = DEFAULT_AS_OF
@@ -34,16 +36,53 @@ def _on_tables(fn: Callable[[StoreTables], DataFrame]) -> Query:
     return run
 
 
+# ---- rows read back out of the documents themselves
+
+
+def _overview_rows(document: DataFrame, *lists: str) -> DataFrame:
+    return unnested(document.select(lists[0]), *lists)
+
+
+def _customers_overview_means(t: StoreTables) -> DataFrame:
+    return cu.customers_overview(t, AS_OF).select("average_age", "average_age_male", "average_age_female")
+
+
+# ---- what SQL can tell of a model's own output
+
+
+def _item_profile_map_items(t: StoreTables) -> DataFrame:
+    """The clustered items with their attributes; which profile they got is the model's."""
+    return it.item_profiles(t)[1].select("item_id", "item_brand", "item_description", "item_imUrl", "item_title", "item_price")
+
+
+def _item_profiles_total(t: StoreTables) -> DataFrame:
+    """Items over all profiles, and that every profile has some."""
+    return it.item_profiles(t)[0].agg(F.sum("number_items").alias("number_items"), (F.min("number_items") > 0).alias("none_empty"))
+
+
+def _segment_total(segments: DataFrame) -> DataFrame:
+    """Customers over all segments, and that there are no more than k."""
+    return segments.agg(F.sum("number_customers").alias("number_customers"), (F.count("*") <= cu.BRAND_K).alias("at_most_k"))
+
+
+def _asked_users(t: StoreTables) -> DataFrame:
+    """The registered request: every hundredth customer."""
+    return t.customer.filter(F.col("id") % 100 == 0).select(F.col("id").alias("customer_id"))
+
+
+def _recommended(t: StoreTables) -> DataFrame:
+    return rc.recommend_products_flat(rc.train_collaborative_filtering(t), t, _asked_users(t))
+
+
+def _recommendations(t: StoreTables) -> DataFrame:
+    return rc.recommend_products(rc.train_collaborative_filtering(t), t, _asked_users(t))
+
+
 def _profile_recommender_fixed(t: StoreTables) -> DataFrame:
     r = rc.item_profile_recommender(it.fixed_profile_map(t))
     return r.select("item_id", F.array_join("categories", "|").alias("categories"), "profile_id", "n_items")
 
 
-def _recommend_products(t: StoreTables) -> DataFrame:
-    model = rc.train_collaborative_filtering(t)
-    return rc.recommend_products_flat(model, t, None)   # every reviewer
-
-
 def _item_profiles(t: StoreTables) -> DataFrame:
     return it.item_profiles(t)[0]
 
@@ -53,12 +92,12 @@ def _item_profile_map(t: StoreTables) -> DataFrame:
 
 
 def _segments_age_profile(t: StoreTables) -> DataFrame:
-    pm = it.item_profiles(t)[1].cache()
+    pm = hold(it.item_profiles(t)[1])
     return cu.segments_age_profile(t, pm, AS_OF)
 
 
 def _sales_predictions_by_item_profile(t: StoreTables) -> DataFrame:
-    pm = it.item_profiles(t)[1].cache()
+    pm = hold(it.item_profiles(t)[1])
     return st.sales_predictions_by_item_profile(t, pm, AS_OF)
 
 
@@ -90,6 +129,33 @@ def queries() -> dict[str, Query]:
         "forecast_horizon_by_state": lambda t: fi.forecast_horizon_by_state(t, a),
         "sales_value_predictions": lambda t: fi.sales_value_predictions(t, a),
         "sales_predictions": lambda t: st.sales_predictions(t, a),
+        # the documents of the overviews and of also-bought, unnested
+        "customers_overview_means": _customers_overview_means,
+        "customers_overview_ages": lambda t: _overview_rows(cu.customers_overview(t, a), "average_age_by_state"),
+        "customers_overview_totals": lambda t: _overview_rows(cu.customers_overview(t, a), "customers_by_state"),
+        "finances_overview_monthly": lambda t: _overview_rows(fi.finances_overview(t, a), "monthly_sales"),
+        "finances_overview_by_state": lambda t: _overview_rows(
+            fi.finances_overview(t, a), "monthly_sales_by_state", "statesSales"),
+        "stock_overview_monthly": lambda t: _overview_rows(st.stock_overview(t, a), "monthly_sales"),
+        "stock_overview_by_state": lambda t: _overview_rows(st.stock_overview(t, a), "monthly_sales_by_state", "statesSales"),
+        "stock_overview_top_products": lambda t: _overview_rows(st.stock_overview(t, a), "top_products"),
+        "also_bought_rows": lambda t: rc.also_bought_rows(rc.also_bought(t)),
+        # around the models
+        "profile_members_fixed": lambda t: rc.profile_members(it.fixed_profile_map(t)),
+        "item_profile_map_items": _item_profile_map_items,
+        "item_profiles_total": _item_profiles_total,
+        "segments_age_brand_total": lambda t: _segment_total(cu.segments_age_brand(t, a)),
+        "segments_age_profile_total": lambda t: _segment_total(_segments_age_profile(t)),
+        "horizon_by_item": lambda t: st.horizon_by_item(t, a),
+        "horizon_by_profile_fixed": lambda t: st.horizon_by_profile(it.fixed_profile_map(t), a).withColumn(
+            "categories", F.array_join("categories", "|")),
+        "als_ratings": lambda t: rc.ratings(t).withColumn("overall", F.col("overall").cast("double")),
+        "sales_value_predictions_by_state_keys": lambda t: fi.sales_value_predictions_by_state(t, a).select(
+            "month", "year", "state", "abbreviation"),
+        "sales_predictions_by_state_keys": lambda t: st.sales_predictions_by_state(t, a).select(
+            "month", "year", "state", "abbreviation"),
+        "sales_predictions_by_item_keys": lambda t: st.sales_predictions_by_item(t, a).select(
+            "month", "year", "itemId", "itemName"),
     }
     rows_only: dict[str, Callable[[StoreTables], DataFrame]] = {
         "customers_overview": lambda t: cu.customers_overview(t, a),
@@ -104,7 +170,8 @@ def queries() -> dict[str, Query]:
         "sales_predictions_by_state": lambda t: st.sales_predictions_by_state(t, a),
         "sales_predictions_by_item": lambda t: st.sales_predictions_by_item(t, a),
         "sales_predictions_by_item_profile": _sales_predictions_by_item_profile,
-        "recommend_products": _recommend_products,
+        "recommend_products": _recommended,
+        "recommend_products_responses": _recommendations,
     }
     return {name: _on_tables(fn) for name, fn in {**exact, **rows_only}.items()}
 

@@ -7,23 +7,19 @@ then states the operator's semantics directly in SQL.
 
 from __future__ import annotations
 
-from cartwise.functions.calendar import DEFAULT_AS_OF, add_months, first_of_month
-from cartwise.functions.people import as_of_seconds
-from cartwise.operators import forecast as fc
-
-AS_OF = DEFAULT_AS_OF
-
-
-def _d(x) -> str:
-    return f"DATE '{x.isoformat()}'"
-
-
-SINCE_24 = _d(add_months(AS_OF, -24))
-LAST6_LO, LAST6_HI = _d(add_months(AS_OF, -6)), _d(AS_OF)
-FIRST = first_of_month(AS_OF)
-HIST_LO = {24: _d(add_months(FIRST, -24)), 48: _d(add_months(FIRST, -48))}
-HIST_HI = _d(FIRST)
-NOW_SECS = as_of_seconds(AS_OF)
+# Fixed values, written out so that nothing here comes from the code under test:
+# windows relative to 2001-07-15, its Unix time, the age buckets (lower bound,
+# code), the candidates of the trend (regParam, fitIntercept, elasticNetParam).
+SINCE_24 = "DATE '1999-07-15'"
+LAST6_LO, LAST6_HI = "DATE '2001-01-15'", "DATE '2001-07-15'"
+FIRST = "DATE '2001-07-01'"
+HIST_LO = {24: "DATE '1999-07-01'", 48: "DATE '1997-07-01'"}
+HIST_HI = FIRST
+NOW_SECS = 995155200
+BRAND_AGES = [(16, 0), (20, 1), (25, 2), (30, 3), (40, 4), (50, 5), (60, 6)]
+PROFILE_AGES = [(16, 0), (22, 1), (30, 2), (50, 3)]
+GRID = [(0.1, True, 0.0), (0.1, True, 0.5), (0.1, True, 1.0), (0.1, False, 0.0), (0.1, False, 0.5), (0.1, False, 1.0),
+        (0.01, True, 0.0), (0.01, True, 0.5), (0.01, True, 1.0), (0.01, False, 0.0), (0.01, False, 0.5), (0.01, False, 1.0)]
 
 ADAPTER = """
 f_customer AS (
@@ -104,11 +100,11 @@ AGE_SUMS = f"""age_sums AS (
 
 
 def _mean(s: str, n: str) -> str:
-    return f"ROUND(CAST({s} AS DOUBLE) / CAST({n} AS DOUBLE) / 31536000.0, 6)"
+    return f"(CAST({s} AS DOUBLE) / CAST({n} AS DOUBLE) / CAST(31536000 AS DOUBLE))"
 
 
 def _age_code(age: str, buckets) -> str:
-    whens = " ".join(f"WHEN {age} >= {lo} THEN {code}" for lo, code, _ in reversed(buckets))
+    whens = " ".join(f"WHEN {age} >= {lo} THEN {code}" for lo, code in reversed(buckets))
     return f"CAST(CASE {whens} ELSE 99 END AS INTEGER)"
 
 
@@ -176,8 +172,8 @@ def _solve_sql(p: str, reg: str, enet: str, fi: str) -> tuple[str, str]:
 def _trend_sql(series_body: str, value_expr: str) -> str:
     """Closed-form model choice on the key-based split, then the 12-month horizon."""
     grid_rows = ", ".join(f"({pos}, {reg}, {enet}, {'TRUE' if fi else 'FALSE'})"
-                          for pos, (reg, fi, enet) in enumerate(fc.grid()))
-    is_val = f"(t % {fc.VALIDATION_EVERY}) = {fc.VALIDATION_EVERY - 1}"
+                          for pos, (reg, fi, enet) in enumerate(GRID))
+    is_val = "(t % 4) = 3"
     s_tr, i_tr = _solve_sql("tr", "reg", "enet", "fi")
     sse = (f"(((((va_syy - ((2.0 * _i) * va_sy)) - ((2.0 * _s) * va_sxy)) + ((va_n * _i) * _i)) "
            f"+ (((2.0 * _i) * _s) * va_sx)) + ((_s * _s) * va_sxx))")
@@ -193,7 +189,7 @@ scored AS (SELECT *, COALESCE(CASE WHEN va_n > 0 THEN SQRT(GREATEST({sse}, 0.0)
   CAST('inf' AS DOUBLE)) AS rmse FROM cand),
 best AS (SELECT * FROM scored ORDER BY rmse, pos LIMIT 1),
 model AS (SELECT {s_al} AS slope, {i_al} AS intercept, max_t FROM best),
-steps AS (SELECT h, {_d(FIRST)} + TO_MONTHS(CAST(h AS INTEGER)) AS d FROM range(0, {fc.HORIZON}) r(h)),
+steps AS (SELECT h, {FIRST} + TO_MONTHS(CAST(h AS INTEGER)) AS d FROM range(0, 12) r(h)),
 pred AS (SELECT CAST(MONTH(d) AS INTEGER) AS month, CAST(YEAR(d) AS INTEGER) AS year,
   (intercept + (slope * CAST((max_t + h) + 1 AS DOUBLE))) AS prediction FROM model, steps)
 SELECT month, year, {value_expr} FROM pred"""
@@ -227,11 +223,10 @@ SELECT {_mean('SUM(s_all)', 'SUM(n_all)')} AS average_age, {_mean('SUM(s_m)', 'S
 SELECT state AS name, 'US-' || abbreviation AS abbreviation, {_mean('s_all', 'n_all')} AS age FROM age_sums""")
     q["customers_by_state"] = _q(AGE_SUMS, body="""
 SELECT state AS name, 'US-' || abbreviation AS abbreviation, n_all AS totalCustomers FROM age_sums""")
-    from cartwise.functions.people import BRAND_AGE_BUCKETS, PROFILE_AGE_BUCKETS
     q["customer_brand_shares"] = _q(_shares_sql("brand", f"""SELECT p.*, i.brand FROM ({PURCHASES}) p
-  JOIN f_item i ON i.id = p.item_id WHERE i.brand IS NOT NULL AND i.brand <> ''""", BRAND_AGE_BUCKETS), body="")
+  JOIN f_item i ON i.id = p.item_id WHERE i.brand IS NOT NULL AND i.brand <> ''""", BRAND_AGES), body="")
     q["customer_profile_shares_fixed"] = _q(_shares_sql("profile_id", f"""SELECT p.*, fp.profile_id FROM ({PURCHASES}) p
-  JOIN f_fixed_profile fp ON fp.item_id = p.item_id""", PROFILE_AGE_BUCKETS), body="")
+  JOIN f_fixed_profile fp ON fp.item_id = p.item_id""", PROFILE_AGES), body="")
     q["item_category_features"] = _q(body="""
 SELECT ic.items_id AS item_id, c.id AS category_id, c.name AS category
 FROM f_item_category ic JOIN f_category c ON ic.categories_id = c.id JOIN f_item i ON i.id = ic.items_id""")
@@ -267,10 +262,10 @@ SELECT year, month, CAST(DENSE_RANK() OVER (ORDER BY year, month) - 1 AS INTEGER
 SELECT year, month, CAST(DENSE_RANK() OVER (ORDER BY year, month) - 1 AS INTEGER) AS t, label FROM series""")
     by_state_src = "SELECT o.*, c.state FROM f_order o JOIN f_customer c ON o.customer_id = c.id"
     q["value_series_by_state"] = _q(f"series AS ({_series_sql(VALUE_SUM, by_state_src, 48, ['state'])})", body="""
-SELECT year, month, state, CAST(DENSE_RANK() OVER (ORDER BY state) - 1 AS INTEGER) AS state_idx, label FROM series""")
+SELECT year, month, state, CAST(DENSE_RANK() OVER (ORDER BY state NULLS FIRST) - 1 AS INTEGER) AS state_idx, label FROM series""")
     lines_state = f"SELECT l.*, c.state FROM ({LINES_ALL}) l JOIN f_customer c ON l.customer_id = c.id"
     q["unit_series_by_state"] = _q(f"series AS ({_series_sql(UNIT_SUM, lines_state, 48, ['state'])})", body="""
-SELECT year, month, state, CAST(DENSE_RANK() OVER (ORDER BY state) - 1 AS INTEGER) AS state_idx, label FROM series""")
+SELECT year, month, state, CAST(DENSE_RANK() OVER (ORDER BY state NULLS FIRST) - 1 AS INTEGER) AS state_idx, label FROM series""")
     q["unit_series_by_item"] = _q(f"series AS ({_series_sql(UNIT_SUM, LINES_ITEM, 48, ['item_id'])})", body="""
 SELECT year, month, item_id, CAST(DENSE_RANK() OVER (ORDER BY item_id) - 1 AS INTEGER) AS item_idx, label FROM series""")
     lines_prof = f"SELECT l.*, fp.profile_id FROM ({LINES_ITEM}) l JOIN f_fixed_profile fp ON fp.item_id = l.item_id"
@@ -278,9 +273,9 @@ SELECT year, month, item_id, CAST(DENSE_RANK() OVER (ORDER BY item_id) - 1 AS IN
                                            body="SELECT year, month, profile_id, label FROM series")
     q["forecast_horizon_by_state"] = _q(
         f"series AS ({_series_sql(VALUE_SUM, by_state_src, 48, ['state'])})",
-        "states AS (SELECT state, CAST(DENSE_RANK() OVER (ORDER BY state) - 1 AS INTEGER) AS state_idx "
+        "states AS (SELECT state, CAST(DENSE_RANK() OVER (ORDER BY state NULLS FIRST) - 1 AS INTEGER) AS state_idx "
         "FROM (SELECT DISTINCT state FROM series) d)",
-        f"steps AS (SELECT {_d(FIRST)} + TO_MONTHS(CAST(h AS INTEGER)) AS d FROM range(0, {fc.HORIZON}) r(h))",
+        f"steps AS (SELECT {FIRST} + TO_MONTHS(CAST(h AS INTEGER)) AS d FROM range(0, 12) r(h))",
         body="""
 SELECT CAST(MONTH(d) AS INTEGER) AS month, CAST(YEAR(d) AS INTEGER) AS year, s.state, s.state_idx,
        'US-' || COALESCE(m.abbreviation, 'DESC') AS abbreviation
@@ -291,4 +286,48 @@ FROM states s LEFT JOIN f_state_map m ON m.name = s.state, steps""")
     q["sales_predictions"] = _q(_trend_sql(
         _series_sql(UNIT_SUM, LINES_ALL, 24, []),
         "GREATEST(CAST(FLOOR(prediction + 0.5) AS INTEGER), 0) AS sales"), body="")
+    # the documents, unnested, must say what the flat forms say
+    for document, flat in (("customers_overview_means", "customers_mean_age"),
+                           ("customers_overview_ages", "customers_age_by_state"),
+                           ("customers_overview_totals", "customers_by_state"),
+                           ("finances_overview_monthly", "finances_monthly"),
+                           ("finances_overview_by_state", "finances_monthly_by_state"),
+                           ("stock_overview_monthly", "stock_monthly"),
+                           ("stock_overview_by_state", "stock_monthly_by_state"),
+                           ("stock_overview_top_products", "stock_top_products"),
+                           ("also_bought_rows", "also_bought_pairs")):
+        q[document] = q[flat]
+    q["profile_members_fixed"] = _q(body="""
+SELECT fp.profile_id, i.id, i.title, i.brand, i.imUrl, i.price FROM f_fixed_profile fp JOIN f_item i ON i.id = fp.item_id""")
+    with_category = "f_item i WHERE i.id IN (SELECT ic.items_id FROM f_item_category ic JOIN f_category c ON ic.categories_id = c.id)"
+    q["item_profile_map_items"] = _q(body=f"""
+SELECT i.id AS item_id, i.brand AS item_brand, i.description AS item_description, i.imUrl AS item_imUrl,
+       i.title AS item_title, i.price AS item_price FROM {with_category}""")
+    q["item_profiles_total"] = _q(body=f"SELECT COUNT(*) AS number_items, COUNT(*) > 0 AS none_empty FROM {with_category}")
+    for name, source in (
+            ("brand", f"SELECT p.customer_id FROM ({PURCHASES}) p JOIN f_item i ON i.id = p.item_id "
+                      "WHERE i.brand IS NOT NULL AND i.brand <> ''"),
+            ("profile", f"""SELECT p.customer_id FROM ({PURCHASES}) p
+  JOIN (SELECT i.id FROM {with_category}) i ON i.id = p.item_id""")):
+        q[f"segments_age_{name}_total"] = _q(body=f"""
+SELECT COUNT(DISTINCT customer_id) AS number_customers, COUNT(*) > 0 AS at_most_k FROM ({source}) s""")
+    steps = f"steps AS (SELECT {FIRST} + TO_MONTHS(CAST(h AS INTEGER)) AS d FROM range(0, 12) r(h))"
+    ym = "CAST(MONTH(d) AS INTEGER) AS month, CAST(YEAR(d) AS INTEGER) AS year"
+    item_series = f"series AS ({_series_sql(UNIT_SUM, LINES_ITEM, 48, ['item_id'])})"
+    items = """items AS (SELECT item_id, CAST(DENSE_RANK() OVER (ORDER BY item_id) - 1 AS INTEGER) AS item_idx
+  FROM (SELECT DISTINCT item_id FROM series) x)"""
+    q["horizon_by_item"] = _q(item_series, items, steps, body=f"""
+SELECT {ym}, items.item_id, item_idx, i.title FROM items LEFT JOIN f_item i ON i.id = items.item_id, steps""")
+    q["sales_predictions_by_item_keys"] = _q(item_series, items, steps, body=f"""
+SELECT {ym}, items.item_id AS itemId, i.title AS itemName FROM items LEFT JOIN f_item i ON i.id = items.item_id, steps""")
+    q["horizon_by_profile_fixed"] = _q(steps, body=f"""
+SELECT {ym}, p.profile_id, ARRAY_TO_STRING(p.categories, '|') AS categories
+FROM (SELECT DISTINCT profile_id, categories FROM f_fixed_profile fp JOIN f_item i ON i.id = fp.item_id) p, steps""")
+    q["als_ratings"] = _q(body="SELECT customer_id, item_id, overall FROM f_review")
+    q["sales_value_predictions_by_state_keys"] = (
+        f"SELECT month, year, state, abbreviation FROM ({q['forecast_horizon_by_state']}) k")
+    q["sales_predictions_by_state_keys"] = _q(
+        f"series AS ({_series_sql(UNIT_SUM, lines_state, 48, ['state'])})", steps, body=f"""
+SELECT {ym}, s.state, 'US-' || COALESCE(m.abbreviation, 'DESC') AS abbreviation
+FROM (SELECT DISTINCT state FROM series) s LEFT JOIN f_state_map m ON m.name = s.state, steps""")
     return q

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from cartwise.functions.people import BRAND_AGE_BUCKETS
 from cartwise.operators import customers as cu
 from cartwise.operators import finances as fi
 from cartwise.operators import items as it
@@ -47,7 +49,9 @@ def test_segments_invariants(spark, tables, profiles):
     seg = cu.segments_age_brand(tables, AS_OF, k=3, max_iter=10).collect()
     n_cust = cu.customer_brand_shares(tables, AS_OF).select("customer_id").distinct().count()
     assert sum(r.number_customers for r in seg) == n_cust
-    assert all(len(r.brands) == min(7, len(r.brands)) and r.age_interval for r in seg)
+    labels = {label for _, _, label in BRAND_AGE_BUCKETS} | {"Other"}
+    n_brands = cu.customer_brand_shares(tables, AS_OF).select("brand").distinct().count()
+    assert all(len(r.brands) == min(7, n_brands) == len(set(r.brands)) and r.age_interval in labels for r in seg)
     seg2 = cu.segments_age_profile(tables, profiles[1], AS_OF, k=3, max_iter=5).collect()
     n2 = cu.customer_profile_shares(tables, profiles[1], AS_OF).select("customer_id").distinct().count()
     assert sum(r.number_customers for r in seg2) == n2
@@ -72,14 +76,68 @@ def test_keyed_forecasts_cover_horizon_times_keys(tables, profiles):
 
 def test_recommend_products_limits_and_threshold(spark, tables, tmp_path):
     model = rc.train_collaborative_filtering(tables, max_iter=3, path=str(tmp_path / "als"))
-    from pyspark.ml.recommendation import ALSModel
-    loaded = ALSModel.load(str(tmp_path / "als"))
+    loaded = rc.Recommender.load(spark, str(tmp_path / "als"))
     users = tables.review.select("customer_id").distinct().limit(30)
     flat = rc.recommend_products_flat(loaded, tables, users)
     assert flat.filter(F.col("rating") < 3.0).count() == 0
     assert flat.groupBy("customer_id").count().agg(F.max("count")).first()[0] <= 20
-    doc = rc.recommend_products(model, tables, users).collect()
-    assert all(len(r["items"]) <= 20 and r.json.startswith("{") for r in doc)
+    doc = rc.recommend_products(model, tables, users, json_path=str(tmp_path / "json")).collect()
+    ranked = {}
+    for r in flat.orderBy("customer_id", "rank").collect():
+        ranked.setdefault(r.customer_id, []).append(r.id)
+    assert {r.customer_id: [x.id for x in r["items"]] for r in doc} == ranked
+    assert all(json.loads(r.json) == {"customer_id": r.customer_id, "items": [
+        {k: v for k, v in x.asDict().items() if v is not None} for x in r["items"]]} for r in doc)
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "json")).collect()) == sorted(r.json for r in doc)
+
+
+def test_recommend_with_ids_beyond_32_bits(spark):
+    big = 1 << 40
+    reviews = [(big + u, big + 100 + i, 5.0 if (u + i) % 2 else 1.0, 0, 0, D("2001-01-01"))
+               for u in range(4) for i in range(4) if u != i]
+    t = make_tables(spark, reviews=[*reviews, (None, big, 5.0, 0, 0, D("2001-01-01"))],
+                    items=[item_row(big + 100 + i) for i in range(4)])
+    model = rc.train_collaborative_filtering(t, rank=2, max_iter=8)
+    asked = spark.createDataFrame([(big,), (big,), (big + 1,), (7,)], "customer_id bigint")
+    got = rc.recommend_products_flat(model, t, asked).collect()
+    assert {r.customer_id for r in got} == {big, big + 1} and all(r.id >= big + 100 for r in got)
+
+
+def test_item_profiles_with_a_repeated_category(spark):
+    t = make_tables(spark, items=[item_row(1), item_row(2), item_row(3)], categories=[(1, "rock"), (2, "jazz")],
+                    item_categories=[(1, 1), (1, 1), (2, 2), (3, 1), (3, 2)])
+    p, m = it.item_profiles(t, k=3)
+    assert {r.item_id: sorted(r.categories) for r in m.collect()} == {1: ["rock"], 2: ["jazz"], 3: ["jazz", "rock"]}
+    assert p.agg(F.sum("number_items")).first()[0] == 3
+
+
+def test_models_of_nothing_are_empty(spark):
+    t = make_tables(spark)
+    p, m = it.item_profiles(t)
+    assert p.count() == m.count() == 0
+    assert cu.segments_age_brand(t, AS_OF).count() == 0
+    assert cu.segments_age_profile(t, m, AS_OF).count() == 0
+
+
+def test_keyed_fit_leaves_out_null_labels(spark):
+    from cartwise.operators import forecast as fc
+    rows = [(2000 + m // 12, m % 12 + 1, k, float(10 * k + m)) for m in range(24) for k in range(3)]
+    schema = "year int, month int, k int, label double"
+    clean = fc.fit_keyed(spark.createDataFrame(rows, schema), ["month", "year", "k"])
+    holes = fc.fit_keyed(spark.createDataFrame([*rows, (2000, 1, 0, None), (2000, 2, None, 5.0)], schema), ["month", "year", "k"])
+    assert list(clean.stages[1].coefficients) == pytest.approx(list(holes.stages[1].coefficients))
+
+
+def test_sparse_vectors_equal_dense_ones(spark):
+    from pyspark.ml.linalg import SparseVector
+
+    from cartwise.operators import clusters as cl
+    shares = spark.createDataFrame([(1, 2, "b", 0.25), (1, 2, "d", 0.75), (2, 99, "a", 1.0)],
+                                   "customer_id bigint, age_code int, brand string, share double")
+    vocab = cl.vocabulary(spark.createDataFrame([(x,) for x in "abcd"], "brand string"), "brand")
+    got = {r.customer_id: r.features for r in cl.share_vectors(shares, vocab, "brand", "customer_id").collect()}
+    assert all(isinstance(v, SparseVector) for v in got.values())
+    assert list(got[1].toArray()) == [0, 0.25, 0, 0.75, 2] and list(got[2].toArray()) == [1, 0, 0, 0, 99]
 
 
 def test_recommend_drops_users_without_good_ratings(spark):
