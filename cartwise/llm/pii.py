@@ -50,6 +50,7 @@ PATTERNS = {
     "id_like": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 _NEEDS = {"email": "@", "phone": "+", "email_like": "at"}     # a text without it has no match
+_PUBLIC = "0*(?!127\\.)(?:[1-9][0-9]?|1[0-9][0-9]|2[01][0-9]|22[0-3])"     # first parts of addresses of hosts
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
 # What the gazetteers know.
@@ -147,7 +148,7 @@ def _votes(kind: str, m: Column, passes: Column) -> Column:
     grouping = _vote(hit.rlike(shape), ~hit.rlike(shape)) if shape else F.lit("0")
     around = _vote(before.rlike(r"(?:^|[\p{L}\p{P}]\s*)$") & after.rlike(r"^(?:$|\s*[\p{L}\p{P}|])"),
                    before.rlike(r"[0-9]\s*[.,;|]?\s*$") | after.rlike(r"^\s*[.,;|]?\s*[0-9]"))
-    known = {"email": (r"\." + _one_of(ENDINGS) + "$", r"\.[0-9-]+$"), "ip": (r"^[1-9]", r"^(?:0|127|255)\."),
+    known = {"email": (r"\." + _one_of(ENDINGS) + "$", r"\.[0-9-]+$"), "ip": (rf"^{_PUBLIC}\.", rf"^(?!{_PUBLIC}\.)"),
              "card": ("^[3-6]", "^[^3-6]"), "phone": (r"^\+" + _one_of(PREFIXES), r"^\+0"),
              "email_like": (_one_of(ENDINGS) + "$", "[0-9]$"), "phone_like": (r"^\(?[2-9]", r"^\(?[01]")}.get(kind)
     gazetteer = _vote(hit.rlike(known[0]), hit.rlike(known[1])) if known else F.lit("0")
