@@ -80,7 +80,8 @@ def line_dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     gone = gone.select(F.col("doc_id").alias(key), F.col("row").alias(row), F.col("positions").alias(at))
     text = F.col("text").cast("string")
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
-    joined = docs.join(gone, (place == F.col(key)) & (F.xxhash64(text) == F.col(row)), "left")
+    # a sort-merge join at every size: what is joined grows with the corpus
+    joined = docs.join(gone.hint("merge"), (place == F.col(key)) & (F.xxhash64(text) == F.col(row)), "left")
     kept = F.filter(lines(text), lambda _, i: ~F.array_contains(F.col(at), i))
     return joined.select(*[F.when(F.col(at).isNull(), text).otherwise(F.array_join(kept, "\n")).alias(c)
                            if c.lower() == "text" else F.col(c) for c in docs.columns],
