@@ -45,7 +45,7 @@ from cartwise.llm.token_counts import byte_symbols
 #: Tokens of a sequence; the id that ends a document.
 LENGTH, END = 2048, 0
 #: Chunks whose ids a worker process keeps.
-MEMO = 800_000
+MEMO = 400_000
 #: Rows of a plan up to which it is broadcast; a larger one is joined by a shuffle.
 PLAN_ROWS = 200_000
 

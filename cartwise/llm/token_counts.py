@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from cartwise.llm.common import text_column
 
 #: Words whose counts a worker process keeps, and the longest of them in bytes.
-MEMO, MEMO_BYTES = 800_000, 64
+MEMO, MEMO_BYTES = 400_000, 64
 SPACE = b" "
 
 COUNTS = "struct<n_words:bigint,n_tokens:bigint>"
