@@ -201,7 +201,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END)
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     before = written(per_task.select(F.col("task").alias("b_task"), F.col("length").alias("b_length"),
                                      F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")), "ranks_before")
-    ranked = (made.join(before, (F.col("task") == F.col("b_task")) & (F.col("length") == F.col("b_length")))
+    # a sort-merge join at every size: there are more tasks, and so more of these counts, in a larger corpus
+    ranked = (made.join(before.hint("merge"), (F.col("task") == F.col("b_task")) & (F.col("length") == F.col("b_length")))
               .withColumn("rank", F.col("before") + F.col("number")))
     slot = ((F.col("length") == F.col("p_length")) & (F.col("rank") >= F.col("p_rank"))
             & (F.col("rank") < F.col("p_rank") + F.col("p_count")))
