@@ -12,11 +12,17 @@ that holds the text's words more often decides.
 The dictionaries are fitted on a bounded sample: ``DOCS_PER_LANGUAGE`` labelled
 documents of each language, chosen by a hash of their ids, and of their text at
 most ``DICTIONARY_BYTES`` a language (small enough to be sent to every task).
+Each language keeps all that its sample gives. Where that is less than others
+have, it is credited, text by text, with what the others' greater length gains
+on a text that isn't theirs: of the longer dictionaries other than the best, the
+one farthest from the text is cut to the shorter one's size (rounded up to a
+power of two), and the bytes that the cut costs it are taken off.
 Prediction reads whole texts where they lie, without a shuffle.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0
 and not accepted. Without any labelled row everything is ``und``. A tie that
-the words don't decide goes to the language first by name and is not accepted. Rows with null ``lang`` or null id teach nothing.
+the words don't decide goes to the language first by name and is not accepted. Rows with
+null ``lang`` or null id, or without a letter, teach nothing.
 """
 
 from __future__ import annotations
@@ -59,7 +65,7 @@ def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE,
     """Raw dictionary content by language, from (doc_id, text, lang)."""
     rows = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                            F.col("lang").cast("string").alias("lang"))
-    rows = rows.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND length(text) > 0")
+    rows = rows.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     chosen = sample_by(rows, "lang", docs_per_language).withColumnRenamed("lang", "_lang")
     # a whole character more than SHARE_BYTES never travels: what a dictionary takes of a text is that much
     # at most docs_per_language ids a language: few enough to be sent to every task
@@ -73,23 +79,44 @@ def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE,
     for lang, own in sorted(texts.items()):
         content = b" ".join(part for _, part in sorted(own))
         made[lang] = content[:dictionary_bytes]
-    least = min(map(len, made.values()), default=0)
-    return {lang: content[:max(least, 64)] for lang, content in made.items()}    # alike in size, or the larger wins
+    return {lang: content for lang, content in made.items() if content.strip()}
+
+
+def encoder(content: bytes) -> zstandard.ZstdCompressor:
+    d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    d.precompute_compress(level=LEVEL)
+    return zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_dict_id=False)
+
+
+def size(e: zstandard.ZstdCompressor, data: bytes) -> int:
+    return sum(len(e.compress(data[i:i + CHUNK])) for i in range(0, len(data), CHUNK))
 
 
 class Classifier:
     def __init__(self, dictionaries: dict[str, bytes], min_margin: float = MIN_MARGIN):
         self.min_margin = min_margin
         self.languages = sorted(dictionaries)
-        self.encoders, self.contents = [], [b" " + dictionaries[lang] + b" " for lang in self.languages]
-        for lang in self.languages:
-            d = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=LEVEL)
-            self.encoders.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_dict_id=False))
+        self.contents = [b" " + dictionaries[lang] + b" " for lang in self.languages]
+        self.encoders = [encoder(dictionaries[lang]) for lang in self.languages]
+        # by powers of two that hold a dictionary: whose they hold, and parts of that size of the longer ones
+        steps = [1 << (len(dictionaries[lang]) - 1).bit_length() for lang in self.languages]
+        self.parts = [(
+            [i for i, s in enumerate(steps) if s == step],
+            {i: encoder(dictionaries[lang][:step]) for i, lang in enumerate(self.languages) if len(dictionaries[lang]) > step}
+        ) for step in sorted(set(steps))]
 
     def sizes(self, data: bytes) -> list[int]:
-        chunks = [data[i:i + CHUNK] for i in range(0, len(data), CHUNK)]
-        return [sum(len(e.compress(c)) for c in chunks) for e in self.encoders]
+        """Encoded sizes; smaller dictionaries are credited with what a longer one of another language gains by length."""
+        found = [size(e, data) for e in self.encoders]
+        best, out = found.index(min(found)), list(found)
+        for held, longer in self.parts:
+            others = [i for i in longer if i != best]
+            if others:
+                far = max(others, key=found.__getitem__)
+                gain = max(0, size(longer[far], data) - found[far])
+                for i in held:
+                    out[i] -= gain
+        return out
 
     def predict(self, text: str | None) -> dict:
         if not text or not self.languages or not _LETTER.search(text):

@@ -290,6 +290,25 @@ def test_language_id_rejects_narrow_margins():
     assert got["lang"] == "a" and not got["accepted"] and got["score"] == pytest.approx(0.5)
 
 
+def test_language_id_tiny_language_changes_no_other(spark):
+    docs = common.documents(spark, "/root/testdata/sf0.01").select("doc_id", "text", "lang")
+    learn, held = docs.filter(common.learnable(docs, 4, 2)), docs.filter(~common.learnable(docs, 4, 2)).collect()
+    tiny = spark.createDataFrame([(10**9, "Questa frase breve non insegna quasi nulla della lingua in cui fu scritta.", "it"),
+                                  (10**9 + 1, "0123 456 789", "zz"), (10**9 + 2, "né", "yy")], docs.schema)
+    alone, beside = language_id.fit(learn), language_id.fit(learn.unionByName(tiny))
+    assert set(beside) == {*alone, "it", "yy"} and {lang: beside[lang] for lang in alone} == alone
+    assert {len(content) for content in alone.values()} == {language_id.DICTIONARY_BYTES}
+    before, after = language_id.Classifier(alone), language_id.Classifier(beside)
+    right = 0
+    for r in held:
+        a, b = before.predict(r.text), after.predict(r.text)
+        assert (a["lang"], a["accepted"]) == (b["lang"], b["accepted"])
+        right += b["lang"] == r.lang
+    assert right > 0.98 * len(held)
+    italian = "Questa frase breve non insegna quasi nulla della lingua"
+    assert after.predict(italian)["lang"] == "it"
+
+
 # ---- packing
 
 
