@@ -10,8 +10,10 @@ A few words may be too short for any match; where sizes tie, the dictionary
 that holds the text's words more often decides.
 
 The dictionaries are fitted on a bounded sample: ``DOCS_PER_LANGUAGE`` labelled
-documents of each language, chosen by a hash of their ids, and of their text at
-most ``DICTIONARY_BYTES`` a language (small enough to be sent to every task).
+documents of each language, chosen by a hash of their ids, of each a passage of
+at most ``SHARE_BYTES`` that starts where another hash says, anywhere in the
+text, and at most ``DICTIONARY_BYTES`` a language (small enough to be sent to
+every task), to which all the passages give alike.
 Each language keeps all that its sample gives. Where that is less than others
 have, it is credited, text by text, with what the others' greater length gains
 on a text that isn't theirs: of the longer dictionaries other than the best, the
@@ -60,6 +62,16 @@ def letters(text: str) -> bytes:
     return b" ".join(text.lower().encode("utf-8", "surrogatepass").translate(_LETTERS).split())
 
 
+def shares(sizes: list[int], total: int) -> list[int]:
+    """What each of ``sizes`` may have so that they and the spaces between them fit into ``total``: all alike, or all it is."""
+    out, left = [0] * len(sizes), total - len(sizes) + 1
+    order = sorted(range(len(sizes)), key=lambda i: (sizes[i], i))
+    for k, i in enumerate(order):
+        out[i] = max(0, min(sizes[i], left // (len(sizes) - k)))
+        left -= out[i]
+    return out
+
+
 def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE,
         dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """Raw dictionary content by language, from (doc_id, text, lang)."""
@@ -67,18 +79,21 @@ def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE,
                            F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     chosen = sample_by(rows, "lang", docs_per_language).withColumnRenamed("lang", "_lang")
-    # a whole character more than SHARE_BYTES never travels: what a dictionary takes of a text is that much
     # at most docs_per_language ids a language: few enough to be sent to every task
-    part = (rows.join(F.broadcast(chosen.withColumnRenamed("doc_id", "_id")), (F.col("doc_id") == F.col("_id"))
-                      & (F.col("lang") == F.col("_lang")))
-            .select("lang", "doc_id", F.substring("text", 1, SHARE_BYTES).alias("part")))
-    texts: dict[str, list[tuple[int, bytes]]] = {}
+    own = rows.join(F.broadcast(chosen.withColumnRenamed("doc_id", "_id")), (F.col("doc_id") == F.col("_id"))
+                    & (F.col("lang") == F.col("_lang")))
+    # of each text at most SHARE_BYTES characters travel, from a place that a hash of the id chooses
+    words = F.trim(F.regexp_replace("text", r"[\x00-\x40\x5B-\x60\x7B-\x7F]+", " "))
+    start = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.greatest(F.length("words") - SHARE_BYTES + 1, F.lit(1)))
+    part = (own.select("lang", "doc_id", F.xxhash64("doc_id").alias("turn"), words.alias("words"))
+            .select("lang", "turn", "doc_id", F.substr("words", (start + 1).cast("int"), F.lit(SHARE_BYTES)).alias("part")))
+    texts: dict[str, list[tuple[int, int, bytes]]] = {}
     for r in part.collect():
-        texts.setdefault(r.lang, []).append((r.doc_id, letters(r.part)[:SHARE_BYTES]))
+        texts.setdefault(r.lang, []).append((r.turn, r.doc_id, letters(r.part)[:SHARE_BYTES]))
     made = {}
-    for lang, own in sorted(texts.items()):
-        content = b" ".join(part for _, part in sorted(own))
-        made[lang] = content[:dictionary_bytes]
+    for lang, own_parts in sorted(texts.items()):
+        parts = [part for *_, part in sorted(own_parts) if part]
+        made[lang] = b" ".join(p[:n] for p, n in zip(parts, shares([len(p) for p in parts], dictionary_bytes), strict=True))
     return {lang: content for lang, content in made.items() if content.strip()}
 
 

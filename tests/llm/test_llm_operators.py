@@ -309,6 +309,27 @@ def test_language_id_tiny_language_changes_no_other(spark):
     assert after.predict(italian)["lang"] == "it"
 
 
+def test_language_id_learns_from_all_of_every_sampled_text(spark):
+    docs = common.documents(spark, "/root/testdata/sf0.01").select("doc_id", "text", "lang")
+    opening = " ".join(r.text for r in docs.filter("lang = 'en'").orderBy("doc_id").limit(4).collect())[:1300]
+    opened = docs.withColumn("text", F.concat(F.lit(opening + "\n"), "text"))
+    fitted = language_id.fit(opened.filter(common.learnable(docs, 4, 2)))
+    held = docs.filter(~common.learnable(docs, 4, 2)).withColumn("found", language_id.identify(fitted))
+    assert held.agg(F.avg((F.col("found.lang") == F.col("lang")).cast("double"))).first()[0] > 0.95
+
+    marks = ["mark" + "".join(chr(97 + int(d)) for d in str(i)) + "x " for i in range(language_id.DOCS_PER_LANGUAGE)]
+    content = language_id.fit(spark.createDataFrame([(i, m * 300, "en") for i, m in enumerate(marks)], docs.schema))["en"]
+    assert all(m.encode() in content for m in marks)
+    assert len(content) <= language_id.DICTIONARY_BYTES
+    late = spark.createDataFrame([(1, "12 " * 2000 + "ciao amici", "it")], docs.schema)
+    assert language_id.fit(late) == {"it": b"ciao amici"}
+
+
+def test_shares_fill_the_total():
+    assert language_id.shares([], 10) == [] and language_id.shares([3, 4], 100) == [3, 4]
+    assert language_id.shares([2, 50, 50], 32) == [2, 14, 14]
+
+
 # ---- packing
 
 
