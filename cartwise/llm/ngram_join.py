@@ -223,20 +223,24 @@ class Bands:
         return np.concatenate(out) if out else np.empty(0, U)
 
 
-def sets(docs: DataFrame, n: int = WORDS) -> DataFrame:
+def sets(docs: DataFrame, n: int = WORDS, by_row: bool = False) -> DataFrame:
     """(doc_id, n_shingles, vertex) of every row; and rows of (token, n) for tokens that are common in a task.
 
+    With ``by_row`` also ``row``, a hash of the row's text.
+
     A token that ``COMMON`` of all documents hold is held by as many of some
     task's, so each task needs to tell only of those.
     """
-    schema = pa.schema([(name, pa.int64()) for name in ("doc_id", "n_shingles", "vertex", "token", "n")])
+    names = ["doc_id", "n_shingles", "vertex", "token", "n"] + ["row"] * by_row
+    schema = pa.schema([(name, pa.int64()) for name in names])
 
     def counted(held: list[np.ndarray]) -> pa.RecordBatch:
         token, n_docs = np.unique(np.concatenate(held), return_counts=True)
         often = n_docs >= max(FEWEST, COMMON * len(held))
         k = int(often.sum())
         return pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64())] * 3 + [
-            pa.array(token[often].view(np.int64)), pa.array(n_docs[often].astype(np.int64))], schema=schema)
+            pa.array(token[often].view(np.int64)), pa.array(n_docs[often].astype(np.int64))]
+            + [pa.nulls(k, pa.int64())] * by_row, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count, seen = [], 0, set()
@@ -245,7 +249,8 @@ def sets(docs: DataFrame, n: int = WORDS) -> DataFrame:
             vertices = [vertex(s) if len(s) else None for s in found]
             none = pa.nulls(len(found), pa.int64())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([len(s) for s in found], pa.int64()),
-                                              pa.array(vertices, pa.int64()), none, none], schema=schema)
+                                              pa.array(vertices, pa.int64()), none, none]
+                                             + ([batch["row"]] if by_row else []), schema=schema)
             for s, v in zip(found, vertices, strict=True):
                 if v is not None and v not in seen:
                     seen.add(v)
@@ -258,7 +263,10 @@ def sets(docs: DataFrame, n: int = WORDS) -> DataFrame:
         if held:
             yield counted(held)
 
-    return texts(docs).mapInArrow(run, "doc_id long, n_shingles long, vertex long, token long, n long")
+    given = texts(docs)
+    if by_row:
+        given = given.withColumn("row", F.xxhash64("text"))
+    return given.mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
 def common_tokens(found: DataFrame) -> np.ndarray:
@@ -399,11 +407,16 @@ def verified(pairs: DataFrame, members: DataFrame, n: int = WORDS, threshold: in
     return both.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
-    """(doc_id, n_shingles, component_id, vertex) of every row; component_id is its least doc_id."""
+def near_duplicates(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, by_row: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id, vertex) of every row; component_id is its least doc_id.
+
+    With ``by_row`` also ``row``, a hash of the row's text, and ``label``, which
+    tells components apart whose least doc_id is the same.
+    """
     docs = texts(docs)
-    found = written(sets(docs, n), "sets")
-    rows = found.filter("token IS NULL").select("doc_id", "n_shingles", "vertex")
+    found = written(sets(docs, n, by_row), "sets")
+    row, own = (["row"], ["label"]) if by_row else ([], [])
+    rows = found.filter("token IS NULL").select("doc_id", "n_shingles", "vertex", *row)
     common = docs.sparkSession.sparkContext.broadcast(common_tokens(found))
     vertices = rows.filter("vertex IS NOT NULL").groupBy("vertex").agg(F.min("doc_id").alias("doc_id"))
     edges = written(candidates(docs, common, n, threshold), "candidates")
@@ -424,11 +437,13 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD)
     named = vertices.join(label, F.col("vertex") == F.col("node"), "left").select(
         "vertex", "doc_id", F.coalesce("label", "vertex").alias("label"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of = written(named.join(least, "label").select(F.col("vertex").alias("_vertex"), "component_id"), "components")
+    of = written(named.join(least, "label").select(F.col("vertex").alias("_vertex"), "component_id", *own), "components")
     filled = rows.filter("vertex IS NOT NULL").join(of, F.col("vertex") == F.col("_vertex"))
     empty = rows.filter("vertex IS NULL").withColumn("component_id", F.col("doc_id"))
-    return filled.select("doc_id", "n_shingles", "component_id", "vertex").unionByName(
-        empty.select("doc_id", "n_shingles", "component_id", "vertex"))
+    if by_row:
+        empty = empty.withColumn("label", F.lit(None).cast("long"))
+    columns = ["doc_id", "n_shingles", "component_id", "vertex", *row, *own]
+    return filled.select(*columns).unionByName(empty.select(*columns))
 
 
 def _members(found: DataFrame, n: int) -> DataFrame:

@@ -31,14 +31,23 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that near-duplicate links connect the one with the smallest doc_id stays.
+    """Of documents that near-duplicate links connect one row with the smallest doc_id stays.
 
-    Documents without a word, and rows without a doc_id, stay.
+    It is rows that go, not ids: another text of the same doc_id stays if nothing
+    links it. Documents without a word, and rows without a doc_id, stay. Rows
+    repeating a (doc_id, text) are one document and go or stay together.
     """
-    key, = fresh(docs, "_near_copy_id")
-    found = ngram_join.near_duplicates(docs)
-    gone = written(found.filter("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct(), "near_copies")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col(key), "left_anti").select(*docs.columns)
+    key, row = fresh(docs, "_near_copy_id", "_near_copy_row")
+    found = written(ngram_join.near_duplicates(docs, by_row=True).filter("vertex IS NOT NULL AND doc_id IS NOT NULL")
+                    .select("doc_id", "row", "component_id", "label"), "near_rows")
+    least = found.filter("doc_id = component_id")
+    several = (least.groupBy("label").agg(F.min("row").alias("_first"), F.max("row").alias("_last"))
+               .filter("_first < _last").select(F.col("label").alias("_label"), "_first"))
+    later = least.join(several, F.col("label") == F.col("_label")).filter("row <> _first")
+    gone = written(found.filter("doc_id <> component_id").select("doc_id", "row").unionByName(later.select("doc_id", "row"))
+                   .select(F.col("doc_id").alias(key), F.col("row").alias(row)).distinct(), "near_copies")
+    same = (F.col("doc_id").cast("long") == F.col(key)) & (F.xxhash64(F.col("text").cast("string")) == F.col(row))
+    return docs.join(gone, same, "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

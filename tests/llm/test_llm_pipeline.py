@@ -46,6 +46,19 @@ def test_pipeline_equals_brute_force(spark, sf):
     assert {r.doc_id for r in got.select("doc_id").collect()} == {i for i, _ in left}
 
 
+def test_near_copies_go_by_row(spark, sf):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(5, a), (10, a + " end"), (10, b),                       # one near copy, one clean text of an id
+            (20, c), (20, c + " end"), (21, c + " stop"), (20, d), (22, d + " end"),    # two groups with one least id
+            (30, "  one two"), (30, "one two"), (40, ""), (40, None), (None, a)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, _near_copy_row string")
+    out = corpus_pipeline.drop_near_copies(spark, docs, sf)
+    assert out.columns == docs.columns
+    left = [(r.doc_id, r.text) for r in out.collect()]
+    assert sorted(t[0] for t in left if t[0] is not None) == [5, 10, 20, 20, 30, 40, 40]
+    assert {(5, a), (10, b), (20, d), (40, ""), (40, None), (None, a)} <= set(left)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql_twin(spark, sf, name):
     con = duckdb.connect()
