@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import (decontaminate, exact_dedup, language_id, line_dedup, ngram_join, packing, pii, secret_scan,
-                          token_counts, toxicity)
+from cartwise.llm import (collocations, decontaminate, exact_dedup, fingerprints, language_id, lexical_search, line_dedup,
+                          ngram_join, packing, pii, secret_scan, token_counts, toxicity)
 from cartwise.llm.common import documents, learnable, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,12 +104,36 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir)).drop("n_rows")
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of each document and of its edited text, and their likeness to it and to the next document."""
+    sketched = fingerprints.edited_fingerprints(documents(spark, sf_dir))
+    return sketched.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.fingerprint(F.col("sketch")).alias("fingerprint"),
+        fingerprints.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        fingerprints.distinct_shingles(F.col("sketch")).alias("n_shingles"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's best collocations of two to four words."""
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return lexical_search.search(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_line_dedup, op2_ngram_jaccard_join, op3_toxicity, op4_token_counts, op5_best_fit_packing, op6_secret_scan, op7_pii,
-    op8_benchmark_decontamination, op9_language_id, op10_exact_dedup)}
+    op8_benchmark_decontamination, op9_language_id, op10_exact_dedup, op11_document_fingerprints, op12_phrase_collocations, op13_lexical_search)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": r"""
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
@@ -145,4 +169,37 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)""",
 WITH d AS (SELECT doc_id, sha256({_LOWER}) AS h FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
        doc_id = max(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256 FROM d""",
+    "op12_phrase_collocations": rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM pieces),
+g AS (SELECT lang, ws[i:i + m - 1] AS ph, count(*) AS f
+      FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(ws) >= m)
+      GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM g WHERE len(ph) = 1 GROUP BY 1),
+c AS (SELECT lang, ph, f AS a FROM g WHERE len(ph) > 1 AND f >= 30),
+cut AS (SELECT lang, ph, a, unnest(range(1, len(ph))) AS k FROM c),
+scored AS (SELECT cut.lang, cut.ph, a, k, x.f AS l, y.f AS r,
+                  ((2000000::HUGEINT * a) // (x.f::HUGEINT + y.f))::BIGINT AS score
+           FROM cut JOIN g x ON x.lang = cut.lang AND x.ph = cut.ph[:k] JOIN g y ON y.lang = cut.lang AND y.ph = cut.ph[k + 1:]),
+low AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) = 1),
+inner_ AS (SELECT lang, f, unnest(list_transform(range(1, len(ph) - m + 2), lambda i: ph[i:i + m - 1])) AS ph
+           FROM (SELECT lang, ph, a AS f, unnest(range(2, len(ph))) AS m FROM c WHERE len(ph) > 2)),
+ext AS (SELECT lang, ph, max(f) AS f FROM inner_ GROUP BY 1, 2),
+kept AS (SELECT low.*, array_to_string(low.ph, ' ') AS phrase FROM low LEFT JOIN ext USING (lang, ph)
+         WHERE ext.f IS NULL OR 100::HUGEINT * ext.f < 80::HUGEINT * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000""",
+    "op13_lexical_search": rf"""
+WITH t AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS ws FROM documents),
+size AS (SELECT count(*) AS nd, sum(len(ws))::BIGINT AS nl FROM t WHERE len(ws) > 0),
+tf AS (SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, len(ws) AS n, unnest(ws) AS term FROM t) GROUP BY ALL),
+q AS (SELECT item_id, term, count(*) AS qtf
+      FROM (SELECT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark) GROUP BY ALL),
+weight AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+           FROM tf, size WHERE term IN (SELECT term FROM q) GROUP BY term, nd),
+s AS (SELECT item_id, row, doc_id, sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nd) // nl))))::BIGINT AS score
+      FROM q JOIN weight USING (term) JOIN tf USING (term), size GROUP BY ALL)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT *, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank FROM s WHERE score > 0)
+WHERE rank <= 10""",
 }
