@@ -1,13 +1,15 @@
 """Phrase collocations from count streams in word order, merge-joined.
 
-One pass over the texts writes the *stream*: each task counts, in bounded chunks,
+One pass over the texts makes the *stream*: each task counts, in bounded chunks,
 the runs of up to ``LONGEST`` words that start at every word (shorter only where
-their piece of text ends) and writes them in word order. The stream is then
-sorted as a whole, by ranges, and read once: in word order all runs that begin
+their piece of text ends), in word order, and deals them out by ranges of that
+order. A range is sorted and read once: in word order all runs that begin
 alike lie together, so the counts of every shorter phrase come from the same
 sequential pass, with one open sum a length and nothing hashed. A phrase that
 begins before its range or ends after it leaves a partial sum, and those are
-added up at the end; so a hot word or phrase is split like any other.
+added up at the end; so a hot word or phrase is split like any other. Where
+ranges begin is taken from the runs of a sample of the texts; it decides which task counts
+what, and nothing else.
 
 What is frequent is kept in two streams. The *prefix stream* has phrases beside
 their first parts, the *suffix stream* beside what follows those; each is
@@ -28,7 +30,9 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +57,12 @@ CHUNK_BYTES = 12 << 20
 #: Rows of the sorted stream that a task looks at at a time.
 STREAM_ROWS = 1 << 16
 
+#: One text of so many gives runs to choose ranges from, so many ranges there are for each shuffle partition,
+#: and so many runs the driver chooses each from.
+SAMPLED = 64
+RANGES = 2
+CHOICE = 8
+
 #: Separates words within a key; no word holds it, and no word's character sorts below it once escaped.
 SEP = "\t"
 ESCAPE = "\x0e"
@@ -108,16 +118,24 @@ def _counted(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray]]:
         yield pc.utf8_rtrim(pc.binary_join_element_wise(*columns, SEP), SEP), counts[start:start + STREAM_ROWS]
 
 
-def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _stream(batches: Iterator[pa.RecordBatch], starts: list[str]) -> Iterator[pa.RecordBatch]:
+    """Runs with their counts and their ranges; ``starts`` are the keys at which ranges after the first begin."""
+    opens = [k.encode() for k in starts]
     held: list[pa.RecordBatch] = []
 
+    def ranges(keys: pa.Array) -> np.ndarray:
+        """Which range each of some ascending keys lies in: only the starts between the first and the last are looked up."""
+        first, last = (bisect_right(opens, keys[i].as_buffer().to_pybytes()) for i in (0, len(keys) - 1))
+        cuts = [bisect_left(range(len(keys)), k, key=lambda i: keys[i].as_buffer().to_pybytes()) for k in opens[first:last]]
+        return np.repeat(np.arange(first, last + 1), np.diff([0, *cuts, len(keys)])).astype(np.int32)
+
     def counted() -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(held)
         for lang in pc.unique(table["lang"]).to_pylist():
             texts = table.filter(pc.equal(table["lang"], lang))["text"].combine_chunks()
             for runs, n in _counted(texts):
                 keys = pc.binary_join_element_wise(pa.scalar(lang), runs, SEP)
-                yield pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int64())], ["key", "n"])
+                yield pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int64()), pa.array(ranges(keys))], ["key", "n", "range"])
 
     size = 0
     for batch in batches:
@@ -131,9 +149,9 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sums(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Counts of all phrases that begin a run, from a sorted range of runs: one pass, one open sum a length.
+    """Counts of all phrases that begin a run, from sorted ranges of runs: one pass, one open sum a length.
 
-    Given away are sums of at least ``least`` and whatever touches the range's ends.
+    Given away are sums of at least ``least`` and whatever touches a range's ends.
     """
     open_: list[tuple[tuple, int] | None] = [None] * (LONGEST + 1)     # by length: (words of the phrase, sum so far)
     touches = [True] * (LONGEST + 1)                                   # the open phrase may have begun before the range
@@ -143,53 +161,67 @@ def _sums(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBa
                                            pa.array([len(f[0]) - 1 for f in found], pa.int32()),
                                            pa.array([f[1] for f in found], pa.int64())], ["key", "size", "f"])
 
+    def closed() -> list[tuple]:
+        last = [o for o in open_ if o]
+        open_[:], touches[:] = [None] * len(open_), [True] * len(touches)
+        return last
+
+    at_range = None
     for table in _rows_of(batches):
-        n = table["n"].to_numpy()
-        parts = pc.split_pattern(table["key"].combine_chunks(), SEP)
-        offsets, flat = parts.offsets.to_numpy(), parts.values
-        length = np.diff(offsets)
-        found: list[tuple] = []
-        changed = np.zeros(len(n), bool)
-        changed[0] = True
-        for k in range(LONGEST + 1):
-            at = np.flatnonzero(length > k)
-            if not len(at):
-                break
-            # a shorter run is another phrase at this length; a longer one continues if its word is the same
-            word = pa.array(np.where(length > k, offsets[:-1] + k, 0))
-            words = flat.take(word)
-            differs = np.ones(len(n), bool)
-            differs[1:] = pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False)
-            differs[1:] |= (length[1:] > k) != (length[:-1] > k)
-            changed |= differs
-            starts = at[changed[at]]
-            sums = np.add.reduceat(np.where(length > k, n, 0), starts)
-            keep = sums >= least
-            keep[[0, -1]] = True
-            for i in np.flatnonzero(keep):
-                s = starts[i]
-                phrase, total = tuple(flat.slice(offsets[s], k + 1).to_pylist()), int(sums[i])
-                if i == 0:
-                    if open_[k] and open_[k][0] == phrase:
-                        total += open_[k][1]
-                    elif open_[k]:
-                        if touches[k] or open_[k][1] >= least:
-                            found.append(open_[k])
-                        touches[k] = False
-                if i == len(sums) - 1:
-                    open_[k] = (phrase, total)
-                    touches[k] = touches[k] and i == 0
-                else:
-                    if total >= least or (i == 0 and touches[k]):
-                        found.append((phrase, total))
-                    touches[k] = False
-        if found:
-            yield rows(found)
-    last = [o for o in open_ if o]
+        column = table["range"].to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(column)) + 1), len(column)]
+        for start, stop in pairwise(edges):
+            if at_range is not None and column[start] != at_range:
+                yield rows(closed())
+            at_range = column[start]
+            found = _advance(table.slice(start, stop - start), open_, touches, least)
+            if found:
+                yield rows(found)
+    last = closed()
     if last:
         yield rows(last)
 
 
+def _advance(table: pa.Table, open_: list, touches: list[bool], least: int) -> list[tuple]:
+    """Take the next rows of a range into the open sums; the phrases that end here, as ``_sums`` gives them away."""
+    n = table["n"].to_numpy()
+    parts = pc.split_pattern(table["key"].combine_chunks(), SEP)
+    offsets, flat = parts.offsets.to_numpy(), parts.values
+    length = np.diff(offsets)
+    found: list[tuple] = []
+    changed = np.zeros(len(n), bool)
+    changed[0] = True
+    for k in range(LONGEST + 1):
+        at = np.flatnonzero(length > k)
+        if not len(at):
+            break
+        # a shorter run is another phrase at this length; a longer one continues if its word is the same
+        words = flat.take(pa.array(np.where(length > k, offsets[:-1] + k, 0)))
+        changed[1:] |= pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False)
+        changed[1:] |= (length[1:] > k) != (length[:-1] > k)
+        starts = at[changed[at]]
+        sums = np.add.reduceat(np.where(length > k, n, 0), starts)
+        keep = sums >= least
+        keep[[0, -1]] = True
+        for i in np.flatnonzero(keep):
+            phrase, total = tuple(flat.slice(offsets[starts[i]], k + 1).to_pylist()), int(sums[i])
+            if i == 0 and open_[k]:
+                if open_[k][0] == phrase:
+                    total += open_[k][1]
+                else:
+                    if touches[k] or open_[k][1] >= least:
+                        found.append(open_[k])
+                    touches[k] = False
+            if i == len(sums) - 1:
+                open_[k] = (phrase, total)
+                touches[k] = touches[k] and i == 0
+            else:
+                if total >= least or (i == 0 and touches[k]):
+                    found.append((phrase, total))
+                touches[k] = False
+    return found
+
+
 def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -201,14 +233,29 @@ def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def _range_starts(source: DataFrame) -> list[str]:
+    """Keys that open the ranges after the first, ascending: equally many distinct runs of the sampled texts lie between them."""
+    sample = source.filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0)
+    n = RANGES * int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = sample.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    thin = max(1, size // (5 * CHOICE * n))     # about a run for five bytes of text
+    keys = sample.mapInArrow(lambda batches: _stream(batches, []), "key string, n long, range int").select("key")
+    chosen = keys.filter(F.pmod(F.xxhash64("key"), F.lit(thin)) == 0).distinct()
+    found = sorted((r.key for r in chosen.collect()), key=str.encode)
+    step = max(1, -(-len(found) // n))
+    return found[step::step]
+
+
 def frequent(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(lang, words, f): phrases of 1 to 4 words that occur ``least`` times in a language; no words: all word occurrences."""
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     safe = F.replace(F.replace(lang, F.lit("\x0f"), F.lit("\x0f2")), F.lit(SEP), F.lit("\x0f1"))
     source = docs.select(safe.alias("lang"), F.col("text").cast("string").alias("text")).filter("length(text) > 0")
-    runs = written(source.mapInArrow(_stream, "key string, n long"), "phrase_runs")
-    ordered = runs.repartitionByRange("key").sortWithinPartitions("key")
-    sums = ordered.mapInArrow(lambda batches: _sums(batches, least), "key string, size int, f long").groupBy("key", "size").agg(F.sum("f").alias("f"))
+    starts = _range_starts(source)
+    runs = source.mapInArrow(lambda batches: _stream(batches, starts), "key string, n long, range int")
+    ordered = runs.repartition("range").sortWithinPartitions("key")
+    sums = ordered.mapInArrow(lambda batches: _sums(batches, least), "key string, size int, f long"
+                              ).groupBy("key", "size").agg(F.sum("f").alias("f"))
     words = F.split("key", SEP)
     raw = F.replace(F.replace(words[0], F.lit("\x0f1"), F.lit(SEP)), F.lit("\x0f2"), F.lit("\x0f"))
     return written(sums.filter((F.col("size") == 0) | (F.col("f") >= least)).select(

@@ -215,12 +215,13 @@ def test_phrase_counts_are_the_same_however_the_stream_is_cut(monkeypatch):
         for k in range(1, key.count("\t") + 2):
             want["\t".join(key.split("\t")[:k])] += n
     stream = sorted(runs.items(), key=lambda r: r[0].encode())
-    for rows, parts, least in ((1, 1, 1), (3, 4, 1), (50, 7, 30), (1000, 2, 30), (7, 40, 500)):
+    for rows, parts, tasks, least in ((1, 1, 1, 1), (3, 4, 2, 1), (50, 7, 3, 30), (1000, 2, 2, 30), (1000, 9, 1, 30), (7, 40, 6, 500)):
         monkeypatch.setattr(collocations, "STREAM_ROWS", rows)
         got: Counter = Counter()
-        for p in range(parts):
-            piece = stream[len(stream) * p // parts:len(stream) * (p + 1) // parts]
-            batches = [pa.RecordBatch.from_pydict({"key": [k for k, _ in piece[i:i + rows]], "n": [n for _, n in piece[i:i + rows]]})
+        for task in range(tasks):       # a task has some of the ranges, not always neighbours
+            piece = [(k, n, p) for p in range(task, parts, tasks) for k, n in
+                     stream[len(stream) * p // parts:len(stream) * (p + 1) // parts]]
+            batches = [pa.RecordBatch.from_pydict(dict(zip(("key", "n", "range"), map(list, zip(*piece[i:i + rows])))))
                        for i in range(0, len(piece), rows)]
             for batch in collocations._sums(iter(batches), least):
                 for r in batch.to_pylist():
@@ -230,6 +231,13 @@ def test_phrase_counts_are_the_same_however_the_stream_is_cut(monkeypatch):
         assert all(got[k] <= want[k] for k in got)
 
 
+def test_ranges_of_a_stream():
+    starts = ["en\tb", "en\tb\tc", "en\tz"]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", "en", "de"], "text": ["a b c. b", "zz z", "q"]})
+    got = {r["key"]: r["range"] for b in collocations._stream(iter([batch]), starts) for r in b.to_pylist()}
+    assert got == {k: sum(s <= k for s in starts) for k in got} and set(got.values()) == {0, 1, 2, 3}
+
+
 def test_collocations_of_nothing(spark, empty):
     assert collocations.collocations(empty).count() == 0
     assert collocations.collocations(spark.createDataFrame([(None, "en"), ("", None), (" \t\n.", "en")], "text string, lang string")).count() == 0
