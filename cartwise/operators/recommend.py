@@ -13,6 +13,7 @@ from cartwise.functions.calendar import add_months, last_months, month_prefilter
 from cartwise.functions.holding import hold
 from cartwise.functions.indexing import dense_index
 from cartwise.sources import sinks
+from cartwise.sources.snapshots import Snapshots
 from cartwise.sources.tables import StoreTables
 
 RANKING_MONTHS = 6
@@ -218,15 +219,26 @@ class Recommender:
     items: DataFrame
 
     def save(self, path: str) -> None:
-        """Replace what is saved at ``path``: the model and its two indexes."""
-        sinks.save_model(self.model, f"{path}/model")
-        sinks.replace_collection(self.users, f"{path}/users")
-        sinks.replace_collection(self.items, f"{path}/items")
+        """Put this model and its two indexes in place of what is saved at ``path``.
+
+        The three are one snapshot, current only when all are written: factors are
+        never read with the indexes of another training.
+        """
+        versions = Snapshots(self.users.sparkSession, path)
+        place = versions.begin()
+        self.model.write().save(f"{place}/model")
+        self.users.write.parquet(f"{place}/users")
+        self.items.write.parquet(f"{place}/items")
+        versions.finish(place)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Recommender:
-        return cls(ALSModel.load(f"{path}/model"), sinks.read_collection(spark, f"{path}/users"),
-                   sinks.read_collection(spark, f"{path}/items"))
+        """The newest whole snapshot of a saved model."""
+        place = Snapshots(spark, path).current()
+        if place is None:
+            raise FileNotFoundError(f"no whole model in {path}")
+        return cls(ALSModel.load(f"{place}/model"), spark.read.parquet(f"{place}/users"),
+                   spark.read.parquet(f"{place}/items"))
 
 
 def train_collaborative_filtering(t: StoreTables, rank: int = ALS_RANK, max_iter: int = ALS_ITERS,
@@ -289,8 +301,9 @@ def recommend_products(recommender: Recommender, t: StoreTables, users: DataFram
 
     The list holds at most n entries, ordered by predicted rating; ``json`` is the
     row as the reference's JSON response. With ``path`` the (customer_id, items)
-    rows are also appended to that collection, with ``json_path`` the responses
-    are written there as text, one a line.
+    rows are also appended to that collection, in place of what an earlier request for the
+    same customers appended; with ``json_path`` the responses are written there
+    as text, one a line.
     """
     flat = recommend_products_flat(recommender, t, users, n, min_rating)
     doc = (flat.groupBy("customer_id")
@@ -302,7 +315,7 @@ def recommend_products(recommender: Recommender, t: StoreTables, users: DataFram
     if path or json_path:
         out = hold(out)
     if path:
-        sinks.append_collection(out.select("customer_id", "items"), path)
+        sinks.append_collection(out.select("customer_id", "items"), path, request=sinks.request_id(users))
     if json_path:
         sinks.replace_collection(out.select(F.col("json").alias("value")), json_path, "text")
     return out

@@ -3,7 +3,8 @@
 The reference runs one job per request and each job replaces one document
 collection (two for the item profiles); three jobs read the item-profile map
 written by another, and the recommender reads the saved ALS model. This module
-keeps that data flow with Spark writers and readers under one output folder:
+keeps that data flow with Spark writers and readers under one output folder,
+where every collection is a folder of snapshots (``sources/snapshots.py``):
 
     python -m cartwise.plans.jobs --tables /data/store --out /data/collections \
         --as-of 2001-07-15 [job ...]
@@ -20,7 +21,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwise.functions.holding import release
+from cartwise.functions import holding
 from cartwise.operators import customers as cu
 from cartwise.operators import finances as fi
 from cartwise.operators import items as it
@@ -108,7 +109,7 @@ JOBS: dict[str, Callable[[JobContext], None]] = {
 def run(spark: SparkSession, tables_dir: str, out_dir: str, as_of: dt.date,
         names: list[str] | None = None, users: DataFrame | None = None,
         layout: str = "testdata", colocate: tuple[str, int] | None = None,
-        jdbc: dict[str, str] | None = None, size: bool = False) -> list[str]:
+        jdbc: dict[str, str] | None = None, size: bool = False, source_version: str | None = None) -> list[str]:
     """Run the named jobs (all by default) in dependency order; return their names.
 
     ``users`` is the request that ``recommend_products`` answers; without one
@@ -117,32 +118,39 @@ def run(spark: SparkSession, tables_dir: str, out_dir: str, as_of: dt.date,
     ``layout`` "store" reads the store's own tables from ``tables_dir``;
     "testdata" adapts the benchmark's star schema. ``colocate`` = (folder,
     buckets) reads orders and order lines from a bucketed copy in ``folder``,
-    writing it first unless it is there and complete (see
-    ``sources/layout.py``). ``jdbc`` (url and connection properties) reads the
+    writing it first unless one of this very source is there and complete (see
+    ``sources/layout.py``); ``source_version`` names the state of a source that has no
+    files to tell it from, a database. ``jdbc`` (url and connection properties) reads the
     store's tables from its database instead. ``size`` sets shuffle partitions
     and scan splits by the size of this run's input.
     """
     unknown = set(names or []) - set(JOBS)
     if unknown:
         raise ValueError(f"unknown jobs: {sorted(unknown)}")
+    sources: list[str] = []
     if jdbc:
+        if colocate and not source_version:
+            raise ValueError("a co-located copy of a database needs a source_version")
         properties = dict(jdbc)
         tables = load_store_jdbc(spark, properties.pop("url"), properties)
     else:
+        sources = [f"{tables_dir.rstrip('/')}/{n}" for n in (
+            ("order_", "ordereditem") if layout == "store" else ("orders.parquet", "lineitem.parquet"))]
         tables = load_store_parquet(spark, tables_dir) if layout == "store" else load_tables(spark, tables_dir)
         if size:
             size_for_input(spark, [f"{tables_dir.rstrip('/')}/{n}" for n in (
                 STORE_TABLES if layout == "store" else [f"{x}.parquet" for x in ("lineitem", "orders", "part", "customer")])])
     if colocate:
         folder, buckets = colocate
-        if not colocated_layout.is_complete(spark, folder, buckets):
-            colocated_layout.write_colocated(tables, folder, buckets)
-        tables = colocated_layout.load_colocated(spark, tables, folder, buckets)
+        version = source_version or colocated_layout.source_version(spark, sources)
+        if not colocated_layout.is_complete(spark, folder, buckets, version):
+            colocated_layout.write_colocated(tables, folder, buckets, version, None if source_version else sources)
+        tables = colocated_layout.load_colocated(spark, tables, folder, buckets, version)
     ctx = JobContext(spark, tables, out_dir, as_of, users)
     chosen = [n for n in JOBS if (n in names if names else n != "recommend_products" or users is not None)]
     for name in chosen:
-        JOBS[name](ctx)
-        release()    # what the job's operators hold; the caller's own cached frames stay
+        with holding.scope():    # what the job's operators hold goes, also after an error; other frames stay
+            JOBS[name](ctx)
     return chosen
 
 
@@ -159,6 +167,7 @@ def main(argv: list[str] | None = None) -> None:
                     help="store: the store's own tables; testdata: the benchmark star schema")
     ap.add_argument("--user", type=int, action="append", help="recommend for these customers only")
     ap.add_argument("--colocate-into", help="folder for orders and lines bucketed by order id")
+    ap.add_argument("--source-version", help="state of the source that a co-located copy is made of; needed with --jdbc")
     ap.add_argument("--buckets", type=int, default=1024, help="bucket count of the co-located copy")
     ap.add_argument("jobs", nargs="*", help=f"jobs to run (default all): {', '.join(JOBS)}")
     a = ap.parse_args(argv)
@@ -173,7 +182,7 @@ def main(argv: list[str] | None = None) -> None:
     colocate = (a.colocate_into, a.buckets) if a.colocate_into else None
     jdbc = {"url": a.jdbc, **dict(p.split("=", 1) for p in a.jdbc_property)} if a.jdbc else None
     done = run(spark, a.tables, a.out, dt.date.fromisoformat(a.as_of), a.jobs or None, users, a.layout,
-               colocate, jdbc, size=True)
+               colocate, jdbc, size=True, source_version=a.source_version)
     print(" ".join(done))
 
 

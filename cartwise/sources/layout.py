@@ -7,9 +7,11 @@ sort-merge join read matching buckets side by side with no exchange on either
 input. The layout is optional: ``load_colocated`` returns the same
 ``StoreTables`` with those two tables swapped for their bucketed copies.
 
-A copy lives in a folder of its own, named by version and bucket count, and its
-session tables are named after that folder, so several copies can be used side
-by side. The bucket metadata is registered anew (``CREATE TABLE ... CLUSTERED BY
+A copy lives in a folder of its own, named by its source's version and its bucket
+count, and its session tables are named after that folder, so copies of several
+sources, and of several states of one, can be used side by side. ``source_version``
+derives the version from the source's files; a copy whose source changed while it was
+written is not marked complete. The bucket metadata is registered anew (``CREATE TABLE ... CLUSTERED BY
 ... LOCATION``), so a later application needs no metastore. A marker written
 last tells a whole copy from a half-written one. The lines copy is also
 partitioned by its order's month, so windows on the order date prune line files
@@ -27,7 +29,22 @@ from pyspark.sql import functions as F
 from cartwise.sources.tables import StoreTables
 
 
-def copy_folder(folder: str, buckets: int, version: str = "1") -> str:
+def source_version(spark: SparkSession, paths: list[str]) -> str:
+    """A fingerprint of the files below ``paths``: their names, lengths and modification times.
+
+    Spark lists the files, in parallel where there are many, and never opens them;
+    what comes to the driver is one row. Another folder, an added, removed or
+    rewritten file gives another version.
+    """
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([p.rstrip("/") for p in paths])
+             .select("path", "length", "modificationTime"))
+    each = F.xxhash64("path", "length", F.unix_micros("modificationTime"))
+    n, total, low, high = files.select(each.alias("h")).agg(
+        F.count("*"), F.sum(F.col("h").cast("decimal(38,0)")), F.min("h"), F.max("h")).first()
+    return hashlib.sha256(f"{n} {total} {low} {high}".encode()).hexdigest()[:24]
+
+
+def copy_folder(folder: str, buckets: int, version: str) -> str:
     """Where the copy of a source version with that many buckets is."""
     return f"{folder.rstrip('/')}/{version}-{buckets}"
 
@@ -42,7 +59,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found))
 
 
-def is_complete(spark: SparkSession, folder: str, buckets: int, version: str = "1") -> bool:
+def is_complete(spark: SparkSession, folder: str, buckets: int, version: str) -> bool:
     """Whether the copy was written to its end."""
     return _exists(spark, f"{copy_folder(folder, buckets, version)}/complete/_SUCCESS")
 
@@ -55,13 +72,16 @@ def _save(df: DataFrame, key: str, buckets: int, path: str, name: str, by: list[
     writer.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
 
 
-def write_colocated(t: StoreTables, folder: str, buckets: int, version: str = "1") -> None:
+def write_colocated(t: StoreTables, folder: str, buckets: int, version: str,
+                    sources: list[str] | None = None) -> None:
     """Write orders and order lines bucketed and sorted by the order id.
 
     The lines copy also carries its order's month and is partitioned by it, so
     date-windowed jobs prune line files at the scan (``month_prefilter``).
     Lines without an order keep a null month and stay in the copy. At most
-    ``buckets`` files are written for the orders and for each month's lines.
+    ``buckets`` files are written for the orders and for each month's lines. With
+    ``sources`` (the paths that ``version`` was derived from) the copy is marked
+    complete only if they still have that version when it is written.
     """
     spark, place = t.order.sparkSession, copy_folder(folder, buckets, version)
     orders, lines = _names(place)
@@ -69,11 +89,13 @@ def write_colocated(t: StoreTables, folder: str, buckets: int, version: str = "1
     months = t.order.select(F.col("id").alias("order_id"), F.trunc("date", "month").alias("order_month"))
     _save(t.ordereditem.join(months, "order_id", "left"), "order_id", buckets, f"{place}/ordereditem", lines,
           ["order_month"])
+    if sources and source_version(spark, sources) != version:
+        raise RuntimeError(f"the source changed while its copy in {place} was written")
     spark.range(1).select(F.lit(buckets).alias("buckets"), F.lit(version).alias("version")) \
         .write.mode("overwrite").parquet(f"{place}/complete")
 
 
-def load_colocated(spark: SparkSession, t: StoreTables, folder: str, buckets: int, version: str = "1") -> StoreTables:
+def load_colocated(spark: SparkSession, t: StoreTables, folder: str, buckets: int, version: str) -> StoreTables:
     """``t`` with ``order`` and ``ordereditem`` read from the bucketed copy, which must be complete."""
     if not is_complete(spark, folder, buckets, version):
         raise FileNotFoundError(f"no complete copy in {copy_folder(folder, buckets, version)}")

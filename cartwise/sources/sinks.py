@@ -1,32 +1,74 @@
 """Sinks: the reference replaces, appends to or clears document collections.
 
-Here a collection is a table folder written by Spark's own writers; every
-write is a distributed job, nothing passes through the driver.
+Here a collection is a folder of snapshots (``sources/snapshots.py``), each
+written by Spark's own writers as a distributed job; nothing passes through the
+driver. Replacing or clearing makes a new snapshot, so readers have the old
+collection until the new one is whole, also if the job fails. Appending writes a
+partition of the current snapshot: one for each request, overwritten when the same
+request is made again, so that a repeated job leaves one copy.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cartwise.sources.snapshots import Snapshots
+
+#: Partition column of what was appended, by request; readers don't see it.
+REQUEST = "_request"
 
-def replace_collection(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Delete-then-write in one step (``mode("overwrite")``)."""
-    df.write.mode("overwrite").format(fmt).save(path)
 
+def _snapshot(df: DataFrame, path: str, fmt: str) -> str:
+    """Write ``df`` as a new snapshot and make it current; returns its folder."""
+    versions = Snapshots(df.sparkSession, path)
+    place = versions.begin()
+    df.write.format(fmt).save(f"{place}/data")
+    versions.finish(place)
+    return place
 
-def append_collection(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    df.write.mode("append").format(fmt).save(path)
+
+def replace_collection(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Put ``df`` in place of the collection, which stays readable until ``df`` is written whole."""
+    _snapshot(df, path, fmt)
 
 
 def clear_collection(spark: SparkSession, schema, path: str, fmt: str = "parquet") -> None:
     """Leave an empty collection with the given schema."""
-    spark.createDataFrame([], schema).write.mode("overwrite").format(fmt).save(path)
+    _snapshot(spark.createDataFrame([], schema), path, fmt)
 
 
-def read_collection(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def append_collection(df: DataFrame, path: str, fmt: str = "parquet", request: str | None = None) -> None:
+    """Add ``df`` to the collection; what the same ``request`` added to it before is replaced.
+
+    Spark stages the rows and moves them into the request's partition when all
+    tasks are done. Without a request the rows are one of their own.
+    """
+    versions = Snapshots(df.sparkSession, path)
+    place = versions.current()
+    if place is None:
+        place = _snapshot(df.limit(0), path, fmt)
+    (df.withColumn(REQUEST, F.lit(request or uuid.uuid4().hex)).write.format(fmt).mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(REQUEST).save(f"{place}/appended"))
+
 
+def request_id(users: DataFrame) -> str:
+    """A name for the request of these customers, the same in any order and with repeats."""
+    ids = users.select(F.xxhash64("customer_id").alias("h")).distinct()
+    n, total = ids.agg(F.count("*"), F.sum(F.col("h").cast("decimal(38,0)"))).first()
+    return f"{n}-{total or 0}"
 
-def save_model(model, path: str) -> None:
-    """Replace a saved pyspark.ml model (the old folder is overwritten)."""
-    model.write().overwrite().save(path)
+
+def read_collection(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The current state of a collection: its newest whole snapshot and what was appended to it."""
+    versions = Snapshots(spark, path)
+    place = versions.current()
+    if place is None:
+        raise FileNotFoundError(f"no collection in {path}")
+    base = spark.read.format(fmt).load(f"{place}/data")
+    if not versions.exists(f"{place}/appended"):
+        return base
+    added = spark.read.format(fmt).schema(base.schema).load(f"{place}/appended")
+    return base.unionByName(added.select(*base.columns))

@@ -16,7 +16,7 @@ from cartwise.operators import recommend as rc
 from cartwise.operators import stock as st
 from cartwise.sources import sinks
 from cartwise.sources.tables import load_tables
-from conftest import AS_OF, D, item_row, make_tables
+from store_fixtures import AS_OF, D, item_row, make_tables
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(f"{SF}/orders.parquet"), reason="no test data")

@@ -10,7 +10,7 @@ from cartwise.operators import finances as fi
 from cartwise.operators import forecast as fc
 from cartwise.operators import recommend as rc
 from cartwise.operators import stock as st
-from conftest import AS_OF, D, item_row, make_tables
+from store_fixtures import AS_OF, D, item_row, make_tables
 
 
 def test_best_reviewers_ties_by_id(spark):

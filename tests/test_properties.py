@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from cartwise.functions.indexing import dense_index
 from cartwise.operators import recommend as rc
-from conftest import item_row, make_tables
+from store_fixtures import item_row, make_tables
 
 SETTINGS = dict(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 

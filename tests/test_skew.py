@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cartwise.operators import stock as st
-from conftest import AS_OF, D, item_row, make_tables
+from store_fixtures import AS_OF, D, item_row, make_tables
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
