@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cartwise.functions.calendar import add_months, last_months, month_prefilter
 from cartwise.functions.holding import hold
 from cartwise.functions.indexing import dense_index
+from cartwise.functions.pruning import lines_in_key_range
 from cartwise.sources import sinks
 from cartwise.sources.snapshots import Snapshots
 from cartwise.sources.tables import StoreTables
@@ -140,11 +141,12 @@ def most_sold(t: StoreTables, as_of, months: int = RANKING_MONTHS, n: int = TOP_
     Aggregates on the item id, checks the catalog on those sums, keeps the top
     n (ties by item id), then attaches the item attributes to those n rows only.
     """
-    orders = t.order.filter(last_months(F.col("date"), as_of, months)).select(F.col("id").alias("_oid"))
+    orders = t.order.filter(last_months(F.col("date"), as_of, months))
     known = t.item.select(F.col("id").alias("item_id"))
     d = as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(str(as_of))
-    lines = month_prefilter(t.ordereditem, add_months(d, -months), d)   # prunes on the co-located layout
-    qty = (lines.join(orders, F.col("order_id") == F.col("_oid"))
+    lines = (month_prefilter(t.ordereditem, add_months(d, -months), d) if t.colocated
+             else lines_in_key_range(t.ordereditem, orders))
+    qty = (lines.join(orders.select(F.col("id").alias("_oid")), F.col("order_id") == F.col("_oid"))
            .groupBy("item_id").agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity"))
            .join(known, "item_id", "left_semi"))
     top = qty.orderBy(F.col("quantity").desc(), F.col("item_id").asc()).limit(n)

@@ -7,10 +7,11 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.functions.calendar import add_months, first_of_month, month_prefilter, since_months
+from cartwise.functions.calendar import add_months, first_of_month, month_prefilter, since_months, whole_months_before
 from cartwise.functions.holding import hold
 from cartwise.functions.indexing import dense_index, rank_on
 from cartwise.functions.people import known_states, state_code
+from cartwise.functions.pruning import lines_in_key_range
 from cartwise.operators import forecast as fc
 from cartwise.operators.documents import nest_by_month, one_row_document, sorted_list
 from cartwise.sources.tables import StoreTables
@@ -26,7 +27,8 @@ def units_by_month_state_item(t: StoreTables, as_of, months: int = OVERVIEW_MONT
     """(year, month, state, abbreviation, item_id, quantity): units of catalog
     items bought by known-state customers in orders newer than as_of - months.
 
-    Plan: the date filter reaches the orders scan, and orders are joined to
+    Plan: the date filter reaches the orders scan, the range of the surviving ids
+    the line scan, and orders are joined to
     their known-state buyers before they meet the line table, so only the
     surviving orders reach the large join on the order id. With the co-located
     layout (``sources/layout.py``) that join needs no exchange, so lines meet
@@ -48,7 +50,7 @@ def units_by_month_state_item(t: StoreTables, as_of, months: int = OVERVIEW_MONT
     else:
         orders = (recent.join(cust, F.col("customer_id") == F.col("_cid"))
                   .select(F.col("id").alias("_oid"), "date", "state", "abbreviation"))
-        lines = t.ordereditem.join(orders, F.col("order_id") == F.col("_oid"))
+        lines = lines_in_key_range(t.ordereditem, recent).join(orders, F.col("order_id") == F.col("_oid"))
     sums = (lines.groupBy(*_ym(), "state", "abbreviation", "item_id")
             .agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity")))
     return sums.join(t.item.select(F.col("id").alias("item_id")), "item_id", "left_semi")
@@ -114,12 +116,18 @@ def stock_overview(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS,
 # ---------------------------------------------------------------------------
 
 def _lines_in_history(t: StoreTables, as_of, history: int) -> DataFrame:
-    """Order lines with their order's date and buyer; on the co-located layout
-    only the line partitions of the history's months are read."""
+    """Order lines of the history's whole months with their order's date and buyer.
+
+    The line scan reads only what the months can hold: on the co-located layout
+    their partitions, else the row groups with their orders' ids.
+    """
     first = first_of_month(as_of)
-    lines = month_prefilter(t.ordereditem, add_months(first, -history), add_months(first, -1))
-    orders = t.order.select(F.col("id").alias("_oid"), "customer_id", "date")
-    return lines.join(orders, F.col("order_id") == F.col("_oid"))
+    orders = t.order.filter(whole_months_before(F.col("date"), as_of, history))
+    if t.colocated:
+        lines = month_prefilter(t.ordereditem, add_months(first, -history), add_months(first, -1))
+    else:
+        lines = lines_in_key_range(t.ordereditem, orders)
+    return lines.join(orders.select(F.col("id").alias("_oid"), "customer_id", "date"), F.col("order_id") == F.col("_oid"))
 
 
 def _units_per_item_month(t: StoreTables, as_of, history: int) -> DataFrame:
