@@ -2,13 +2,14 @@
 
 Vectors are sparse: a row holds its own slots of a vocabulary (brands, item
 profiles or categories), however large that is. They are built with native
-expressions (no Python UDF). Centroids are the only values that come to the
-driver: k x vocabulary numbers.
+expressions (no Python UDF). Centroids are read as rows from the model's own
+written data.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 from cartwise.functions.holding import hold
 from cartwise.functions.indexing import dense_index
 from cartwise.functions.people import age_label
+from cartwise.functions.scratch import scratch_path
 
 SEED = 42
 
@@ -37,17 +39,22 @@ def vocab_size(vocab: DataFrame) -> int:
     return 0 if top is None else int(top) + 1
 
 
-_VECTOR = T.StructType([T.StructField("v", VectorUDT())])
+def with_sparse_vectors(rows: DataFrame, slots: str, size: int, name: str = "features") -> DataFrame:
+    """``rows`` with the ascending (idx, _value) of ``slots`` as a sparse ``pyspark.ml`` vector, ``name``.
 
-
-def sparse_vector(indices: F.Column, values: F.Column, size: int) -> F.Column:
-    """A sparse ``pyspark.ml`` vector from ascending slots and their values.
-
-    There is no SQL function for one; its serialized fields, written as JSON and
-    read with the vector's own type, make it without leaving the JVM.
+    There is no SQL function for one. A vector is stored as four plain fields,
+    so these are written to the shared checkpoint folder and read back with the
+    vector's type: no text, no Python, and a lost executor costs a read.
     """
-    fields = F.struct(F.lit(0).alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.alias("values"))
-    return F.from_json(F.to_json(F.struct(fields.alias("v"))), _VECTOR)["v"]
+    spark = rows.sparkSession
+    fields = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+                      F.transform(slots, lambda s: s["idx"]).alias("indices"),
+                      F.transform(slots, lambda s: s["_value"]).alias("values"))
+    kept = [c for c in rows.columns if c != slots]
+    path = scratch_path(spark, "vectors")
+    rows.select(*kept, fields.alias(name)).write.parquet(path)
+    schema = T.StructType([rows.schema[c] for c in kept] + [T.StructField(name, VectorUDT())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def _slots(rows: DataFrame, by: list[str], value: F.Column) -> DataFrame:
@@ -66,9 +73,7 @@ def share_vectors(shares: DataFrame, vocab: DataFrame, key: str, id_col: str,
     n = n if n is not None else vocab_size(vocab)
     per = _slots(shares.join(vocab, key), [id_col, "age_code"], F.col("share"))
     age = F.struct(F.lit(n).alias("idx"), F.col("age_code").cast("double").alias("_value"))
-    slots = F.concat("_slots", F.array(age))
-    features = sparse_vector(F.transform(slots, lambda s: s["idx"]), F.transform(slots, lambda s: s["_value"]), n + 1)
-    return per.select(id_col, "age_code", features.alias("features"))
+    return with_sparse_vectors(per.withColumn("_slots", F.concat("_slots", F.array(age))), "_slots", n + 1)
 
 
 def multi_hot_vectors(pairs: DataFrame, vocab: DataFrame, key: str, id_col: str,
@@ -76,18 +81,16 @@ def multi_hot_vectors(pairs: DataFrame, vocab: DataFrame, key: str, id_col: str,
     """(id_col, features): 1.0 in every slot of a key the id has, else 0.0."""
     n = n if n is not None else vocab_size(vocab)
     per = _slots(pairs.join(vocab, key), [id_col], F.lit(1.0))
-    features = sparse_vector(F.transform("_slots", lambda s: s["idx"]), F.transform("_slots", lambda s: s["_value"]), n)
-    return per.select(id_col, features.alias("features"))
+    return with_sparse_vectors(per, "_slots", n)
 
 
 def fit_kmeans(feats: DataFrame, k: int, max_iter: int, seed: int = SEED):
     """Seeded KMeans (k-means||). Returns (model, (id..., prediction) frame);
     without any row there is no model, and the frame is empty.
 
-    The input is held for the iterations; its partitioning follows the
-    upstream aggregation, so every iteration is a distributed pass.
+    The input is a written table, which KMeans keeps in memory for its iterations; every
+    iteration is a distributed pass.
     """
-    feats = hold(feats)
     if feats.isEmpty():
         return None, feats.drop("features").withColumn("prediction", F.lit(0))
     model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features",
@@ -97,10 +100,14 @@ def fit_kmeans(feats: DataFrame, k: int, max_iter: int, seed: int = SEED):
 
 
 def centroids_long(model, spark: SparkSession) -> DataFrame:
-    """(prediction, pos, weight): one row per centroid coordinate (k x dims)."""
-    rows = [(ci, pos, float(w)) for ci, c in enumerate(model.clusterCenters() if model else [])
-            for pos, w in enumerate(c)]
-    return spark.createDataFrame(rows, "prediction int, pos int, weight double")
+    """(prediction, pos, weight): one row per centroid coordinate (k x dims), from the model's written data."""
+    if model is None:
+        return spark.createDataFrame([], "prediction int, pos int, weight double")
+    path = scratch_path(spark, "kmeans")
+    model.write().save(path)
+    centers = spark.read.parquet(f"{path}/data")
+    return centers.select(F.col("clusterIdx").alias("prediction"),
+                          F.posexplode(vector_to_array("clusterCenter")).alias("pos", "weight"))
 
 
 def top_slots(dims: DataFrame, n: int) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwise.functions.people import BRAND_AGE_BUCKETS
+from cartwise.operators import clusters as cl
 from cartwise.operators import customers as cu
 from cartwise.operators import finances as fi
 from cartwise.operators import items as it
@@ -88,7 +89,7 @@ def test_recommend_products_limits_and_threshold(spark, tables, tmp_path):
     assert {r.customer_id: [x.id for x in r["items"]] for r in doc} == ranked
     assert all(json.loads(r.json) == {"customer_id": r.customer_id, "items": [
         {k: v for k, v in x.asDict().items() if v is not None} for x in r["items"]]} for r in doc)
-    assert sorted(r.value for r in spark.read.text(str(tmp_path / "json")).collect()) == sorted(r.json for r in doc)
+    assert sorted(r.value for r in sinks.read_collection(spark, str(tmp_path / "json"), "text").collect()) == sorted(r.json for r in doc)
 
 
 def test_recommend_with_ids_beyond_32_bits(spark):
@@ -131,7 +132,6 @@ def test_keyed_fit_leaves_out_null_labels(spark):
 def test_sparse_vectors_equal_dense_ones(spark):
     from pyspark.ml.linalg import SparseVector
 
-    from cartwise.operators import clusters as cl
     shares = spark.createDataFrame([(1, 2, "b", 0.25), (1, 2, "d", 0.75), (2, 99, "a", 1.0)],
                                    "customer_id bigint, age_code int, brand string, share double")
     vocab = cl.vocabulary(spark.createDataFrame([(x,) for x in "abcd"], "brand string"), "brand")
@@ -177,12 +177,14 @@ def test_documents_nest_by_month(tables, profiles):
 def test_training_clears_and_recommending_appends(spark, tables, tmp_path):
     recs = str(tmp_path / "recs")
     model = rc.train_collaborative_filtering(tables, max_iter=2, recommendations_path=recs)
-    assert spark.read.parquet(recs).count() == 0
-    users = tables.review.select("customer_id").distinct().limit(5)
-    rc.recommend_products(model, tables, users, path=recs)
-    rc.recommend_products(model, tables, users, path=recs)
-    back = spark.read.parquet(recs)
-    assert back.count() == 10 and back.columns == ["customer_id", "items"]
+    assert sinks.read_collection(spark, recs).count() == 0
+    users = tables.review.select("customer_id").distinct().orderBy("customer_id")
+    rc.recommend_products(model, tables, users.limit(5), path=recs)
+    rc.recommend_products(model, tables, users.limit(5), path=recs)      # the same request: in place of the first
+    assert sinks.read_collection(spark, recs).count() == 5
+    rc.recommend_products(model, tables, users.limit(4), path=recs)
+    back = sinks.read_collection(spark, recs)
+    assert back.count() == 9 and back.columns == ["customer_id", "items"]
 
 
 def test_keyed_forecast_does_not_depend_on_partitioning(spark, tables):
@@ -199,3 +201,23 @@ def test_keyed_forecast_does_not_depend_on_partitioning(spark, tables):
     assert one.keys() == many.keys()
     # same candidate on both sides; the solver's sums may differ in the last bits
     assert all(abs(one[k] - many[k]) <= 0.02 + 1e-6 * abs(one[k]) for k in one)
+
+
+def test_sparse_vectors_are_written_and_read_back(spark):
+    from pyspark.ml.linalg import Vectors
+    rows = spark.createDataFrame([(1, [(0, 0.25), (3, 0.75)]), (2, []), (3, [(4, 1.0)])], "id int, s array<struct<idx:int,_value:double>>")
+    got = cl.with_sparse_vectors(rows, "s", 5)
+    assert got.columns == ["id", "features"]
+    assert {r.id: r.features for r in got.collect()} == {
+        1: Vectors.sparse(5, [0, 3], [0.25, 0.75]), 2: Vectors.sparse(5, [], []), 3: Vectors.sparse(5, [4], [1.0])}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "json" not in plan.lower() and "Python" not in plan and "FileScan parquet" in plan
+
+
+def test_centroids_are_read_from_the_written_model(spark):
+    rows = spark.createDataFrame([(i, [(i % 3, 1.0)]) for i in range(30)], "id int, s array<struct<idx:int,_value:double>>")
+    model, assigned = cl.fit_kmeans(cl.with_sparse_vectors(rows, "s", 4), 3, 5)
+    got = {(r.prediction, r.pos): r.weight for r in cl.centroids_long(model, spark).collect()}
+    assert got == {(c, i): float(w) for c, center in enumerate(model.clusterCenters()) for i, w in enumerate(center)}
+    assert len(got) == 12 and assigned.count() == 30
+    assert cl.centroids_long(None, spark).count() == 0
