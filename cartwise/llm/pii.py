@@ -6,8 +6,11 @@
    before it (a gazetteer), its grouping, the characters around it, and known
    endings, issuers and prefixes (a second gazetteer).
 3. Expectation-maximisation over the counts of vote patterns (at most
-   3**labelers rows a kind leave Spark) estimates how reliable each labeler is
-   and how likely each pattern is personal.
+   3**labelers rows a shape leave Spark) estimates how reliable each labeler is
+   and how likely each pattern is personal. Candidates of one shape, whether they pass
+   its check or not, are one class with one share of personal ones, so the check's vote
+   tells them apart. How far a check digit or a range of numbers is to be trusted
+   is arithmetic and not estimated.
 4. These likelihoods are the soft labels that a naive Bayes span classifier is
    trained on, from counts of span features over all documents. Candidates that
    it takes for personal, and that touch no base span, are added as ``<kind>_like``.
@@ -68,6 +71,11 @@ AROUND = 32
 #: Rounds of expectation-maximisation; likelihood from which a candidate is personal.
 ROUNDS, LIKELY = 50, 0.5
 
+#: What a check's vote says where arithmetic settles it: true ones always pass, other numbers in one of ten (Luhn) or,
+#: of addresses, about half. Log-odds for + and for -.
+CERTAIN = {"card": {"+": math.log(0.999 / 0.1), "-": math.log(0.001 / 0.9)},
+           "ip": {"+": math.log(0.999 / 0.5), "-": math.log(0.001 / 0.5)}}
+
 LABELERS = ("check", "words", "grouping", "around", "known")
 
 
@@ -155,7 +163,7 @@ def _votes(kind: str, m: Column, passes: Column) -> Column:
     return F.concat(check, words, grouping, around, gazetteer)
 
 
-def _features(kind: str, m: Column) -> Column:
+def _features(kind: str, m: Column, passes: Column) -> Column:
     """What the span classifier sees: one "name=value" per feature."""
     hit, before, after = m["hit"], m["before"], m["after"]
 
@@ -163,7 +171,7 @@ def _features(kind: str, m: Column) -> Column:
         return (F.when(c == "", "end").when(c.rlike(r"\p{L}"), "letter").when(c.rlike("[0-9]"), "digit")
                 .when(c.rlike(r"\s"), "space").otherwise("mark"))
 
-    return F.array(F.lit(f"kind={kind}"),
+    return F.array(F.lit(f"kind={kind}"), F.concat(F.lit(f"check {kind}="), passes.cast("string")),
                    F.concat(F.lit("digits="), F.least(F.length(_digits(hit)), F.lit(20)).cast("string")),
                    F.concat(F.lit("marks="), F.least(F.length(F.regexp_replace(hit, r"[\p{L}0-9]", "")), F.lit(6)).cast("string")),
                    F.concat(F.lit("before="), sort_of(F.substring(before, -1, 1))),
@@ -172,7 +180,7 @@ def _features(kind: str, m: Column) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans) of every row; spans: array<struct<start, stop, kind, base, votes, features>>."""
+    """(doc_id, spans) of every row; spans: array<struct<start, stop, kind, shape, base, votes, features>>."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = texts(docs).select("doc_id", text.alias("text")).withColumn("has_digit", F.col("text").rlike("[0-9]"))
     found = []
@@ -186,15 +194,15 @@ def candidates(docs: DataFrame) -> DataFrame:
             passes = _passes(kind, m["hit"])
             named = F.when(passes, F.lit(kind)).otherwise(F.lit(f"{kind}_like")) if kind in BASE else F.lit(kind)
             return F.struct(m["start"].alias("start"), m["stop"].alias("stop"), named.alias("kind"),
-                            passes.alias("base"), _votes(kind, m, passes).alias("votes"),
-                            _features(kind, m).alias("features"))
+                            F.lit(kind).alias("shape"), passes.alias("base"), _votes(kind, m, passes).alias("votes"),
+                            _features(kind, m, passes).alias("features"))
 
         # two digits are a match of the card pattern: only what could be a number of its kind is a candidate
         usable = {"card": lambda m: F.length(_digits(m["hit"])).between(12, 19),
                   "phone": lambda m: F.length(_digits(m["hit"])).between(7, 15)}.get(kind)
         own = F.filter(F.col(kind), usable) if usable else F.col(kind)
         found.append(F.coalesce(F.transform(own, _one_argument(described)), F.array().cast(
-            "array<struct<start:int,stop:int,kind:string,base:boolean,votes:string,features:array<string>>>")))
+            "array<struct<start:int,stop:int,kind:string,shape:string,base:boolean,votes:string,features:array<string>>>")))
     return rows.select("doc_id", F.concat(*found).alias("spans"))
 
 
@@ -203,24 +211,30 @@ def _one_argument(f: Callable) -> Callable[[Column], Column]:
 
 
 def reliabilities(counts: dict[tuple[str, str], int], rounds: int = ROUNDS):
-    """EM over (kind, votes) counts: likelihood of each pattern, and each labeler's reliability.
+    """EM over (shape, votes) counts: likelihood of each pattern, and each labeler's reliability.
 
-    A labeler that votes is right with a probability of its own; a kind has its
-    own share of personal spans.
+    A labeler that votes is right with a probability of its own, but for the checks in
+    ``CERTAIN``; a shape has its own share of personal spans.
     """
+
+    def vote(i: int, kind: str, v: str) -> float:
+        if v == "0":
+            return 0.0
+        if i == 0 and kind in CERTAIN:
+            return CERTAIN[kind][v]
+        return math.log(right[i] / (1 - right[i])) * (1 if v == "+" else -1)
+
     right = [0.8] * len(LABELERS)
     share = {kind: 0.5 for kind, _ in counts}
     likely: dict[tuple[str, str], float] = {}
     for _ in range(rounds):
         for (kind, votes) in counts:
-            odds = math.log(share[kind] / (1 - share[kind]))
-            for r, v in zip(right, votes, strict=True):
-                odds += {"+": 1, "-": -1, "0": 0}[v] * math.log(r / (1 - r))
+            odds = math.log(share[kind] / (1 - share[kind])) + sum(vote(i, kind, v) for i, v in enumerate(votes))
             likely[kind, votes] = 1 / (1 + math.exp(-max(-60.0, min(60.0, odds))))
         for i in range(len(LABELERS)):
-            agree = sum(n * (p if votes[i] == "+" else 1 - p) for (k, votes), n in counts.items()
-                        for p in (likely[k, votes],) if votes[i] != "0")
-            total = sum(n for (_, votes), n in counts.items() if votes[i] != "0")
+            voted = [(n, likely[k, votes] if votes[i] == "+" else 1 - likely[k, votes]) for (k, votes), n in counts.items()
+                     if votes[i] != "0" and not (i == 0 and k in CERTAIN)]
+            agree, total = sum(n * p for n, p in voted), sum(n for n, _ in voted)
             right[i] = min(0.99, max(0.5, (agree + 8) / (total + 10)))      # no worse than chance, never certain
         for kind in share:
             n = sum(c for (k, _), c in counts.items() if k == kind)
@@ -235,12 +249,12 @@ def _lookup(values: dict[str, float]) -> Column:
 def train(found: DataFrame) -> dict[str, float] | None:
     """Log-odds of each feature value, and under "" of a personal span at all."""
     spans = found.select(F.explode("spans").alias("s")).select("s.*")
-    counts = {(r.kind, r.votes): r.n for r in spans.groupBy("kind", "votes").agg(F.count("*").alias("n")).collect()}
+    counts = {(r.shape, r.votes): r.n for r in spans.groupBy("shape", "votes").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
     likely, _ = reliabilities(counts)
     soft = _lookup({f"{kind} {votes}": p for (kind, votes), p in likely.items()})
-    named = spans.withColumn("p", soft[F.concat_ws(" ", "kind", "votes")])
+    named = spans.withColumn("p", soft[F.concat_ws(" ", "shape", "votes")])
     table = (named.select("p", F.explode(F.concat("features", F.array(F.lit("")))).alias("feature"))
              .groupBy("feature").agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no")).collect())
     total = {r.feature: (r.yes + 1, r.no + 1) for r in table}
