@@ -10,7 +10,7 @@ written tables.
 
 Defined results: a null text equals the empty text. Texts are equal when they
 are identical after lower-casing A-Z. Rows repeating a (doc_id, text) are one
-document with as many rows; ``group_size`` counts rows. The largest doc_id of a
+document with as many rows, which ``per_row`` gives back; ``group_size`` counts rows. The largest doc_id of a
 batch stays, a null doc_id being smaller than any other; a text already in the
 index keeps the document it was entered with. An empty batch gives no rows.
 """
@@ -25,6 +25,10 @@ from pyspark.sql import functions as F
 from cartwise.llm.common import LOWER, UPPER, fresh, scratch_path, texts, written
 
 
+#: Copies of a decision made at a time.
+REPEATS = 10_000
+
+
 def normalised(text: Column | str) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     text = F.coalesce(text, F.lit(""))
@@ -80,6 +84,15 @@ def exact_dedup(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     return DigestIndex(spark, scratch_path(spark, "digest_index"), buckets).add(docs)
 
 
+def per_row(decisions: DataFrame, many: str = "n_rows") -> DataFrame:
+    """A row for each input row: decisions repeated as often as their (doc_id, text) was given, in lists of bounded length."""
+    whole, rest = F.floor(F.col(many) / REPEATS), F.col(many) % REPEATS
+    lists = F.concat(F.when(whole > 0, F.array_repeat(F.lit(REPEATS), whole.cast("int"))).otherwise(F.array().cast("array<int>")),
+                     F.array(rest.cast("int")))
+    counted = decisions.withColumn(many, F.explode(lists))
+    return counted.withColumn(many, F.explode(F.array_repeat(F.lit(1), F.col(many)))).drop(many)
+
+
 def drop_copies(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; one of a row that repeats."""
     key, copy, many, own = fresh(docs, "_kept_id", "_kept_digest", "_kept_rows", "_digest")
