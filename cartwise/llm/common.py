@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -59,6 +60,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+try:    # the C library's allocator keeps freed memory unless asked
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):
+    _TRIM = None
+
+
+def give_back() -> None:
+    """Return to the system what a task's arrays took: its Python worker lives on and serves other stages."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` that gives its memory back when a task ends."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(task, schema)
+
+
 def text_column(text: Column | str, returns: DataType | str,
                 make: Callable[[], Callable[[list[str | None]], pa.Array]]) -> Column:
     """A column computed from whole texts, a batch at a time.
@@ -70,8 +96,11 @@ def text_column(text: Column | str, returns: DataType | str,
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         of = make()
-        for batch in batches:
-            yield of(batch.to_pylist())
+        try:
+            for batch in batches:
+                yield of(batch.to_pylist())
+        finally:
+            give_back()
 
     # the annotations are given as objects: the closure must not need this module's globals
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import texts, written
+from cartwise.llm.common import mapped, texts, written
 from cartwise.llm.components import components
 
 #: Words of a shingle; percent of similarity that links.
@@ -266,7 +266,7 @@ def sets(docs: DataFrame, n: int = WORDS, by_row: bool = False) -> DataFrame:
     given = texts(docs)
     if by_row:
         given = given.withColumn("row", F.xxhash64("text"))
-    return given.mapInArrow(run, ", ".join(f"{name} long" for name in names))
+    return mapped(given, run, ", ".join(f"{name} long" for name in names))
 
 
 def common_tokens(found: DataFrame) -> np.ndarray:
@@ -361,10 +361,10 @@ def candidates(docs: DataFrame, common, n: int = WORDS, threshold: int = THRESHO
                     yield _rows(key[other], hub[other], a[other])
 
     kind = "key long, a long, b long"
-    rows = texts(docs).select("text").mapInArrow(emit, kind)
+    rows = mapped(texts(docs).select("text"), emit, kind)
     shuffle = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(shuffle, "key").sortWithinPartitions("key", "a")
-    return dealt.mapInArrow(join, kind)
+    return mapped(dealt, join, kind)
 
 
 def _fits(threshold: int) -> Column:
@@ -404,7 +404,7 @@ def verified(pairs: DataFrame, members: DataFrame, n: int = WORDS, threshold: in
                                               pa.array([x for x, k in zip(b, keep, strict=True) if k], pa.int64())],
                                              names=["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long")
+    return mapped(both, run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, by_row: bool = False) -> DataFrame:
@@ -460,7 +460,7 @@ def _members(found: DataFrame, n: int) -> DataFrame:
             cols = list(zip(*rows, strict=True)) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
-    return found.select("vertex", "text").mapInArrow(run, "vertex long, size long, sketch array<long>, text string")
+    return mapped(found.select("vertex", "text"), run, "vertex long, size long, sketch array<long>, text string")
 
 
 def across(pairs: DataFrame, label: DataFrame) -> DataFrame:

@@ -39,12 +39,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import texts, written
+from cartwise.llm.common import mapped, texts, written
 from cartwise.llm.token_counts import byte_symbols
 
 #: Tokens of a sequence; the id that ends a document.
 LENGTH, END = 2048, 0
-#: Chunks whose ids a worker process keeps.
+#: Chunks whose ids a task keeps.
 MEMO = 400_000
 #: Rows of a plan up to which it is broadcast; a larger one is joined by a shuffle.
 PLAN_ROWS = 200_000
@@ -139,8 +139,9 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END
                         col.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _PIECES, strict=True)],
                                              schema=_PIECES)
+        ChunkTokenizer.of(tokenizer).memo.clear()
 
-    return texts(docs).mapInArrow(run, PIECES)
+    return mapped(texts(docs), run, PIECES)
 
 
 def plan(counts: dict[int, int], length: int = LENGTH) -> list[tuple[int, int, int, int, int]]:
