@@ -152,7 +152,11 @@ def segments_age_brand(t: StoreTables, as_of, k: int = BRAND_K, max_iter: int =
     n = cl.vocab_size(vocab)
     feats = cl.share_vectors(shares, vocab, "brand", "customer_id", n)
     model, assigned = cl.fit_kmeans(feats, k, max_iter, seed)
-    cent = cl.centroids_long(model, feats.sparkSession)
+    return brand_report(assigned, cl.centroids_long(model, feats.sparkSession), vocab, n)
+
+
+def brand_report(assigned: DataFrame, cent: DataFrame, vocab: DataFrame, n: int) -> DataFrame:
+    """The brand segmentation's rows, from any clusters: (.., prediction) rows and long centroids."""
     dims = cent.filter(F.col("pos") < F.lit(n))
     top = cl.top_slots(dims, TOP_BRANDS).join(vocab.withColumnRenamed("idx", "pos"), "pos")
     brands = top.groupBy("prediction").agg(
@@ -170,7 +174,11 @@ def segments_age_profile(t: StoreTables, profile_map: DataFrame, as_of, k: int =
     n = cl.vocab_size(vocab)
     feats = cl.share_vectors(shares, vocab, "profile_id", "customer_id", n)
     model, assigned = cl.fit_kmeans(feats, k, max_iter, seed)
-    cent = cl.centroids_long(model, feats.sparkSession)
+    return profile_report(assigned, cl.centroids_long(model, feats.sparkSession), vocab, profile_map, n)
+
+
+def profile_report(assigned: DataFrame, cent: DataFrame, vocab: DataFrame, profile_map: DataFrame, n: int) -> DataFrame:
+    """The profile segmentation's rows, from any clusters: (.., prediction) rows and long centroids."""
     dims = cent.filter(F.col("pos") < F.lit(n))
     heaviest = dims.groupBy("prediction").agg(
         F.max_by("pos", F.struct("weight", -F.col("pos"))).alias("pos"))

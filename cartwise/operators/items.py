@@ -43,15 +43,22 @@ def item_profiles(t: StoreTables, k: int = ITEM_K, max_iter: int = ITEM_ITERS,
     categories are the slots whose centroid weight is >= 0.5, in category order.
     item_profile_map: one row per item with categories, its profile and attributes.
     """
-    pairs = item_category_features(t)
-    # vocabulary = every category, numbered in id order
-    vocab = dense_index(t.category.select(F.col("id").alias("category_id"), F.col("name").alias("category")),
-                        ["category_id"], "idx", bounded=True)
-    vocab = hold(vocab)
-    n = cl.vocab_size(vocab)
-    feats = cl.multi_hot_vectors(pairs, vocab.drop("category"), "category_id", "item_id", n)
+    feats, vocab = item_vectors(t)
     model, assigned = cl.fit_kmeans(feats, k, max_iter, seed)
-    cent = cl.centroids_long(model, feats.sparkSession)
+    return profile_reports(t, assigned, cl.centroids_long(model, feats.sparkSession), vocab)
+
+
+def item_vectors(t: StoreTables) -> tuple[DataFrame, DataFrame]:
+    """((item_id, features), (category_id, category, idx)): multi-hot vectors over every category, numbered in id order."""
+    vocab = hold(dense_index(t.category.select(F.col("id").alias("category_id"), F.col("name").alias("category")),
+                             ["category_id"], "idx", bounded=True))
+    feats = cl.multi_hot_vectors(item_category_features(t), vocab.drop("category"), "category_id", "item_id",
+                                 cl.vocab_size(vocab))
+    return feats, vocab
+
+
+def profile_reports(t: StoreTables, assigned: DataFrame, cent: DataFrame, vocab: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``item_profiles``'s two frames, from any clusters: (item_id, prediction) and long centroids."""
     labels = (cent.filter(F.col("weight") >= LABEL_THRESHOLD)
               .join(vocab.withColumnRenamed("idx", "pos"), "pos")
               .groupBy("prediction")

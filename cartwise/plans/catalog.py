@@ -11,11 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.functions.calendar import DEFAULT_AS_OF
 from cartwise.functions.holding import hold
+from cartwise.operators import clusters as cl
 from cartwise.operators import customers as cu
 from cartwise.operators import finances as fi
 from cartwise.operators import items as it
@@ -65,6 +67,62 @@ def _segment_total(segments: DataFrame) -> DataFrame:
     return segments.agg(F.sum("number_customers").alias("number_customers"), (F.count("*") <= cu.BRAND_K).alias("at_most_k"))
 
 
+# ---- the models' reports on clusters that SQL can form too
+
+
+def _coordinates(feats: DataFrame, prediction: Column) -> DataFrame:
+    """(prediction, pos, value): every coordinate of every vector."""
+    return feats.select(prediction.alias("prediction"), F.posexplode(vector_to_array("features")).alias("pos", "value"))
+
+
+def _customer_clusters(feats: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Customers by id modulo k; a centroid has the largest value of each coordinate (exact in any order of summing)."""
+    which = F.pmod("customer_id", F.lit(cu.BRAND_K)).cast("int")
+    cent = _coordinates(feats, which).groupBy("prediction", "pos").agg(F.max("value").alias("weight"))
+    return feats.select("customer_id", which.alias("prediction")), cent
+
+
+def _brand_vectors(t: StoreTables) -> tuple[DataFrame, DataFrame, int]:
+    shares = hold(cu.customer_brand_shares(t, AS_OF))
+    vocab = cl.vocabulary(shares, "brand")
+    n = cl.vocab_size(vocab)
+    return cl.share_vectors(shares, vocab, "brand", "customer_id", n), vocab, n
+
+
+def _brand_vector_slots(t: StoreTables) -> DataFrame:
+    """The coordinates of the brand segmentation's vectors that are not 0."""
+    return _coordinates(_brand_vectors(t)[0].withColumnRenamed("customer_id", "_id"), F.col("_id")).filter(
+        "value <> 0").withColumnRenamed("prediction", "customer_id")
+
+
+def _segments_age_brand_fixed(t: StoreTables) -> DataFrame:
+    feats, vocab, n = _brand_vectors(t)
+    report = cu.brand_report(*_customer_clusters(feats), vocab, n)
+    return report.withColumn("brands", F.array_join("brands", "|"))
+
+
+def _segments_age_profile_fixed(t: StoreTables) -> DataFrame:
+    profile_map = it.fixed_profile_map(t)
+    shares = hold(cu.customer_profile_shares(t, profile_map, AS_OF))
+    vocab = cl.vocabulary(shares, "profile_id")
+    n = cl.vocab_size(vocab)
+    feats = cl.share_vectors(shares, vocab, "profile_id", "customer_id", n)
+    report = cu.profile_report(*_customer_clusters(feats), vocab, profile_map, n)
+    return report.withColumn("categories", F.array_join("categories", "|"))
+
+
+def _item_reports_fixed(t: StoreTables) -> tuple[DataFrame, DataFrame]:
+    """Items by their first category; a centroid is the mean vector (sums of ones, exact in any order)."""
+    feats, vocab = it.item_vectors(t)
+    which = F.array_position(vector_to_array("features"), 1.0).cast("int") - 1
+    cent = _coordinates(feats, which).groupBy("prediction", "pos").agg((F.sum("value") / F.count("*")).alias("weight"))
+    return it.profile_reports(t, feats.select("item_id", which.alias("prediction")), cent, vocab)
+
+
+def _joined(df: DataFrame) -> DataFrame:
+    return df.withColumn("categories", F.array_join("categories", "|"))
+
+
 def _asked_users(t: StoreTables) -> DataFrame:
     """The registered request: every hundredth customer."""
     return t.customer.filter(F.col("id") % 100 == 0).select(F.col("id").alias("customer_id"))
@@ -146,6 +204,11 @@ def queries() -> dict[str, Query]:
         "item_profiles_total": _item_profiles_total,
         "segments_age_brand_total": lambda t: _segment_total(cu.segments_age_brand(t, a)),
         "segments_age_profile_total": lambda t: _segment_total(_segments_age_profile(t)),
+        "brand_vector_slots": _brand_vector_slots,
+        "segments_age_brand_fixed": _segments_age_brand_fixed,
+        "segments_age_profile_fixed": _segments_age_profile_fixed,
+        "item_profiles_fixed": lambda t: _joined(_item_reports_fixed(t)[0]),
+        "item_profile_map_fixed": lambda t: _joined(_item_reports_fixed(t)[1]),
         "horizon_by_item": lambda t: st.horizon_by_item(t, a),
         "horizon_by_profile_fixed": lambda t: st.horizon_by_profile(it.fixed_profile_map(t), a).withColumn(
             "categories", F.array_join("categories", "|")),

@@ -18,6 +18,8 @@ HIST_HI = FIRST
 NOW_SECS = 995155200
 BRAND_AGES = [(16, 0), (20, 1), (25, 2), (30, 3), (40, 4), (50, 5), (60, 6)]
 PROFILE_AGES = [(16, 0), (22, 1), (30, 2), (50, 3)]
+BRAND_LABELS = [(0, "16-19"), (1, "20-24"), (2, "25-29"), (3, "30-39"), (4, "40-49"), (5, "50-59"), (6, "more than 60")]
+PROFILE_LABELS = [(0, "16-21"), (1, "22-29"), (2, "30-49"), (3, "more than 50")]
 GRID = [(0.1, True, 0.0), (0.1, True, 0.5), (0.1, True, 1.0), (0.1, False, 0.0), (0.1, False, 0.5), (0.1, False, 1.0),
         (0.01, True, 0.0), (0.01, True, 0.5), (0.01, True, 1.0), (0.01, False, 0.0), (0.01, False, 0.5), (0.01, False, 1.0)]
 
@@ -311,6 +313,47 @@ SELECT i.id AS item_id, i.brand AS item_brand, i.description AS item_description
   JOIN (SELECT i.id FROM {with_category}) i ON i.id = p.item_id""")):
         q[f"segments_age_{name}_total"] = _q(body=f"""
 SELECT COUNT(DISTINCT customer_id) AS number_customers, COUNT(*) > 0 AS at_most_k FROM ({source}) s""")
+    # the reports of clusters formed by rule: customers by id modulo 5 with the largest value of each coordinate as the
+    # centroid, items by their first category with the mean vector
+    shares = {"brand": ("brand", f"""SELECT p.*, i.brand FROM ({PURCHASES}) p
+  JOIN f_item i ON i.id = p.item_id WHERE i.brand IS NOT NULL AND i.brand <> ''""", BRAND_AGES, BRAND_LABELS),
+              "profile": ("profile_id", f"""SELECT p.*, fp.profile_id FROM ({PURCHASES}) p
+  JOIN f_fixed_profile fp ON fp.item_id = p.item_id""", PROFILE_AGES, PROFILE_LABELS)}
+    for name, (key, source, ages, age_labels) in shares.items():
+        ctes = (f"sh AS (WITH {_shares_sql(key, source, ages)})",
+                f"voc AS (SELECT {key}, CAST(DENSE_RANK() OVER (ORDER BY {key}) - 1 AS INTEGER) AS pos FROM (SELECT DISTINCT {key} FROM sh))",
+                f"""vec AS (SELECT customer_id, pos, share AS value FROM sh JOIN voc USING ({key})
+  UNION ALL SELECT DISTINCT customer_id, CAST((SELECT COUNT(*) FROM voc) AS INTEGER), CAST(age_code AS DOUBLE) FROM sh)""",
+                """cent AS (SELECT prediction, s.pos, COALESCE(MAX(value), 0.0) AS weight
+  FROM (SELECT DISTINCT customer_id % 5 AS prediction FROM sh) c CROSS JOIN voc s
+  LEFT JOIN vec ON vec.customer_id % 5 = prediction AND vec.pos = s.pos GROUP BY prediction, s.pos)""",
+                f"""cluster AS (SELECT customer_id % 5 AS prediction, COUNT(DISTINCT customer_id) AS number_customers,
+  CASE MAX(age_code) {" ".join(f"WHEN {c} THEN '{x}'" for c, x in age_labels)} ELSE 'Other' END AS age_interval FROM sh GROUP BY 1)""")
+        if name == "brand":
+            q["brand_vector_slots"] = _q(*ctes[:3], body="SELECT customer_id, pos, value FROM vec WHERE value <> 0")
+            q["segments_age_brand_fixed"] = _q(*ctes, """heavy AS (SELECT prediction, pos,
+  ROW_NUMBER() OVER (PARTITION BY prediction ORDER BY weight DESC, pos DESC) AS r FROM cent)""", body="""
+SELECT CAST(prediction AS INTEGER) AS profile_id, number_customers, age_interval, STRING_AGG(brand, '|' ORDER BY r) AS brands
+FROM cluster JOIN heavy USING (prediction) JOIN voc USING (pos) WHERE r <= 7 GROUP BY ALL""")
+        else:
+            q["segments_age_profile_fixed"] = _q(*ctes, """heavy AS (SELECT prediction, pos,
+  ROW_NUMBER() OVER (PARTITION BY prediction ORDER BY weight DESC, pos) AS r FROM cent)""", body="""
+SELECT CAST(prediction AS INTEGER) AS profile_id, number_customers, age_interval, c.name AS categories
+FROM cluster JOIN heavy USING (prediction) JOIN voc USING (pos) JOIN f_category c ON c.id = profile_id WHERE r = 1""")
+    by_first = ("has AS (SELECT DISTINCT i.id AS item_id, ic.categories_id AS id FROM f_item_category ic "
+                "JOIN f_category c ON c.id = ic.categories_id JOIN f_item i ON i.id = ic.items_id)",
+                "voc AS (SELECT id, name, CAST(DENSE_RANK() OVER (ORDER BY id) - 1 AS INTEGER) AS pos FROM f_category)",
+                "ass AS (SELECT item_id, MIN(pos) AS prediction FROM has JOIN voc USING (id) GROUP BY 1)",
+                "sizes AS (SELECT prediction, COUNT(*) AS number_items FROM ass GROUP BY 1)",
+                """lab AS (SELECT prediction, STRING_AGG(name, '|' ORDER BY pos) AS categories FROM (
+  SELECT a.prediction, v.pos, v.name, COUNT(*) AS n FROM ass a JOIN has USING (item_id) JOIN voc v USING (id) GROUP BY ALL) x
+  JOIN sizes USING (prediction) WHERE CAST(n AS DOUBLE) / number_items >= 0.5 GROUP BY 1)""")
+    q["item_profiles_fixed"] = _q(*by_first, body="""
+SELECT prediction AS profile_id, number_items, COALESCE(categories, '') AS categories FROM sizes LEFT JOIN lab USING (prediction)""")
+    q["item_profile_map_fixed"] = _q(*by_first, body="""
+SELECT prediction AS profile_id, item_id, COALESCE(categories, '') AS categories, i.brand AS item_brand,
+       i.description AS item_description, i.imUrl AS item_imUrl, i.title AS item_title, i.price AS item_price
+FROM ass JOIN f_item i ON i.id = item_id LEFT JOIN lab USING (prediction)""")
     steps = f"steps AS (SELECT {FIRST} + TO_MONTHS(CAST(h AS INTEGER)) AS d FROM range(0, 12) r(h))"
     ym = "CAST(MONTH(d) AS INTEGER) AS month, CAST(YEAR(d) AS INTEGER) AS year"
     item_series = f"series AS ({_series_sql(UNIT_SUM, LINES_ITEM, 48, ['item_id'])})"
