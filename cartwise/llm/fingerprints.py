@@ -1,8 +1,8 @@
 """Document fingerprints: bottom-k sketches of shingle hashes.
 
 A text's shingles are its distinct runs of five consecutive words (lower-cased
-A-Z); fewer words are one shingle. Each is hashed to 64 bits, and the ``K``
-smallest hashes are the sketch. Sketches of the parts of a collection merge into
+A-Z); fewer words are one shingle. Each is hashed to 60 bits, 15 hexadecimal digits of
+its MD5 (which plain SQL engines have too), and the ``K`` smallest hashes are the sketch. Sketches of the parts of a collection merge into
 the sketch of the whole: the ``K`` smallest of all. From sketches alone follow
 
 * the number of distinct shingles: exact below ``K``, else from how densely the
@@ -39,18 +39,19 @@ K = 256
 #: Consecutive words of a shingle.
 SHINGLE = 5
 
-_SPAN = float(1 << 64)
-_LEAST = float(1 << 63)
+#: Hexadecimal digits of a hash.
+DIGITS = 15
 
 
 def shingles(text: Column, size: int = SHINGLE) -> Column:
-    """64-bit hashes of a text's shingles, in the text's order, repeats included."""
+    """Hashes of a text's shingles, in the text's order, repeats included."""
     words = F.filter(F.split(normalised(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
     def hashed(words: Column) -> Column:
         last = F.greatest(F.size(words) - (size - 1), F.lit(1))
         starts = F.when(F.size(words) > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, F.lit(size))))
+        return F.transform(starts, lambda i: F.substring(
+            F.md5(F.array_join(F.slice(words, i, F.lit(size)), " ").cast("binary")), 1, DIGITS))
 
     return _once(words, hashed)
 
@@ -82,12 +83,12 @@ def merge_by(rows: DataFrame, key: str, of: str = "sketch", k: int = K) -> DataF
     least = hashes.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy("_hash"))).filter(F.col("_rank") <= k)
     lists = least.groupBy(F.col(key).alias("_key")).agg(F.sort_array(F.collect_list("_hash")).alias("_list"))
     return keys.join(lists, F.col(key).eqNullSafe(F.col("_key")), "left").select(
-        key, F.coalesce("_list", F.array().cast("array<bigint>")).alias(of))
+        key, F.coalesce("_list", F.array().cast("array<string>")).alias(of))
 
 
 def distinct_shingles(a: Column, k: int = K) -> Column:
     """Number of distinct shingles behind a sketch; exact where it has fewer than ``k`` hashes."""
-    reach = (F.try_element_at(a, F.lit(k)).cast("double") + _LEAST + 1) / _SPAN
+    reach = (F.conv(F.try_element_at(a, F.lit(k)), 16, 10).cast("bigint").cast("double") + 1) / float(16 ** DIGITS)
     return F.when(F.size(a) < k, F.size(a).cast("double")).otherwise((k - 1) / reach)
 
 
@@ -100,7 +101,7 @@ def resemblance(a: Column, b: Column, k: int = K) -> Column:
 
 def containment(a: Column, b: Column, k: int = K) -> Column:
     """Estimated share of the set of ``a`` that lies in the set of ``b``, 0 to 1."""
-    far = F.lit((1 << 63) - 1)
+    far = F.lit("g")        # beyond every hash
     reach = F.least(F.when(F.size(a) < k, far).otherwise(F.array_max(a)), F.when(F.size(b) < k, far).otherwise(F.array_max(b)))
     seen = _once(reach, lambda r: F.filter(a, lambda h: h <= r))
     return F.when(F.size(a) == 0, 1.0).when(F.size(seen) == 0, 0.0).otherwise(
@@ -109,12 +110,12 @@ def containment(a: Column, b: Column, k: int = K) -> Column:
 
 def fingerprint(a: Column) -> Column:
     """A sketch as text: its hashes, ascending, comma-joined."""
-    return F.array_join(a.cast("array<string>"), ",")
+    return F.array_join(a, ",")
 
 
 def parsed(text: Column) -> Column:
     """The sketch that ``fingerprint`` wrote."""
-    return F.when(text == "", F.array().cast("array<bigint>")).otherwise(F.split(text, ",").cast("array<bigint>"))
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ","))
 
 
 def edited_fingerprints(docs: DataFrame, k: int = K, range_rows: int = RANGE_ROWS) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 #: Rows of a range, on average, and about how many ranges there are at most.
-RANGE_ROWS = 1000
+RANGE_ROWS = 200
 MAX_RANGES = 65_536
 
 
