@@ -60,8 +60,8 @@ STREAM_ROWS = 1 << 16
 #: One text of so many gives runs to choose ranges from, so many ranges there are for each shuffle partition,
 #: and so many runs the driver chooses each from.
 SAMPLED = 64
-RANGES = 2
-CHOICE = 8
+RANGES = 8
+CHOICE = 4
 
 #: Separates words within a key; no word holds it, and no word's character sorts below it once escaped.
 SEP = "\t"
