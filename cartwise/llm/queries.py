@@ -100,8 +100,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which document of equal texts stays; a row per document."""
-    return exact_dedup.exact_dedup(documents(spark, sf_dir)).drop("n_rows")
+    """Which document of equal texts stays; a row per row of the table."""
+    return exact_dedup.per_row(exact_dedup.exact_dedup(documents(spark, sf_dir)))
 
 
 def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,6 +169,31 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)""",
 WITH d AS (SELECT doc_id, sha256({_LOWER}) AS h FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
        doc_id = max(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256 FROM d""",
+    "op11_document_fingerprints": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS after FROM d),
+e AS (SELECT *, left(text, (length(text) - length(text) // 2)::INTEGER) || left(after, (length(text) // 2)::INTEGER) AS edited FROM n),
+words AS (SELECT doc_id, kind, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x20\x09-\x0D]+') AS ws
+          FROM (SELECT doc_id, 'own' AS kind, text AS t FROM e UNION ALL SELECT doc_id, 'edited', edited FROM e
+                UNION ALL SELECT doc_id, 'after', after FROM e)),
+h AS (SELECT DISTINCT doc_id, kind, left(md5(array_to_string(ws[i:i + 4], ' ')), 15) AS h
+      FROM (SELECT doc_id, kind, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM words WHERE len(ws) > 0)),
+s AS (SELECT doc_id, kind, list(h ORDER BY h) AS s
+      FROM (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY doc_id, kind ORDER BY h) <= 256) GROUP BY ALL),
+three AS (SELECT e.doc_id, e.text, e.edited, coalesce(a.s, []) AS a, coalesce(b.s, []) AS b, coalesce(c.s, []) AS c
+          FROM e LEFT JOIN s a ON a.doc_id = e.doc_id AND a.kind = 'own' LEFT JOIN s b ON b.doc_id = e.doc_id AND b.kind = 'edited'
+          LEFT JOIN s c ON c.doc_id = e.doc_id AND c.kind = 'after'),
+u AS (SELECT *, list_sort(list_distinct(a || b))[:256] AS ab, list_sort(list_distinct(a || c))[:256] AS ac FROM three)
+SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256, array_to_string(a, ',') AS fingerprint,
+       array_to_string(b, ',') AS edited_fingerprint,
+       CASE WHEN len(ab) = 0 THEN 1.0::DOUBLE
+            ELSE len(list_intersect(list_intersect(a, b), ab))::DOUBLE / len(ab) END AS near_edited,
+       CASE WHEN len(ac) = 0 THEN 1.0::DOUBLE
+            ELSE len(list_intersect(list_intersect(a, c), ac))::DOUBLE / len(ac) END AS near_next,
+       CASE WHEN len(a) < 256 THEN len(a)::DOUBLE
+            ELSE 255 / ((('0x' || a[256])::BIGINT::DOUBLE + 1) / 1152921504606846976) END AS n_shingles
+FROM u""",
     "op12_phrase_collocations": rf"""
 WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
 w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM pieces),
