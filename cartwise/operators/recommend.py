@@ -125,6 +125,19 @@ def also_bought(t: StoreTables, buckets: int = ALSO_BOUGHT_BUCKETS) -> DataFrame
                  .alias("alsoBought")))
 
 
+def write_also_bought(t: StoreTables, path: str, buckets: int | None = None) -> None:
+    """Replace the stored pairs: an item's list as consecutive rows of one bucket, by partner.
+
+    The form for any size: nothing is collected per item, however popular.
+    """
+    sinks.replace_by_key(also_bought_pairs(t), path, "item_id", ["r_item_id"], buckets)
+
+
+def also_bought_of(spark: SparkSession, path: str, item_ids: list[int]) -> DataFrame:
+    """The stored lists of some items, as rows; only the buckets of these items are read."""
+    return sinks.read_by_key(spark, path).filter(F.col("item_id").isin([int(i) for i in item_ids]))
+
+
 def also_bought_rows(document: DataFrame) -> DataFrame:
     """The pairs of an also-bought document, as ``also_bought_pairs`` has them."""
     return document.select("item_id", F.explode("alsoBought").alias("p")).select(

@@ -81,7 +81,7 @@ JOBS: dict[str, Callable[[JobContext], None]] = {
         "customer_segmentation_age_and_brand", cu.segments_age_brand(c.t, c.as_of)),
     "customer_segmentation_age_and_item_profile": lambda c: c.replace(
         "customer_segmentation_age_and_item_profile", cu.segments_age_profile(c.t, c.read(PROFILE_MAP), c.as_of)),
-    "also_bought": lambda c: c.replace("also_bought_recommender", rc.also_bought(c.t)),
+    "also_bought": lambda c: rc.write_also_bought(c.t, c.path("also_bought_recommender")),
     "best_reviewed": lambda c: c.replace("best_reviewed_during_last_six_months", rc.best_reviewed(c.t, c.as_of)),
     "most_sold": lambda c: c.replace("most_sold_during_last_six_months", rc.most_sold(c.t, c.as_of)),
     "item_profile_recommender": lambda c: (

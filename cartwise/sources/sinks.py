@@ -10,6 +10,7 @@ request is made again, so that a repeated job leaves one copy.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +55,45 @@ def append_collection(df: DataFrame, path: str, fmt: str = "parquet", request: s
      .option("partitionOverwriteMode", "dynamic").partitionBy(REQUEST).save(f"{place}/appended"))
 
 
+def replace_by_key(df: DataFrame, path: str, key: str, order: list[str], buckets: int | None = None) -> None:
+    """Put ``df`` in place of the collection, as rows bucketed by ``key`` and sorted by it and ``order``.
+
+    For lists that grow with the data: a list is not collected into one value but
+    lies in consecutive rows of one bucket, written by sorting (which spills) and read by
+    ``read_by_key``, where a filter on the key opens that bucket's file only.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    versions = Snapshots(spark, path)
+    place = versions.begin()
+    (df.repartition(buckets, key).write.format("parquet").option("path", f"{place}/data")
+     .bucketBy(buckets, key).sortBy(key, *order).saveAsTable(_table(place)))
+    spark.sql(f"DROP TABLE {_table(place)}")        # the name only: the files are the snapshot's
+    spark.createDataFrame([(key, order, buckets)], "key string, order array<string>, buckets int").write.parquet(f"{place}/layout")
+    versions.finish(place)
+
+
+def read_by_key(spark: SparkSession, path: str) -> DataFrame:
+    """The current state of a collection written by ``replace_by_key``, with its buckets known to Spark.
+
+    The buckets are registered anew in each application, so no metastore need outlive one.
+    """
+    place = Snapshots(spark, path).current()
+    if place is None:
+        raise FileNotFoundError(f"no collection in {path}")
+    name = _table(place)
+    if not spark.catalog.tableExists(name):
+        at = spark.read.parquet(f"{place}/layout").first()
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(f"{place}/data").schema)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({at.key}) "
+                  f"SORTED BY ({', '.join([at.key, *at.order])}) INTO {at.buckets} BUCKETS LOCATION '{place}/data'")
+    return spark.table(name)
+
+
+def _table(place: str) -> str:
+    return f"cartwise_by_key_{hashlib.sha256(place.encode()).hexdigest()[:16]}"
+
+
 def request_id(users: DataFrame) -> str:
     """A name for the request of these customers, the same in any order and with repeats."""
     ids = users.select(F.xxhash64("customer_id").alias("h")).distinct()
