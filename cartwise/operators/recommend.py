@@ -13,6 +13,7 @@ from cartwise.functions.calendar import add_months, last_months, month_prefilter
 from cartwise.functions.holding import hold
 from cartwise.functions.indexing import dense_index
 from cartwise.functions.pruning import lines_in_key_range
+from cartwise.operators.topn import TopItems
 from cartwise.sources import sinks
 from cartwise.sources.snapshots import Snapshots
 from cartwise.sources.tables import StoreTables
@@ -293,17 +294,23 @@ def recommend_products_flat(recommender: Recommender, t: StoreTables, users: Dat
     requested user with predicted rating >= min_rating.
 
     ``users`` is the request (``customer_id``; repeated and unknown ids do no
-    harm). Scoring compares each requested user with every item, which is the
-    operation, so the request should be what is going to be shown.
+    harm), which should be what is going to be shown.
+    """
+    return recommend_from_factors(recommender.model.userFactors, recommender.model.itemFactors, recommender.users,
+                                  recommender.items, t, users, n, min_rating)
+
+
+def recommend_from_factors(user_factors: DataFrame, item_factors: DataFrame, user_index: DataFrame, item_index: DataFrame,
+                           t: StoreTables, users: DataFrame, n: int = TOP_RECS, min_rating: float = MIN_RATING) -> DataFrame:
+    """``recommend_products_flat`` from factor tables (id, features) and the ids behind their indexes.
+
+    Items whose factors are too short to reach a user's n-th place are not scored (``TopItems``).
     """
     asked = users.select(F.col("customer_id").cast("bigint").alias("customer_id")).distinct()
-    wanted = recommender.users.join(asked, "customer_id", "left_semi")
-    recs = recommender.model.recommendForUserSubset(wanted.select("user_idx"), n)
-    flat = (recs.select("user_idx", F.posexplode("recommendations").alias("rank", "r"))
-            .select("user_idx", (F.col("rank") + 1).alias("rank"), F.col("r.item_idx").alias("item_idx"),
-                    F.col("r.rating").cast("double").alias("rating"))
-            .filter(F.col("rating") >= min_rating)
-            .join(wanted, "user_idx").join(recommender.items, "item_idx"))
+    wanted = user_index.join(asked, "customer_id", "left_semi")
+    vectors = user_factors.select(F.col("id").alias("user_idx"), "features").join(wanted.select("user_idx"), "user_idx", "left_semi")
+    recs = TopItems(item_factors.select(F.col("id").alias("item_idx"), "features")).best(vectors, n)
+    flat = recs.filter(F.col("rating") >= min_rating).join(wanted, "user_idx").join(item_index, "item_idx")
     attrs = t.item.select("id", "title", "brand", "imUrl", "price")
     return (flat.join(attrs, F.col("item_id") == F.col("id"))
             .select("customer_id", "rank", "id", "rating", "title", "brand", "imUrl", "price"))

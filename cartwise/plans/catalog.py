@@ -128,6 +128,17 @@ def _asked_users(t: StoreTables) -> DataFrame:
     return t.customer.filter(F.col("id") % 100 == 0).select(F.col("id").alias("customer_id"))
 
 
+def _recommend_products_fixed(t: StoreTables) -> DataFrame:
+    """Recommendations from factors that follow from the ids, in halves and quarters: sums are exact."""
+    c, i = F.col("id"), F.col("id")
+    exact = lambda *x: F.array(*[v.cast("double") for v in x])
+    user = t.customer.select(c.cast("int").alias("id"), exact(c % 3, c % 2, F.lit(1)).alias("features"))
+    item = t.item.select(i.cast("int").alias("id"), exact((i % 4) * 0.5, i % 3, (i % 5) * 0.25).alias("features"))
+    return rc.recommend_from_factors(
+        user, item, t.customer.select(c.alias("customer_id"), c.cast("int").alias("user_idx")),
+        t.item.select(i.alias("item_id"), i.cast("int").alias("item_idx")), t, _asked_users(t))
+
+
 def _recommended(t: StoreTables) -> DataFrame:
     return rc.recommend_products_flat(rc.train_collaborative_filtering(t), t, _asked_users(t))
 
@@ -209,6 +220,7 @@ def queries() -> dict[str, Query]:
         "segments_age_profile_fixed": _segments_age_profile_fixed,
         "item_profiles_fixed": lambda t: _joined(_item_reports_fixed(t)[0]),
         "item_profile_map_fixed": lambda t: _joined(_item_reports_fixed(t)[1]),
+        "recommend_products_fixed": _recommend_products_fixed,
         "horizon_by_item": lambda t: st.horizon_by_item(t, a),
         "horizon_by_profile_fixed": lambda t: st.horizon_by_profile(it.fixed_profile_map(t), a).withColumn(
             "categories", F.array_join("categories", "|")),

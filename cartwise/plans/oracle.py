@@ -366,6 +366,13 @@ SELECT {ym}, items.item_id AS itemId, i.title AS itemName FROM items LEFT JOIN f
     q["horizon_by_profile_fixed"] = _q(steps, body=f"""
 SELECT {ym}, p.profile_id, ARRAY_TO_STRING(p.categories, '|') AS categories
 FROM (SELECT DISTINCT profile_id, categories FROM f_fixed_profile fp JOIN f_item i ON i.id = fp.item_id) p, steps""")
+    # top 20 of factors that follow from the ids: users (id % 3, id % 2, 1), items (half of id % 4, id % 3, quarter of id % 5)
+    q["recommend_products_fixed"] = _q("""scored AS (SELECT u.id AS customer_id, i.id,
+  CAST((u.id % 3) * (i.id % 4) AS DOUBLE) / 2 + (u.id % 2) * (i.id % 3) + CAST(i.id % 5 AS DOUBLE) / 4 AS rating
+  FROM f_customer u, f_item i WHERE u.id % 100 = 0)""", """ranked AS (SELECT *,
+  CAST(ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY rating DESC, id) AS INTEGER) AS rank FROM scored)""", body="""
+SELECT customer_id, rank, r.id, rating, title, brand, imUrl, price FROM ranked r JOIN f_item i ON i.id = r.id
+WHERE rank <= 20 AND rating >= 3.0""")
     q["als_ratings"] = _q(body="SELECT customer_id, item_id, overall FROM f_review")
     q["sales_value_predictions_by_state_keys"] = (
         f"SELECT month, year, state, abbreviation FROM ({q['forecast_horizon_by_state']}) k")
