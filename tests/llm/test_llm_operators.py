@@ -11,6 +11,8 @@ import hashlib
 import json
 import random
 import re
+import string
+import time
 import zlib
 
 import numpy as np
@@ -530,6 +532,62 @@ def test_secrets_random_tokens(spark):
     assert kinds == ["random", "assign"]
 
 
+IDENTIFIER_WORDS = """get user account status handler parse config value load index buffer queue worker thread message payload
+request response invoice customer order shipping address payment gateway session manager factory adapter service client server
+update delete insert select table column schema migrate validate stream channel network socket timeout retry policy cache metric
+counter summary export import render widget button dialog window screen layout theme color""".split()
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_secrets_are_random_strings_and_not_identifiers(spark, sf):
+    """Identifiers of words that the documents may lack, against random strings of several alphabets."""
+    model = secret_scan.fit(common.documents(spark, f"/root/testdata/{sf}"))
+    rng = random.Random(1)
+
+    def flagged(make) -> float:
+        made = [t for t in (make() for _ in range(1500)) if len(t) >= secret_scan.LEAST][:1000]
+        return np.mean([bool(secret_scan.find_spans(f"({t})", model)) for t in made])
+
+    def ws(k=4):
+        return rng.choices(IDENTIFIER_WORDS, k=k)
+
+    ordinary = [lambda: "".join(w.capitalize() for w in ws()), lambda: "load" + "".join(w.capitalize() for w in ws(3)),
+                lambda: "_".join(ws()), lambda: "_".join(ws(3)) + f"_{rng.randint(0, 9999)}", lambda: "_".join(ws()).upper(),
+                lambda: "-".join(ws()), lambda: f"{ws()[0]}_{rng.randint(0, 99)}_{'_'.join(ws(2))}"]
+    assert max(flagged(f) for f in ordinary) <= 0.01
+    letters = string.ascii_letters
+    for alphabet, k in [(letters + string.digits, 24), (letters + string.digits, 40), ("0123456789ABCDEF", 30), (letters, 32)]:
+        assert flagged(lambda: "".join(rng.choices(alphabet, k=k))) >= 0.95     # noqa: B023
+    assert flagged(lambda: "".join(rng.choices("0123456789abcdef", k=24))) >= 0.95
+
+
+def test_secrets_threshold():
+    binned = np.zeros(2 * secret_scan.BINS, int)
+    binned[secret_scan.BINS - 100] = 990
+    binned[secret_scan.BINS + 150] = 10
+    assert secret_scan.least_threshold(binned, 0.02) == secret_scan.PER_CHAR
+    assert secret_scan.least_threshold(binned, 0.005) == pytest.approx(1.51)
+    assert secret_scan.least_threshold(0 * binned) == secret_scan.PER_CHAR
+
+
+def test_secrets_beside_base_spans(spark):
+    """Added spans touch no base span; a text with many is swept once."""
+    model = secret_scan.fit(common.documents(spark, "/root/testdata/sf0.01"))
+    rng = random.Random(5)
+    pool = [*SECRETS, "Zq8Lw0Xv7Tb3Rk5Yd1Hs", "x/Zq8Lw0Xv7Tb3Rk5Yd1Hs", "plain words", "Nq4vW8tY2mK6pB9zD1fH"]
+    for _ in range(200):
+        text = rng.choice([" ", "", "\n"]).join(rng.choices(pool, k=12))
+        spans = secret_scan.find_spans(text, model)
+        base = [(s, e) for s, k, e, _ in spans if k != 3]
+        want = {m.span() for m in re.finditer("[A-Za-z0-9+/_=-]{16,}", text)
+                if secret_scan.ratio(model, m[0]) >= model.threshold and not any(m.start() < e and s < m.end() for s, e in base)}
+        assert {(s, e) for s, k, e, _ in spans if k == 3} == want
+    text = " ".join(f"password = abc{i:08d} and Zq8Lw0Xv7Tb3Rk5Yd1Hs" for i in range(8000))
+    start = time.perf_counter()
+    assert len(secret_scan.find_spans(text, model)) == 16000
+    assert time.perf_counter() - start < 2
+
+
 # ---- personal data
 
 
