@@ -23,20 +23,16 @@ TOP_PRODUCTS = 20
 TOP_PROFILES = 20
 
 
-def units_by_month_state_item(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS) -> DataFrame:
-    """(year, month, state, abbreviation, item_id, quantity): units of catalog
-    items bought by known-state customers in orders newer than as_of - months.
+def _known_lines(t: StoreTables, as_of, months: int) -> DataFrame:
+    """(year, month, state, abbreviation, item_id, quantity): order lines of
+    known-state customers in orders newer than as_of - months.
 
     Plan: the date filter reaches the orders scan, the range of the surviving ids
     the line scan, and orders are joined to
     their known-state buyers before they meet the line table, so only the
     surviving orders reach the large join on the order id. With the co-located
     layout (``sources/layout.py``) that join needs no exchange, so lines meet
-    orders first and buyers afterwards. Lines are then
-    summed per (month, state, item) with map-side combining, and the catalog
-    check (the inner join with ``item`` in the reference) runs on those sums:
-    the same result as checking every line, without shuffling the line table
-    by item id. The three overview parts all derive from this frame.
+    orders first and buyers afterwards.
     """
     cust = known_states(t.customer.select(F.col("id").alias("_cid"), "state"), "state", t.state_map)
     recent = t.order.filter(since_months(F.col("date"), as_of, months))
@@ -51,19 +47,39 @@ def units_by_month_state_item(t: StoreTables, as_of, months: int = OVERVIEW_MONT
         orders = (recent.join(cust, F.col("customer_id") == F.col("_cid"))
                   .select(F.col("id").alias("_oid"), "date", "state", "abbreviation"))
         lines = lines_in_key_range(t.ordereditem, recent).join(orders, F.col("order_id") == F.col("_oid"))
-    sums = (lines.groupBy(*_ym(), "state", "abbreviation", "item_id")
-            .agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity")))
-    return sums.join(t.item.select(F.col("id").alias("item_id")), "item_id", "left_semi")
+    return lines.select(*_ym(), "state", "abbreviation", "item_id", F.col("quantity").cast("bigint").alias("quantity"))
+
+
+def units_in_sets(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS) -> DataFrame:
+    """(year, month, state, abbreviation, item_id, quantity, of_item): the units
+    of catalog items, once per (month, state) and once per item, ``of_item``
+    telling the two apart; what the three parts of the overview need.
+
+    One pass with grouping sets: a task combines its lines into at most months x
+    states rows and one row per item it holds, and only those are shuffled. Sums
+    per (month, state, item) would be nearly as many rows as lines.
+    """
+    lines = _known_items(t, _known_lines(t, as_of, months))
+    return (lines.groupingSets([["year", "month", "state", "abbreviation"], ["item_id"]],
+                               "year", "month", "state", "abbreviation", "item_id")
+            .agg(F.sum("quantity").alias("quantity"), (F.grouping("item_id") == 0).alias("of_item")))
 
 
 def _ym(date: str = "date"):
     return [F.year(date).cast("int").alias("year"), F.month(date).cast("int").alias("month")]
 
 
+def _of_states(t: StoreTables, as_of, months: int, units: DataFrame | None) -> DataFrame:
+    """Quantities by month and state: the rows of ``units`` for them, or else the lines themselves."""
+    if units is not None:
+        return units.filter("NOT of_item")
+    return _known_items(t, _known_lines(t, as_of, months))
+
+
 def stock_monthly(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS,
                   units: DataFrame | None = None) -> DataFrame:
     """(month, year, numProducts): units sold per calendar month."""
-    u = units if units is not None else units_by_month_state_item(t, as_of, months)
+    u = _of_states(t, as_of, months, units)
     return (u.groupBy("year", "month").agg(F.sum("quantity").alias("numProducts"))
             .select("month", "year", "numProducts"))
 
@@ -71,7 +87,7 @@ def stock_monthly(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS,
 def stock_monthly_by_state(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS,
                            units: DataFrame | None = None) -> DataFrame:
     """(month, year, state, sales, abbreviation): units per month and known state."""
-    u = units if units is not None else units_by_month_state_item(t, as_of, months)
+    u = _of_states(t, as_of, months, units)
     return (u.groupBy("year", "month", "state", "abbreviation")
             .agg(F.sum("quantity").alias("sales"))
             .select("month", "year", "state", "sales",
@@ -82,11 +98,14 @@ def stock_top_products(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS,
                        n: int = TOP_PRODUCTS, units: DataFrame | None = None) -> DataFrame:
     """(id, title, quantity): the n items with most units; ties by item id.
 
-    Sums per item, takes the top n with TakeOrderedAndProject, and only then
-    joins the n titles.
+    Sums per item, checks the catalog on the sums, takes the top n with
+    TakeOrderedAndProject, and only then joins the n titles.
     """
-    u = units if units is not None else units_by_month_state_item(t, as_of, months)
-    top = (u.groupBy(F.col("item_id").alias("id")).agg(F.sum("quantity").alias("quantity"))
+    if units is not None:
+        sums = units.filter("of_item").select("item_id", "quantity")
+    else:
+        sums = _known_items(t, _known_lines(t, as_of, months).groupBy("item_id").agg(F.sum("quantity").alias("quantity")))
+    top = (sums.withColumnRenamed("item_id", "id")
            .orderBy(F.col("quantity").desc(), F.col("id").asc()).limit(n))
     titles = t.item.select("id", "title")
     return top.join(titles, "id").select("id", "title", "quantity")
@@ -96,9 +115,9 @@ def stock_overview(t: StoreTables, as_of, months: int = OVERVIEW_MONTHS,
                    n: int = TOP_PRODUCTS) -> DataFrame:
     """The one-row document: monthly_sales, monthly_sales_by_state, top_products.
 
-    The shared (month, state, item) sums are computed once and persisted.
+    The sums of all three are computed in one pass and persisted.
     """
-    units = hold(units_by_month_state_item(t, as_of, months))
+    units = hold(units_in_sets(t, as_of, months))
     monthly = sorted_list(stock_monthly(t, as_of, months, units), ["year", "month"],
                           ["month", "year", "numProducts"], "monthly_sales")
     by_state = sorted_list(
@@ -137,7 +156,7 @@ def _units_per_item_month(t: StoreTables, as_of, history: int) -> DataFrame:
 
 
 def _known_items(t: StoreTables, df: DataFrame) -> DataFrame:
-    """Rows whose item is in the catalog; applied to per-item sums, not lines."""
+    """Rows whose item is in the catalog; where items are summed, applied to the sums rather than to lines."""
     return df.join(t.item.select(F.col("id").alias("item_id")), "item_id", "left_semi")
 
 
