@@ -5,7 +5,9 @@ is scored against the first block, which gives a bound for the n-th place;
 by Cauchy-Schwarz an item of norm v can't pass it where |user| * v lies below,
 so a user needs the blocks up to the last whose longest item may still pass. Those
 meet in groups of one block and a bounded number of users. What the driver sees is
-the first block and one number a block; lists hold a block or n items.
+the first block and one number a block; lists hold a block or n items. Tasks score
+``CELLS`` pairs of a user and an item at a time, so their memory does not follow
+the request or the catalog.
 
 Ties go by item_idx. Nothing is left out: with equal norms every block is scored.
 """
@@ -24,26 +26,46 @@ from cartwise.functions.scratch import scratch_path
 
 #: Items in a block, and about how many users meet a block at a time.
 BLOCK, USERS = 4096, 8192
+#: Scores in memory at a time.
+CELLS = 1 << 19
 
 _BLOCK = "block int, longest double, item_idx array<int>, factors array<double>"
 _PART = pa.schema([("user_idx", pa.int32()), ("item_idx", pa.int32()), ("rating", pa.float64())])
 
 
 def _best(scores: np.ndarray, items: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (row, item) of each row's n greatest scores, ties by item."""
-    order = np.lexsort((np.broadcast_to(items, scores.shape), -scores), axis=1)[:, :n]
-    return np.repeat(np.arange(len(scores)), order.shape[1]), order.ravel()
+    """Positions (row, item) of each row's n greatest scores, ties by item; only those are sorted."""
+    by_item = np.argsort(items, kind="stable")
+    key = scores[:, by_item]
+    key[np.isnan(key)] = -np.inf
+    if key.shape[1] > n:
+        nth = np.partition(key, -n, axis=1)[:, -n, None]
+        above, equal = key > nth, key == nth
+        equal &= np.cumsum(equal, axis=1, dtype=np.int32) <= n - above.sum(1, keepdims=True)
+        row, at = np.nonzero(above | equal)
+    else:
+        row, at = (x.ravel() for x in np.indices(key.shape))
+    order = np.lexsort((at, -key[row, at], row))
+    return row[order], by_item[at[order]]
+
+
+def _tiles(factors: np.ndarray, width: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The users' factors, so many at a time that ``CELLS`` holds ``width`` numbers of each; with the place of the first."""
+    step = max(1, CELLS // max(width, 1))
+    for start in range(0, len(factors), step):
+        yield start, factors[start:start + step]
 
 
 def _matrix(lists: pa.Array, rank: int) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, rank)
 
 
-def _parts(users: pa.Array, factors: np.ndarray, items: np.ndarray, vectors: np.ndarray, n: int) -> pa.RecordBatch:
-    scores = factors @ vectors.T
-    row, at = _best(scores, items, n)
-    return pa.RecordBatch.from_arrays([users.take(pa.array(row)), pa.array(items[at], pa.int32()), pa.array(scores[row, at])],
-                                      schema=_PART)
+def _parts(users: pa.Array, factors: np.ndarray, items: np.ndarray, vectors: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
+    for start, some in _tiles(factors, len(items)):
+        scores = some @ vectors.T
+        row, at = _best(scores, items, n)
+        yield pa.RecordBatch.from_arrays([users.take(pa.array(start + row)), pa.array(items[at], pa.int32()), pa.array(scores[row, at])],
+                                         schema=_PART)
 
 
 class TopItems:
@@ -82,20 +104,19 @@ class TopItems:
         def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             """A user's best of the first block, and the last block that may hold better ones."""
             for batch in batches:
-                if not batch.num_rows:
-                    continue
-                factors = _matrix(batch["features"], vectors.shape[1])
-                scores = factors @ vectors.T
-                row, at = _best(scores, items, n)
-                found = scores[row, at].reshape(len(factors), -1)
-                bound = found[:, -1] if found.shape[1] == n else np.full(len(factors), -np.inf)
-                may = np.sqrt((factors ** 2).sum(1))[:, None] * longest[None, :] * (1 + 1e-9) >= bound[:, None]
-                ends = pa.array(np.arange(0, len(row) + 1, found.shape[1], dtype=np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [batch["user_idx"], batch["features"], pa.array(may.sum(1).astype(np.int32) - 1).cast(pa.int32()),
-                     pa.ListArray.from_arrays(ends, pa.array(items[at], pa.int32())),
-                     pa.ListArray.from_arrays(ends, pa.array(found.ravel()))],
-                    ["user_idx", "features", "last", "item_idx", "rating"])
+                for start, factors in _tiles(_matrix(batch["features"], vectors.shape[1]), max(len(items), len(longest))):
+                    some = batch.slice(start, len(factors))
+                    scores = factors @ vectors.T
+                    row, at = _best(scores, items, n)
+                    found = scores[row, at].reshape(len(factors), -1)
+                    bound = found[:, -1] if found.shape[1] == n else np.full(len(factors), -np.inf)
+                    may = np.sqrt((factors ** 2).sum(1))[:, None] * longest[None, :] * (1 + 1e-9) >= bound[:, None]
+                    ends = pa.array(np.arange(0, len(row) + 1, found.shape[1], dtype=np.int32))
+                    yield pa.RecordBatch.from_arrays(
+                        [some["user_idx"], some["features"], pa.array(may.sum(1).astype(np.int32) - 1).cast(pa.int32()),
+                         pa.ListArray.from_arrays(ends, pa.array(items[at], pa.int32())),
+                         pa.ListArray.from_arrays(ends, pa.array(found.ravel()))],
+                        ["user_idx", "features", "last", "item_idx", "rating"])
 
         path = scratch_path(self.spark, "opened")
         asked.mapInArrow(opened, "user_idx int, features array<double>, last int, item_idx array<int>, rating array<double>").write.parquet(path)
@@ -116,8 +137,8 @@ class TopItems:
                 return _PART.empty_table()
             ids = block["item_idx"].combine_chunks().flatten().to_numpy().astype(np.int32)
             found = _matrix(block["factors"].combine_chunks(), -(-len(block["factors"].combine_chunks().flatten()) // len(ids)))
-            return pa.Table.from_batches([_parts(users["user_idx"].combine_chunks(),
-                                                 _matrix(users["features"].combine_chunks(), found.shape[1]), ids, found, n)])
+            return pa.Table.from_batches(_parts(users["user_idx"].combine_chunks(),
+                                                _matrix(users["features"].combine_chunks(), found.shape[1]), ids, found, n), _PART)
 
         more = (rest.groupBy("block", "part").cogroup(blocks.groupBy("block", "part"))
                 .applyInArrow(scored, "user_idx int, item_idx int, rating double"))

@@ -75,3 +75,30 @@ def test_equals_the_model_s_own_recommendations(spark):
         clear = [x.item_idx for a, x in enumerate(r.recommendations[:-1])
                  if all(abs(x.rating - y.rating) > 1e-3 for b, y in enumerate(r.recommendations) if a != b)]
         assert set(clear) <= {i for i, _ in got[r.user_idx]}
+
+
+def test_scores_in_memory_do_not_follow_the_request():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from cartwise.operators import topn
+    rng = np.random.default_rng(3)
+    factors, vectors, items = rng.integers(-3, 4, (6000, 3)).astype(float), rng.integers(-3, 4, (4096, 3)).astype(float), rng.permutation(4096)
+    tracemalloc.start()
+    got = pa.Table.from_batches(topn._parts(pa.array(np.arange(6000, dtype=np.int32)), factors, items.astype(np.int32), vectors, 20))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6                 # all scores at once are 197 MB, sorted 786
+    by_user = got.to_pandas().groupby("user_idx", sort=True)
+    assert got.num_rows == 6000 * 20 and len(by_user) == 6000
+    for u in (0, 127, 128, 5999):       # many ties; at and beside the borders of the parts
+        want = np.lexsort((items, -(vectors @ factors[u])))[:20]
+        part = by_user.get_group(u)
+        assert [*part.item_idx] == [*items[want]] and [*part.rating] == [*(vectors @ factors[u])[want]]
+
+
+def test_scores_that_are_no_numbers_come_last():
+    from cartwise.operators.topn import _best
+    row, at = _best(np.array([[np.nan, 1.0, np.nan, 2.0, 2.0], [np.nan] * 5]), np.array([5, 4, 3, 2, 1]), 3)
+    assert [*row] == [0, 0, 0, 1, 1, 1] and [*at] == [4, 3, 1, 4, 3, 2]
