@@ -6,7 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwise.functions.calendar import add_months, last_months, month_prefilter
@@ -14,6 +14,7 @@ from cartwise.functions.holding import hold
 from cartwise.functions.indexing import dense_index
 from cartwise.functions.pruning import lines_in_key_range
 from cartwise.operators.topn import TopItems
+from cartwise.session import MAX_SHUFFLE_PARTITIONS
 from cartwise.sources import sinks
 from cartwise.sources.snapshots import Snapshots
 from cartwise.sources.tables import StoreTables
@@ -29,6 +30,8 @@ MIN_RATING = 3.0
 PAIR_BLOCK = 4_000
 # Every item's also-bought list is kept in this many hash buckets.
 ALSO_BOUGHT_BUCKETS = 16
+# About how many pairs, in both directions, a task joins or lists.
+PAIRS_PER_TASK = 1_000_000
 
 RECOMMENDATION_SCHEMA = ("customer_id bigint, items array<struct<id: bigint, title: string, brand: string, "
                          "imUrl: string, price: double>>")
@@ -47,46 +50,59 @@ def _item_attributes(t: StoreTables) -> DataFrame:
 # also bought
 # ---------------------------------------------------------------------------
 
-def _pair_sums(t: StoreTables, block: int = PAIR_BLOCK) -> DataFrame:
+def _pair_sums(t: StoreTables, block: int = PAIR_BLOCK) -> tuple[DataFrame, int]:
     """(item_id, r_item_id, _fw, _bw) for item_id < r_item_id: units of r_item
-    paired with item (_fw) and of item paired with r_item (_bw).
+    paired with item (_fw) and of item paired with r_item (_bw); and the number of
+    pairs of lines, no less than the pairs of items in both directions.
 
     Plan, for scale:
 
     * Lines are reduced to (order, item, n_lines, qty) first: the naive
       self-join on lines sums qty(r) over line pairs, which equals the sum over
       orders of n_lines(item) * qty(r_item). The self-join then runs on
-      distinct items per order. The line table is read once: an order's item
-      count comes from the same reduced, persisted frame.
+      distinct items per order.
     * The join emits each unordered pair once (item_id < r_item_id) and
       aggregates both directions at the same time, which halves the join
       output.
-    * An order of n items is cut into r = ceil(n / ``block``) hash blocks on
+    * Orders of at most ``block`` lines are dealt out by order id once, and this one
+      shuffle serves the reduction and both sides of the self-join.
+    * The items of a larger order are cut into r = ceil(n / ``block``) hash blocks on
       both sides, and its pairs into r x r cells: left rows of block i go to
       cells (i, 0..r-1), right rows of block j to cells (0..r-1, j). Every cell
       is a join key of its own with about ``block`` rows a side, so neither
       side of a basket that holds a third of all lines meets in one task; each
-      row is sent r times. Ordinary orders have one cell.
+      row is sent r times.
+    * The lines per order are counted beforehand: if no order is large, there is no
+      second branch, and the pairs they can make give the number of partitions.
     """
     known = t.item.select(F.col("id").alias("item_id"))
-    per = hold(t.ordereditem.join(known, "item_id", "left_semi")
-               .groupBy("order_id", "item_id")
-               .agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("quantity").cast("bigint")).alias("qty")))
-    blocks = (per.groupBy("order_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("_r"))
-              .filter(F.col("_r") > 1))
-    dealt = (per.join(blocks, "order_id", "left").withColumn("_r", F.coalesce("_r", F.lit(1)))
-             .withColumn("_block", F.pmod(F.xxhash64("item_id"), F.col("_r")).cast("int")))
-    cells = F.explode(F.sequence(F.lit(0), F.col("_r") - 1))
-    left = dealt.select("order_id", "item_id", "n_lines", "qty", F.col("_block").alias("_i"), cells.alias("_j"))
-    right = dealt.select(F.col("order_id").alias("r_order_id"), F.col("item_id").alias("r_item_id"),
-                         F.col("n_lines").alias("r_n_lines"), F.col("qty").alias("r_qty"),
-                         cells.alias("_r_i"), F.col("_block").alias("_r_j"))
-    half = (left.join(right, (F.col("order_id") == F.col("r_order_id")) & (F.col("_i") == F.col("_r_i"))
-                      & (F.col("_j") == F.col("_r_j")) & (F.col("item_id") < F.col("r_item_id")))
-            .groupBy("item_id", "r_item_id")
-            .agg(F.sum(F.col("n_lines") * F.col("r_qty")).alias("_fw"),
-                 F.sum(F.col("r_n_lines") * F.col("qty")).alias("_bw")))
-    return half
+    counts = t.ordereditem.filter("order_id IS NOT NULL").groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
+    pairs, most = counts.agg(F.sum(F.col("_n").cast("decimal(19,0)") * (F.col("_n") - 1)), F.max("_n")).first()
+    spark, pairs = t.item.sparkSession, int(pairs or 0)
+    tasks = min(MAX_SHUFFLE_PARTITIONS, max(spark.sparkContext.defaultParallelism, pairs // PAIRS_PER_TASK))
+    lines = t.ordereditem.filter("order_id IS NOT NULL").join(known, "item_id", "left_semi").select("order_id", "item_id", "quantity")
+    sums = (F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("quantity").cast("bigint")).alias("qty"))
+    side = lambda df: df.select(F.col("order_id").alias("r_order_id"), F.col("item_id").alias("r_item_id"),
+                                F.col("n_lines").alias("r_n_lines"), F.col("qty").alias("r_qty"), *df.columns[4:])
+    ahead = (F.col("order_id") == F.col("r_order_id")) & (F.col("item_id") < F.col("r_item_id"))
+    pair = ("item_id", "r_item_id", "n_lines", "qty", "r_n_lines", "r_qty")
+
+    large = hold(counts.filter(F.col("_n") > block).select("order_id")) if (most or 0) > block else None
+    ordinary = lines if large is None else lines.join(large, "order_id", "left_anti")
+    per = ordinary.repartition(tasks, "order_id").groupBy("order_id", "item_id").agg(*sums)
+    met = per.join(side(per), ahead).select(*pair)
+    if large is not None:
+        per = hold(lines.join(large, "order_id", "left_semi").groupBy("order_id", "item_id").agg(*sums))
+        blocks = per.groupBy("order_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("_r"))
+        dealt = per.join(blocks, "order_id").withColumn("_block", F.pmod(F.xxhash64("item_id"), F.col("_r")).cast("int"))
+        cells = F.explode(F.sequence(F.lit(0), F.col("_r") - 1))
+        columns = ("order_id", "item_id", "n_lines", "qty")
+        left = dealt.select(*columns, F.col("_block").alias("_i"), cells.alias("_j"))
+        right = side(dealt.select(*columns, cells.alias("_r_i"), F.col("_block").alias("_r_j")))
+        met = met.unionByName(left.join(right, ahead & (F.col("_i") == F.col("_r_i")) & (F.col("_j") == F.col("_r_j"))).select(*pair))
+    half = met.groupBy("item_id", "r_item_id").agg(F.sum(F.col("n_lines") * F.col("r_qty")).alias("_fw"),
+                                                   F.sum(F.col("r_n_lines") * F.col("qty")).alias("_bw"))
+    return half, pairs
 
 
 def _directed(half: DataFrame) -> DataFrame:
@@ -107,7 +123,7 @@ def also_bought_pairs(t: StoreTables, block: int = PAIR_BLOCK) -> DataFrame:
     """(item_id, r_item_id, title, brand, imUrl, quantity), one row per pair of
     different items bought in a common order; quantity = units of r_item over
     every pairing of their lines. See ``_pair_sums`` for the plan."""
-    return _with_partner_attributes(t, _directed(_pair_sums(t, block)))
+    return _with_partner_attributes(t, _directed(_pair_sums(t, block)[0]))
 
 
 def also_bought(t: StoreTables, buckets: int = ALSO_BOUGHT_BUCKETS) -> DataFrame:
@@ -118,12 +134,32 @@ def also_bought(t: StoreTables, buckets: int = ALSO_BOUGHT_BUCKETS) -> DataFrame
     ``buckets`` parts by a hash of the partner's id, each sorted by it; parts
     without a partner have no row. The parts of an item together hold its
     whole list, and the layout is the same for every item.
+
+    Attributes are attached where the lists are made, so that they aren't shuffled with
+    every pair: items are cut into blocks, pairs go to the cell of the item's block and
+    the partner's bucket, and an item's attributes once to each cell of its bucket,
+    which makes at most a quarter as many rows as there are pairs. In a cell, sorted by
+    partner, they stand before the partner's pairs.
     """
-    bucket = F.pmod(F.xxhash64("r_item_id"), F.lit(buckets)).cast("int")
-    return (also_bought_pairs(t).groupBy("item_id", bucket.alias("bucket"))
+    half, pairs = _pair_sums(t)
+    blocks = max(1, min(pairs // (4 * max(1, t.item.count())), pairs // (PAIRS_PER_TASK * buckets)))
+    bucket = F.pmod(F.xxhash64("r_item_id"), F.lit(buckets)).cast("int").alias("bucket")
+    rows = _directed(half).select(bucket, F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int").alias("_block"),
+                                  "r_item_id", "item_id", "quantity")
+    attrs = (t.item.filter("id IS NOT NULL").groupBy(F.col("id").alias("r_item_id"))
+             .agg(F.collect_list(F.struct("title", "brand", "imUrl")).alias("_attrs"))
+             .select(bucket, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"), "r_item_id", "_attrs"))
+    before = (Window.partitionBy("bucket", "_block", "r_item_id").orderBy(F.col("item_id").asc_nulls_first())
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    dealt = rows.unionByName(attrs, allowMissingColumns=True).repartition(
+        min(MAX_SHUFFLE_PARTITIONS, 2 * buckets * blocks), "bucket", "_block")
+    listed = (dealt.withColumn("_attrs", F.first("_attrs", ignorenulls=True).over(before)).filter("item_id IS NOT NULL")
+              .select("item_id", "bucket", "_block", "r_item_id", "quantity", F.explode("_attrs").alias("_of")))
+    return (listed.groupBy("item_id", "bucket", "_block")
             .agg(F.sort_array(F.collect_list(F.struct(
-                F.col("r_item_id").alias("item_id"), "title", "brand", "imUrl", "quantity")))
-                 .alias("alsoBought")))
+                F.col("r_item_id").alias("item_id"), "_of.title", "_of.brand", "_of.imUrl", "quantity")))
+                 .alias("alsoBought"))
+            .drop("_block"))
 
 
 def write_also_bought(t: StoreTables, path: str, buckets: int | None = None) -> None:

@@ -245,3 +245,34 @@ def test_share_vectors_use_the_used_vocabulary_and_raw_age_code(spark):
     vecs = {r.customer_id: r.features.toArray().tolist()
             for r in cl.share_vectors(shares, vocab, "profile_id", "customer_id").collect()}
     assert vecs == {1: [0.75, 0.25, 3.0], 2: [0.0, 1.0, 99.0]}
+
+
+def test_also_bought_attributes_are_not_shuffled_with_the_pairs(spark, monkeypatch):
+    # two rows of item 2, an item without attributes, lines of an unknown item and of no order; several blocks of items
+    lines = [(o, i, 1 + (o * i) % 4) for o in range(30) for i in range(1, 9) if (o + i) % 3] + [(None, 1, 5), (None, 2, 5), (3, 99, 1)]
+    t = make_tables(spark, lines=lines, items=[*[item_row(i) for i in range(1, 8)], item_row(2, "B2"), (8, None, None, None, None, None)])
+    monkeypatch.setattr(rc, "PAIRS_PER_TASK", 1)
+    want = sorted(map(str, rc.also_bought_pairs(t).collect()))
+    doc = rc.also_bought(t)
+    assert "_block" not in doc.columns and sorted(map(str, rc.also_bought_rows(doc).collect())) == want and len(want) == 63
+    assert all([x.item_id for x in r.alsoBought] == sorted(x.item_id for x in r.alsoBought) for r in doc.collect())
+    assert doc.groupBy("item_id", "bucket").count().filter("count > 1").count() == 0
+    plan = rc.also_bought(t)._jdf.queryExecution().executedPlan().toString()
+    lists, below = plan.split("Window", 1)
+    assert "Exchange" not in lists and "_block" in below.split("Exchange", 1)[1].split("\n", 1)[0]
+    assert "Join" not in below.split("Union", 1)[0]
+
+
+def test_lines_of_ordinary_orders_are_shuffled_once(spark):
+    t = make_tables(spark, lines=[(1, 1, 1), (1, 2, 1)], items=[item_row(1), item_row(2)])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        pairs = rc.also_bought_pairs(t)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert sum("Exchange hashpartitioning(order_id" in x for x in plan.split("\n")) == 2     # one for either side, the same
+        assert len(pairs.collect()) == 2
+        done = pairs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "ReusedExchange" in done
