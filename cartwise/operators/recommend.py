@@ -23,6 +23,8 @@ RANKING_MONTHS = 6
 TOP_ITEMS = 50
 BAYES_M = 1
 ALS_RANK, ALS_ITERS, ALS_REG = 10, 10, 0.01
+# About how many ratings a block of ALS holds: a task builds one in memory, at some 50 bytes a rating.
+RATINGS_PER_BLOCK = 4_000_000
 TOP_RECS = 20
 MIN_RATING = 3.0
 
@@ -295,7 +297,8 @@ class Recommender:
 
 def train_collaborative_filtering(t: StoreTables, rank: int = ALS_RANK, max_iter: int = ALS_ITERS,
                                   reg: float = ALS_REG, seed: int = 42, path: str | None = None,
-                                  recommendations_path: str | None = None) -> Recommender:
+                                  recommendations_path: str | None = None,
+                                  per_block: int = RATINGS_PER_BLOCK) -> Recommender:
     """Explicit ALS on the reviews. If ``path`` is given the model replaces the one
     saved there, which is how the recommender reads it; if
     ``recommendations_path`` is given, the cached recommendations made by the
@@ -303,19 +306,24 @@ def train_collaborative_filtering(t: StoreTables, rank: int = ALS_RANK, max_iter
 
     ALS takes 32-bit ids, so customers and items are numbered densely first and
     keep their own 64-bit ids; reviews without either id teach nothing.
+
+    A task of ALS holds one block: its ratings, and the factors that they name. So the
+    number of blocks follows the ratings, about ``per_block`` in each.
     """
     data = ratings(t).dropna()
-    users = dense_index(data.select("customer_id").distinct(), ["customer_id"], "user_idx")
+    counted = dense_index(data.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n")), ["customer_id"], "user_idx")
+    users, n = counted.drop("_n"), counted.agg(F.sum("_n")).first()[0] or 0
     items = dense_index(data.select("item_id").distinct(), ["item_id"], "item_idx")
     indexed = data.join(users, "customer_id").join(items, "item_id").select("user_idx", "item_idx", "overall")
-    # one block per core of the cluster (at least ALS's default of 10): each
+    # at least one block per core of the cluster (and ALS's default of 10): each
     # iteration updates factor blocks in parallel, so 10 blocks would cap a
-    # large cluster at 10 tasks per step. Lineage is cut every 10 iterations
-    # in the session's checkpoint folder (checkpointInterval).
-    blocks = max(10, data.sparkSession.sparkContext.defaultParallelism)
+    # large cluster at 10 tasks per step. More blocks exchange more factors, so lineage
+    # is cut in the session's checkpoint folder at every iteration (checkpointInterval):
+    # the shuffles of the one before are deleted then, else all stay until the end.
+    blocks = max(10, data.sparkSession.sparkContext.defaultParallelism, -(-n // per_block))
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol="user_idx", itemCol="item_idx",
               ratingCol="overall", coldStartStrategy="drop", seed=seed, numUserBlocks=blocks,
-              numItemBlocks=blocks, checkpointInterval=10)
+              numItemBlocks=blocks, checkpointInterval=1)
     made = Recommender(als.fit(indexed), users, items)
     if path:
         made.save(path)

@@ -92,6 +92,24 @@ def test_recommend_products_limits_and_threshold(spark, tables, tmp_path):
     assert sorted(r.value for r in sinks.read_collection(spark, str(tmp_path / "json"), "text").collect()) == sorted(r.json for r in doc)
 
 
+def test_als_blocks_follow_the_ratings(spark, tables):
+    n, per = rc.ratings(tables).count(), 200
+    least = max(10, spark.sparkContext.defaultParallelism)
+    assert n / per > 2 * least
+    few, many = (rc.train_collaborative_filtering(tables, max_iter=3, **kw) for kw in ({}, {"per_block": per}))
+    for made, blocks in ((few, least), (many, -(-n // per))):
+        assert made.users.columns == ["customer_id", "user_idx"]
+        for factors in (made.model.userFactors, made.model.itemFactors):
+            assert factors.rdd.getNumPartitions() == blocks
+    error = []
+    for made in (few, many):            # the cut into blocks leaves nobody out and learns as much
+        rated = rc.ratings(tables).join(made.users, "customer_id").join(made.items, "item_id")
+        row = made.model.transform(rated).agg(F.count("prediction").alias("n"), F.avg((F.col("prediction") - F.col("overall")) ** 2).alias("e")).first()
+        assert row.n == n
+        error.append(row.e)
+    assert error[1] == pytest.approx(error[0], rel=0.15)
+
+
 def test_recommend_with_ids_beyond_32_bits(spark):
     big = 1 << 40
     reviews = [(big + u, big + 100 + i, 5.0 if (u + i) % 2 else 1.0, 0, 0, D("2001-01-01"))
